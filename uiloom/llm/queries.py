@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uiloom.llm import bpe, jaccard, langid, pii, sharding
+from uiloom.llm import bpe, jaccard, langid, outliers, phrases, pii, sharding
 from uiloom.llm.common import crc_mod, table
 
 
@@ -14,6 +14,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summarise(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = outliers.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
@@ -27,6 +32,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.digest(phrases.remove_recurring(table(spark, sf_dir, "documents"), window=35))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -47,8 +56,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_jaccard_join": op10_jaccard_join,
 }
