@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uiloom.llm import bpe, jaccard, langid, outliers, phrases, pii, sharding
+from uiloom.llm import bpe, jaccard, langid, mixing, neighbours, outliers, phrases, pii, sharding, toxicity
 from uiloom.llm.common import crc_mod, table
 
 
@@ -14,6 +14,24 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summarise(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    taught = table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 5) != 0).select("doc_id", "toxic")
+    own = toxicity.fit(docs.select("doc_id", "text").join(taught, "doc_id"))
+    scored = toxicity.score(docs, own)
+    return scored.select(
+        "doc_id",
+        (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["stop"])).alias("offsets"),
+    )
+
+
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, "vec_id", "embedding", 10)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = outliers.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -28,6 +46,23 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(inputs, filters).select("doc_id", "held_out", "lang_pred", "score")
 
 
+#: Domains are read from the labels; the targets are shares of all tokens.
+TARGETS = {"good": 0.6, "plain": 0.35, "toxic": 0.05}
+
+
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows (domain, text) of the labelled documents."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").otherwise("plain")
+    labels = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id").select("domain", "text")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    mixed = mixing.mix(docs, labelled_domains(spark, sf_dir), TARGETS)
+    return mixed.select("doc_id", "n_tokens", *(f"p_{name}" for name in TARGETS), "rate")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -56,8 +91,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_toxicity": op2_toxicity,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
+    "op6_mixing": op6_mixing,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
