@@ -10,7 +10,8 @@ decides the cost, never the result.
 
 In each region a pivot measures its distance to all others. The others within T = 1 - t of the
 pivot belong to its component and need not be compared with each other. By the triangle
-inequality two documents can only link if their distances to the pivot differ by T or less, so
+inequality two documents can only link if their distances to the pivot differ by T or less (and
+their distances to the empty set, their sizes, are within a factor t), so
 the region goes on with windows on that distance: the farthest document and the two ends of the region
 become the next pivots, each of which measures only the documents in its window that are not yet in its
 component. Regions of up to LEAF documents, and what is left after ROUNDS rounds, are
@@ -36,8 +37,8 @@ from uiloom.llm.common import stage
 from uiloom.llm.components import components
 
 #: Sampled documents (about), sampled documents that make a shingle common, and most common shingles kept.
-SAMPLE, COMMON, MOST_COMMON = 20_000, 4, 100_000
-LEAF, ROUNDS = 16, 6
+SAMPLE, COMMON, MOST_COMMON = 8_000, 2, 100_000
+LEAF, ROUNDS, CLASS_BITS = 48, 2, 7
 KEEP_WORDS = 500_000
 SLACK = 1e-9
 P1, P2, P3, P4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
@@ -116,8 +117,18 @@ def common_shingles(df: DataFrame, text_col: str, size: int) -> tuple[np.ndarray
     return found[order], level[order]
 
 
+def possible(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their projections don't rule out: the summed differences of class counts never exceed the
+    number of shingles in one set only, which a link bounds by (1 - t) / (1 + t) of both sizes."""
+    for end in ("a", "b"):
+        own = points.select(F.col("node").alias(end), F.col("n_shingles").alias(f"_n_{end}"), F.col("classes").alias(f"_classes_{end}"))
+        pairs = pairs.join(own, end)
+    apart = F.aggregate(F.zip_with("_classes_a", "_classes_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x)
+    return pairs.where((100 + percent) * apart <= (100 - percent) * (F.col("_n_a") + F.col("_n_b"))).select("a", "b")
+
+
 def summaries(df: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """doc_id, number of shingles, node and prefix of each row."""
+    """doc_id, number of shingles, node, prefix and projection (shingles in each of CLASSES hash classes) of each row."""
     common, level = common_shingles(df, text_col, size)
     maybe = np.zeros(1 << 20, bool)
     maybe[(common & np.uint64(len(maybe) - 1)).astype("i8")] = True
@@ -126,43 +137,57 @@ def summaries(df: DataFrame, id_col: str, text_col: str, size: int, percent: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared.value
         for batch in batches:
-            sizes, nodes, firsts = [], [], []
+            sizes, nodes, firsts, classes = [], [], [], []
             for text in batch.column(1):
                 own = shingles(text.as_py(), size)
                 sizes.append(len(own))
                 nodes.append(node_id(own))
                 firsts.append(prefix(own, percent, *order).view("i8"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "first"])
+                classes.append(np.bincount((own >> np.uint64(64 - CLASS_BITS)).astype("i8"), minlength=1 << CLASS_BITS).astype("i4"))
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(classes, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "node", "first", "classes"])
 
     source = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long, first array<long>")
+    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long, first array<long>, classes array<int>")
 
 
-def node_sets(df: DataFrame, base: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """node and its set, for the given nodes, from one document of each."""
+def node_texts(df: DataFrame, base: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """node and the text of one document of it, for the given nodes."""
     docs = nodes.join(base.select("node", "doc_id"), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
-            out_nodes, out_sets = [], []
+            kept = []
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = shingles(text.as_py(), size)
-                if node_id(own) == node:  # else another row with the same id
-                    out_nodes.append(node)
-                    out_sets.append(own.view("i8"))
-            yield pa.RecordBatch.from_arrays([pa.array(out_nodes, pa.int64()), pa.array(out_sets, pa.list_(pa.int64()))], names=["node", "own"])
+                # not again for a repeated row, and not for another row with the same id
+                kept.append(node != last and node_id(shingles(text.as_py(), size)) == node)
+                last = node if kept[-1] else last
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return stage(stage(docs, "owners").join(texts, "doc_id").select("node", "text").mapInArrow(run, "node long, text string"), "texts")
 
-    found = stage(docs, "owners").join(texts, "doc_id").select("node", "text").mapInArrow(run, "node long, own array<long>")
-    return stage(found, "sets").dropDuplicates(["node"])
 
+def measured(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """pairs (a, b) with the sizes of their intersection and union."""
+    of_b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, np.array([], "u8")
+        for batch in batches:
+            common, union = [], []
+            for a, text_a, text_b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if a != last:  # the rows of a pivot follow each other
+                    last, own = a, shingles(text_a.as_py(), size)
+                other = shingles(text_b.as_py(), size)
+                common.append(len(np.intersect1d(own, other, assume_unique=True)))
+                union.append(len(own) + len(other) - common[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(union, pa.int64())], names=["a", "b", "common", "all"])
 
-def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) with their intersection and union."""
-    left = sets.select(F.col("node").alias("a"), F.col("own").alias("_x"))
-    right = sets.select(F.col("node").alias("b"), F.col("own").alias("_y"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("_x", "_y")).cast("long"))
-    return both.select("a", "b", "common", (F.size("_x") + F.size("_y") - F.col("common")).alias("all"))
+    both = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(run, "a long, b long, common long, all long").distinct()
 
 
 def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size: int, percent: int) -> DataFrame:
@@ -171,23 +196,36 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size:
     held = base.where("n_shingles > 0").select(F.explode("first").alias("region"), "node")
     shared = held.groupBy("region").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot <> _last")
     # exact copies meet again in each region, hence distinct()
-    regions = stage(held.join(stage(shared.drop("_last"), "regions"), "region").distinct(), "members")
-    pairs = stage(regions.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    # later pivots are members of the same regions
-    sets = stage(node_sets(df, base, nodes, id_col, text_col, size), "owned")
-    known = stage(measured(pairs, sets), "measured")
+    regions = held.join(stage(shared.drop("_last"), "regions"), "region").distinct()
+    points = base.select("node", "n_shingles", "classes").where("n_shingles > 0")
+    sizes = base.select("node", "n_shingles").distinct()
+    regions = stage(
+        regions.join(sizes, "node").join(sizes.select(F.col("node").alias("pivot"), F.col("n_shingles").alias("n_pivot")), "pivot"),
+        "members",
+    )
+    linkable = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  by sizes alone
+    stars = regions.where(F.col("node") != F.col("pivot"))
+    points = stage(regions.select("node").distinct().join(points, "node").dropDuplicates(["node"]), "points")
+
+    def measure(pairs: DataFrame) -> DataFrame:
+        pairs = stage(possible(pairs, points, percent), "pairs")
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        return measured(pairs, node_texts(df, base, nodes, id_col, text_col, size), size)
+
+    known = stage(measure(stars.where(linkable("n_shingles", "n_pivot")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()), "measured")
     window = 1 - percent / 100 + SLACK
 
+    # far: the distance to the region's first pivot, null where it was not measured
     far = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("common") / F.col("all")).alias("far"))
-    left = stage(regions.where("node <> pivot").join(far, ["pivot", "node"]).select("region", "node", "far"), "left")
+    left = stage(stars.join(far, ["pivot", "node"], "left").select("region", "node", "n_shingles", "far"), "left")
+    linked = lambda pairs: pairs.where(100 * F.col("common") >= percent * F.col("all")).select("a", "b")
+    links, labels = linked(known), None
     for turn in range(ROUNDS + 1):
-        linked = known.where(100 * F.col("common") >= percent * F.col("all")).select("a", "b")
-        labels = components(linked)
+        labels = components(links, labels)
         placed = left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = placed.groupBy("region").agg(
             F.min("label").alias("_low"), F.max("label").alias("_high"), F.count("*").alias("members"),
-            F.max_by("node", "far").alias("p1"), F.min("node").alias("p2"), F.max("node").alias("p3"),
+            F.max_by("node", F.coalesce("far", F.lit(1.0))).alias("p1"), F.min("node").alias("p2"), F.max("node").alias("p3"),
         ).where("_low <> _high").drop("_low", "_high")
         mixed = stage(mixed, "mixed")
         if mixed.isEmpty():
@@ -195,15 +233,16 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size:
         placed = stage(placed.join(mixed, "region"), "placed")
         small = F.col("members") <= LEAF if turn < ROUNDS else F.lit(True)
         pivot = F.col("node").isin(F.col("p1"), F.col("p2"), F.col("p3"))
-        one = placed.where(pivot | small).select("region", F.col("node").alias("a"), F.col("far").alias("far_a"), F.col("label").alias("label_a"))
-        other = placed.select("region", F.col("node").alias("b"), F.col("far").alias("far_b"), F.col("label").alias("label_b"))
-        near = (F.col("label_a") != F.col("label_b")) & (F.abs(F.col("far_a") - F.col("far_b")) <= window)
+        one = placed.where(pivot | small).select("region", F.col("node").alias("a"), F.col("far").alias("far_a"), F.col("label").alias("label_a"), F.col("n_shingles").alias("n_a"))
+        other = placed.select("region", F.col("node").alias("b"), F.col("far").alias("far_b"), F.col("label").alias("label_b"), F.col("n_shingles").alias("n_b"))
+        near = (F.col("label_a") != F.col("label_b")) & linkable("n_a", "n_b") & (F.coalesce(F.abs(F.col("far_a") - F.col("far_b")), F.lit(0.0)) <= window)
         met = one.join(other, "region").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         fresh = met.join(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        known = stage(known.unionByName(measured(stage(fresh, "pairs"), sets)), "measured")
-        left = stage(placed.where(~(pivot | small)).select("region", "node", "far"), "left")
+        fresh = stage(measure(fresh), "measured")
+        known, links = known.unionByName(fresh), linked(fresh)
+        left = stage(placed.where(~(pivot | small)).select("region", "node", "n_shingles", "far"), "left")
     else:
-        labels = components(known.where(100 * F.col("common") >= percent * F.col("all")).select("a", "b"))
+        labels = components(links, labels)
     ends = base.select("doc_id", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ends = stage(ends, "labelled")
     roots = stage(ends.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("root")), "roots")
