@@ -23,18 +23,23 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             known = labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_to"))
             moving = moving.join(known, end, "left").withColumn(end, F.coalesce(f"{end}_to", end)).drop(f"{end}_to")
     moving = stage(moving.where("a <> b").select("a", "b").distinct(), "links")
+    steps: list[DataFrame] = []
     while not moving.isEmpty():
         both = moving.union(moving.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = stage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")).select(F.col("a").alias("node"), "to"), "step")
-        own = step.select("node", F.col("to").alias("label"))
-        if labels is not None:
-            moved = labels.join(step.select(F.col("node").alias("label"), "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-            own = moved.unionByName(own.join(labels.select("node"), "node", "left_anti"))
-        labels = stage(own, "labels")
+        steps.append(step)
         ends = moving
         for end in ("a", "b"):
             ends = ends.join(step.select(F.col("node").alias(end), F.col("to").alias(f"{end}_to")), end)
         moving = stage(ends.where("a_to <> b_to").select(F.col("a_to").alias("a"), F.col("b_to").alias("b")).distinct(), "links")
-    if labels is None:
-        return links.sparkSession.createDataFrame([], "node long, label long")
-    return labels
+    if not steps:
+        return links.sparkSession.createDataFrame([], "node long, label long") if labels is None else labels
+    # what a step maps to is mapped on by the next one
+    own = steps[0].select("node", F.col("to").alias("label"))
+    for step in steps[1:]:
+        own = own.join(step.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    if labels is not None:
+        moves = own.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        moved = labels.join(moves, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        own = moved.unionByName(own.join(labels.select("node"), "node", "left_anti"))
+    return stage(own, "labels")

@@ -14,8 +14,9 @@ inequality two documents can only link if their distances to the pivot differ by
 their distances to the empty set, their sizes, are within a factor t), so
 the region goes on with windows on that distance: the farthest document and the two ends of the region
 become the next pivots, each of which measures only the documents in its window that are not yet in its
-component. Regions of up to LEAF documents, and what is left after ROUNDS rounds, are
-compared pair by pair inside those windows. Links grow with the members of a region, not with their pairs.
+component. Where all but LEAF documents of a region are in one component, and in what is left after
+ROUNDS rounds, the documents outside the region's largest component are compared with the others
+inside those windows. Links grow with the members of a region, not with their pairs.
 
 Documents with equal sets are one node, numbered by 64 bits of a digest of the set; shingles are
 64-bit hashes. Documents without words have an empty set and link with nothing. A null text has
@@ -223,24 +224,31 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size:
     for turn in range(ROUNDS + 1):
         labels = components(links, labels)
         placed = left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = placed.groupBy("region").agg(
-            F.min("label").alias("_low"), F.max("label").alias("_high"), F.count("*").alias("members"),
-            F.max_by("node", F.coalesce("far", F.lit(1.0))).alias("p1"), F.min("node").alias("p2"), F.max("node").alias("p3"),
-        ).where("_low <> _high").drop("_low", "_high")
+        # of each label first, so that a region with very many members is not gathered
+        owned = placed.groupBy("region", "label").agg(
+            F.count("*").alias("owned"), F.max(F.struct(F.coalesce("far", F.lit(1.0)), "node")).alias("farthest"), F.min("node").alias("low"), F.max("node").alias("high"),
+        )
+        mixed = owned.groupBy("region").agg(
+            F.count("*").alias("labels"), F.sum("owned").alias("members"), F.max(F.struct("owned", "label")).alias("major"),
+            F.max("farthest").alias("farthest"), F.min("low").alias("p2"), F.max("high").alias("p3"),
+        ).where("labels > 1")
+        mixed = mixed.select("region", (F.col("members") - F.col("major.owned")).alias("rest"), F.col("major.label").alias("major"), F.col("farthest.node").alias("p1"), "p2", "p3")
         mixed = stage(mixed, "mixed")
         if mixed.isEmpty():
             break
         placed = stage(placed.join(mixed, "region"), "placed")
-        small = F.col("members") <= LEAF if turn < ROUNDS else F.lit(True)
+        small = F.col("rest") <= LEAF if turn < ROUNDS else F.lit(True)
         pivot = F.col("node").isin(F.col("p1"), F.col("p2"), F.col("p3"))
-        one = placed.where(pivot | small).select("region", F.col("node").alias("a"), F.col("far").alias("far_a"), F.col("label").alias("label_a"), F.col("n_shingles").alias("n_a"))
+        # of two members with different labels, one is outside the region's largest label
+        first = pivot | (small & (F.col("label") != F.col("major")))
+        one = placed.where(first).select("region", F.col("node").alias("a"), F.col("far").alias("far_a"), F.col("label").alias("label_a"), F.col("n_shingles").alias("n_a"))
         other = placed.select("region", F.col("node").alias("b"), F.col("far").alias("far_b"), F.col("label").alias("label_b"), F.col("n_shingles").alias("n_b"))
         near = (F.col("label_a") != F.col("label_b")) & linkable("n_a", "n_b") & (F.coalesce(F.abs(F.col("far_a") - F.col("far_b")), F.lit(0.0)) <= window)
         met = one.join(other, "region").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         fresh = met.join(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         fresh = stage(measure(fresh), "measured")
         known, links = known.unionByName(fresh), linked(fresh)
-        left = stage(placed.where(~(pivot | small)).select("region", "node", "n_shingles", "far"), "left")
+        left = placed.where(~(pivot | small)).select("region", "node", "n_shingles", "far")
     else:
         labels = components(links, labels)
     ends = base.select("doc_id", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
