@@ -84,6 +84,27 @@ def test_components(spark):
     assert [tuple(r) for r in components.manifests(ok).collect()] == [("p", "P", "1", None)]
 
 
+def test_predicates(spark):
+    def judged(column, *texts):
+        rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", column(F.col("t")))
+        return [r[1] for r in sorted(rows.collect())]
+
+    assert judged(T.is_title_case, "Open file", "open", "A", "Open: x", "9Open", None) == [True, False, False, False, False, False]
+    assert judged(T.is_repository_path, "a/b c.md", "../a", "a//b", "/a", "a\\b", "a\n", "", None) == [True] + 7 * [False]
+    assert judged(lambda t: T.fits_locale(t, F.lit("en")), "abc", "\u0430\u0431\u0432 ab", "\u0430b\u00e9", "", None) == [True, False, True, True, None]
+    assert judged(lambda t: T.git_blob_id(t.cast("binary")), "", "hello\n") == ["e69de29bb2d1d6434b8b29ae775ad8c2e48c5391", "ce013625030ba8dba906f756967f9e9ca394464a"]
+
+
+def test_canonical_json(spark):
+    assert T.canonical('{ "b": [1, null, true], "a": "\u00e9\u0001" }') is None  # a raw control character
+    assert T.canonical('{ "b": [1, null, true], "a": "\u00e9\\u001F" }') == '{"a":"\u00e9\\u001f","b":[1,null,true]}'
+    assert T.canonical('{"\U0001F600": 1, "\uff5e": 2}') == '{"\U0001F600":1,"\uff5e":2}'  # by UTF-16 units
+    for bad in ("", "{", '{"a":1,"a":2}', "1.5", "NaN", "9007199254740992", '"\\ud800"', "[" * 100_000):
+        assert T.canonical(bad) is None, bad
+    rows = spark.createDataFrame([(None,), ("[1, 2]",)], "t string").select(T.canonical_json("t"))
+    assert {r[0] for r in rows.collect()} == {None, "[1,2]"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_match_sql(spark, name):
     db = duckdb.connect()

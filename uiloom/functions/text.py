@@ -118,3 +118,72 @@ def pointer_segment(key: Column) -> Column:
 def strict_json(text: Column) -> Column:
     """The text as a variant; null if it is malformed, repeats a key or holds NaN."""
     return F.try_parse_json(text)
+
+
+def is_title_case(text: Column) -> Column:
+    """Short text that starts with a basic Latin letter, has a capital and no punctuation of code."""
+    return F.coalesce(F.length(text).between(2, 200) & text.rlike("^[A-Za-z]") & text.rlike("[A-Z]") & ~text.rlike(r"[:/.\[\]{}<>]"), F.lit(False))
+
+
+def is_single_line(text: Column) -> Column:
+    return F.coalesce(~text.rlike(r"[\r\n]"), F.lit(False))
+
+
+def is_repository_path(path: Column) -> Column:
+    """A relative path whose parts are plain names."""
+    part = r"[A-Za-z0-9][A-Za-z0-9._ -]{0,239}"
+    return F.coalesce((F.length(path) <= 512) & path.rlike(rf"\A{part}(?:/{part})*\z"), F.lit(False))
+
+
+@pandas_udf(BooleanType())
+def _mostly_latin(text: pd.Series) -> pd.Series:
+    def judge(t: str) -> bool:
+        letters = [c for c in t if c.isalpha()]
+        return 2 * sum(unicodedata.name(c, "").startswith("LATIN") for c in letters) >= len(letters)
+
+    return text.map(judge, na_action="ignore")
+
+
+def fits_locale(text: Column, locale: Column) -> Column:
+    """Whether at least half of the letters are Latin, where the locale is en; Python sees texts beyond ASCII only.
+    A null text gives null."""
+    beyond = F.when((locale == "en") & text.rlike(r"[^\x00-\x7F]"), text)
+    return F.when(text.isNotNull(), F.coalesce(_mostly_latin(beyond), F.lit(True)))
+
+
+def git_blob_id(content: Column) -> Column:
+    """The SHA-1 by which git names a file with this content."""
+    head = F.concat(F.lit("blob "), F.octet_length(content).cast("string"), F.lit("\x00"))
+    return F.sha1(F.concat(head.cast("binary"), content.cast("binary")))
+
+
+def canonical(text: str) -> str | None:
+    """JSON without white space, keys ordered by UTF-16 units; None for what has no canonical form."""
+
+    def pairs(found: list[tuple[str, object]]) -> dict[str, object]:
+        out = dict(sorted(found, key=lambda p: p[0].encode("utf-16-be")))
+        if len(out) < len(found):
+            raise ValueError("repeated key")
+        return out
+
+    def whole(digits: str) -> int:
+        if abs(n := int(digits)) >= 1 << 53:
+            raise ValueError("unsafe integer")
+        return n
+
+    def refuse(number: str) -> float:
+        raise ValueError(number)
+
+    try:
+        value = json.loads(text, object_pairs_hook=pairs, parse_int=whole, parse_float=refuse, parse_constant=refuse)
+        out = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+        out.encode()  # lone surrogates have no UTF-8 form
+    except (ValueError, RecursionError):
+        return None
+    return out
+
+
+@pandas_udf(StringType())
+def canonical_json(text: pd.Series) -> pd.Series:
+    """The canonical form of JSON text; null for null, malformed text, repeated keys, fractions, unsafe integers and lone surrogates."""
+    return text.map(canonical, na_action="ignore")

@@ -130,6 +130,33 @@ def directory_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.look_up(claims, directory, "id").select("s_suppkey", "id", "state")
 
 
+def title_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, parts = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "part")
+    values = parts.select(F.col("p_name").alias("value")).union(parts.select(F.initcap("p_name"))).union(orders.select("o_orderpriority")).distinct()
+    return values.where(T.is_title_case(F.col("value")))
+
+
+def repository_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths made from part names; some go up a folder, are absolute or use back slashes."""
+    lead = F.element_at(F.array(*map(F.lit, ("src/", "/", "../", "a\\", ""))), (F.col("p_partkey") % 5 + 1).cast("int"))
+    made = _t(spark, sf_dir, "part").select("p_partkey", F.concat(lead, "p_name", F.lit(".md")).alias("path"))
+    return made.select("p_partkey", T.is_repository_path(F.col("path")).alias("safe"))
+
+
+def locale_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents")
+    return docs.select("doc_id", T.is_single_line(F.col("text")).alias("single"), T.fits_locale(F.col("text"), F.lit("en")).alias("fits"))
+
+
+def blob_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ascii_only = _t(spark, sf_dir, "documents").where("NOT text RLIKE '[^\\\\x00-\\\\x7F]'")
+    return ascii_only.select("doc_id", T.git_blob_id(F.col("text").cast("binary")).alias("blob"))
+
+
+def canonical_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").select("event_id", F.sha2(T.canonical_json("props"), 256).alias("digest"))
+
+
 ORIGIN_SQL = "list_extract(['ui-call', 'readme', 'manifest.name', 'registry.description', 'ui-property'], CAST(doc_id % 5 + 1 AS INT))"
 PAIRS_SQL = """pairs AS (SELECT d.lang AS locale, d.doc_id % 97 AS resource_key, d.text AS target, e.source FROM documents d JOIN
  (SELECT doc_id % 97 AS k, min(text) AS source FROM documents WHERE lang = 'en' GROUP BY 1) e ON d.doc_id % 97 = e.k WHERE d.lang <> 'en')"""
@@ -141,7 +168,7 @@ QUERIES = {
     for f in (
         ui_text_filter, extract_ui_calls, extract_add_option, placeholder_signatures, dedup_provenance, string_keys, role_precedence,
         locale_join_coverage, sticky_conflict, release_choice, strict_json_gate, json_pointer_flatten, html_inner_text,
-        licence_evidence, catalog_validation, directory_lookup,
+        licence_evidence, catalog_validation, directory_lookup, title_case_names, repository_paths, locale_texts, blob_ids, canonical_props,
     )
 }
 
@@ -173,4 +200,10 @@ ORACLE_SQL = {
     "catalog_validation": """SELECT DISTINCT doc_id % 1009 AS source_key, 'unit-without-source' AS code FROM documents WHERE doc_id % 1009 NOT IN (SELECT doc_id % 1009 FROM labels)
  UNION ALL SELECT DISTINCT doc_id % 1009, 'source-without-unit' FROM labels WHERE doc_id % 1009 NOT IN (SELECT doc_id % 1009 FROM documents)""",
     "directory_lookup": "SELECT s_suppkey, s_nationkey * 2 AS id, CASE WHEN n_nationkey IS NULL THEN 'absent' ELSE 'present' END AS state FROM supplier LEFT JOIN nation ON s_nationkey * 2 = n_nationkey",
+    "title_case_names": r"""SELECT value FROM (SELECT p_name AS value FROM part UNION SELECT array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') FROM part UNION
+ SELECT o_orderpriority FROM orders) WHERE length(value) BETWEEN 2 AND 200 AND regexp_matches(value, '^[A-Za-z]') AND regexp_matches(value, '[A-Z]') AND NOT regexp_matches(value, '[:/.\[\]{}<>]')""",
+    "repository_paths": "SELECT p_partkey, p_partkey % 5 IN (0, 4) AS safe FROM part",
+    "locale_texts": r"""SELECT doc_id, NOT regexp_matches(text, '[\r\n]') AS single, 2 * length(regexp_replace(text, '[^\p{Latin}]', '', 'g')) >= length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS fits FROM documents""",
+    "blob_ids": r"SELECT doc_id, sha1('blob ' || length(text) || chr(0) || text) AS blob FROM documents WHERE NOT regexp_matches(text, '[^\x00-\x7F]')",
+    "canonical_props": "SELECT event_id, sha256(CAST(json(props) AS VARCHAR)) AS digest FROM events",
 }
