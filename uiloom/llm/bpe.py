@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -34,77 +34,61 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-class RankQueue:
-    """Positions by rank, smallest rank first, then leftmost."""
-
-    def __init__(self) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.low: dict[int, int] = {}  # word w: which of the ranks 64 w .. 64 w + 63 have a bucket
-        self.mid: dict[int, int] = {}  # which words of low are not zero
-        self.top = 0  # which words of mid are not zero
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word, high = rank >> 6, rank >> 12
-        self.low[word] = self.low.get(word, 0) | 1 << (rank & 63)
-        self.mid[high] = self.mid.get(high, 0) | 1 << (word & 63)
-        self.top |= 1 << high
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        high = (self.top & -self.top).bit_length() - 1
-        bits = self.mid[high]
-        word = high << 6 | (bits & -bits).bit_length() - 1
-        bits = self.low[word]
-        rank = word << 6 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[word] &= self.low[word] - 1
-            if not self.low[word]:
-                self.mid[high] &= self.mid[high] - 1
-                if not self.mid[high]:
-                    self.top &= self.top - 1
-        return rank, position
-
-
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one match."""
+    """The ids of one match. The queue is written out here, as calls would cost more than its steps."""
     if (whole := ranks.get(piece)) is not None:
         return [whole]
-    n = len(piece)
+    n, rank_of = len(piece), ranks.get
     after = list(range(1, n + 1))  # the next token's start; n at the end
     before = list(range(-1, n - 1))
     pair: list[int | None] = [None] * n  # rank of the pair that starts here, None if there is none
-    queue = RankQueue()
-
-    def enter(i: int) -> None:
-        j = after[i]
-        rank = ranks.get(piece[i : after[j]]) if j < n else None
-        pair[i] = rank
-        if rank is not None:
-            queue.push(rank, i)
-
-    for i in range(n - 1):
-        enter(i)
-    while (found := queue.pop()) is not None:
-        rank, i = found
+    buckets: dict[int, list[int]] = {}
+    low: dict[int, int] = {}  # word w: which of the ranks 64 w .. 64 w + 63 have a bucket
+    mid: dict[int, int] = {}  # which words of low are not zero
+    top = 0  # which words of mid are not zero
+    changed: Iterable[int] = range(n - 1)
+    while True:
+        for i in changed:
+            j = after[i]
+            pair[i] = rank = rank_of(piece[i : after[j]]) if j < n else None
+            if rank is None:
+                continue
+            if rank in buckets:
+                heapq.heappush(buckets[rank], i)
+                continue
+            buckets[rank] = [i]
+            word = rank >> 6
+            bits = low.get(word, 0)
+            low[word] = bits | 1 << (rank & 63)
+            if not bits:
+                high = word >> 6
+                mid[high] = mid.get(high, 0) | 1 << (word & 63)
+                top |= 1 << high
+        if not top:
+            break
+        high = (top & -top).bit_length() - 1
+        bits = mid[high]
+        word = high << 6 | (bits & -bits).bit_length() - 1
+        bits = low[word]
+        rank = word << 6 | (bits & -bits).bit_length() - 1
+        bucket = buckets[rank]
+        i = heapq.heappop(bucket)
+        if not bucket:
+            del buckets[rank]
+            low[word] = bits & (bits - 1)
+            if not low[word]:
+                mid[high] &= mid[high] - 1
+                if not mid[high]:
+                    top &= top - 1
         if pair[i] != rank:
+            changed = ()
             continue
         j = after[i]
         pair[j] = None
         after[i] = after[j]
         if after[i] < n:
             before[after[i]] = i
-        enter(i)
-        if before[i] >= 0:
-            enter(before[i])
+        changed = (i, before[i]) if before[i] >= 0 else (i,)
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])
