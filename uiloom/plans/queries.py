@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from uiloom.functions import text as T
 from uiloom.operators import catalog, registry
+from uiloom.plans import documents
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -207,3 +208,6 @@ ORACLE_SQL = {
     "blob_ids": r"SELECT doc_id, sha1('blob ' || length(text) || chr(0) || text) AS blob FROM documents WHERE NOT regexp_matches(text, '[^\x00-\x7F]')",
     "canonical_props": "SELECT event_id, sha256(CAST(json(props) AS VARCHAR)) AS digest FROM events",
 }
+
+QUERIES |= documents.QUERIES
+ORACLE_SQL |= documents.ORACLE_SQL
