@@ -120,6 +120,17 @@ def test_outliers_go_and_others_stay(spark):
     assert not kept[1000] and sum(kept.values()) >= 196
 
 
+def test_copies_of_an_outlier_hide_no_outliers(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices(VOCABULARY, k=rng.randint(60, 200))), "en", "s") for i in range(200)]
+    junk = [" ".join(mark + str(i) for i in range(n)) for mark, n in (("w1$$$###", 100), ("##|", 90), ("$%<>w", 140), ("<|&*>x", 70))]
+    rows += [(1000 + i, t, "en", "s") for i, t in enumerate(junk)]
+    # copies of one are a third of the group
+    rows += [(2000 + i, junk[0], "en", "s") for i in range(100)]
+    kept = {r.doc_id: r.kept for r in outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(kept[i] for i in kept if i >= 1000) and sum(kept.values()) >= 196
+
+
 def test_language(spark):
     rng = random.Random(2)
     roots = {"aa": ["tha", "ing", "ent"], "bb": ["ücht", "schö", "eit"]}

@@ -4,7 +4,8 @@ Base rules read a text's words: too few words, or too many words in 8-word windo
 repeats, fail a document. All others become vectors of transformed statistics. For each language
 and source, a minimum-covariance-determinant estimate is made: starting from medians and median
 absolute deviations, STEPS concentration steps each keep the SUPPORT share of rows nearest by
-Mahalanobis distance and estimate mean and covariance anew from them. The covariance is scaled to
+Mahalanobis distance and estimate mean and covariance anew from them: outliers, copies of one text
+or not, can make up nearly half of a group. The covariance is scaled to
 be consistent for normal data, and FLOORS are added to its diagonal, since most statistics are constant
 in clean text. A row whose squared distance exceeds CUTOFF is rejected.
 
@@ -21,9 +22,9 @@ from pyspark.sql import functions as F
 from uiloom.llm.common import SPACE, stage, words
 
 WINDOW = 8
-SUPPORT, STEPS, LEAST = 0.75, 3, 50
-#: 0.99999 quantile of chi-squared with 5 degrees of freedom, and 0.75 / P(chi-squared with 7 <= the 0.75 quantile with 5).
-CUTOFF, CONSISTENCY = 30.86, 1.41
+SUPPORT, STEPS, LEAST = 0.5, 3, 50
+#: 0.99999 quantile of chi-squared with 5 degrees of freedom, and SUPPORT / P(chi-squared with 7 <= the SUPPORT quantile with 5).
+CUTOFF, CONSISTENCY = 30.86, 1.91
 #: Least variance of each statistic: log words, log mean word length, log symbols in 1000 characters, shares of repeated lines and words.
 FLOORS = (0.25, 0.02, 0.25, 0.02, 0.02)
 FEATURES = tuple(f"x{i}" for i in range(len(FLOORS)))
