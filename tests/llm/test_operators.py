@@ -131,6 +131,20 @@ def test_copies_of_an_outlier_hide_no_outliers(spark):
     assert not any(kept[i] for i in kept if i >= 1000) and sum(kept.values()) >= 196
 
 
+def test_small_groups_get_a_verdict(spark):
+    rng = random.Random(7)
+    text = lambda: " ".join(rng.choices(VOCABULARY, k=rng.randint(60, 200)))
+    junk = " ".join("w1$$$###" + str(i) for i in range(100))
+    # a large group, a small one of the same language, a small language, and groups without language or source
+    groups = [("en", "s", 120), ("en", "rare", 12), ("xx", "s", 8), (None, "s", 5), ("en", None, 1), (None, None, 1)]
+    rows = [(100 * g + i, text(), lang, source) for g, (lang, source, n) in enumerate(groups) for i in range(n)]
+    rows += [(10_000 + g, junk, lang, source) for g, (lang, source, _) in enumerate(groups)]
+    schema = "doc_id long, text string, lang string, source string"
+    for some in (rows, [r for r in rows if r[2] == "xx"]):
+        judged = outliers.judge(spark.createDataFrame(some, schema)).collect()
+        assert len(judged) == len(some) and all(r.far is not None and r.kept == (r.doc_id < 10_000) for r in judged)
+
+
 def test_language(spark):
     rng = random.Random(2)
     roots = {"aa": ["tha", "ing", "ent"], "bb": ["ücht", "schö", "eit"]}

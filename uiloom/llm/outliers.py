@@ -9,13 +9,18 @@ or not, can make up nearly half of a group. The covariance is scaled to
 be consistent for normal data, and FLOORS are added to its diagonal, since most statistics are constant
 in clean text. A row whose squared distance exceeds CUTOFF is rejected.
 
-Estimates cover all rows. Groups of fewer than LEAST rows reject nothing. Null language or source is a
+The same estimates are made for each language and for all rows. A group of fewer than LEAST rows that pass the
+base rules is judged by the estimate of its language, or of all rows if the language has fewer than LEAST too,
+so every row that passes the base rules gets a verdict. Null language or source is a
 group of its own; a null text has no words and fails the base rules. Repeated rows count as often
 as they occur and get equal verdicts. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +34,8 @@ CUTOFF, CONSISTENCY = 30.86, 1.91
 FLOORS = (0.25, 0.02, 0.25, 0.02, 0.02)
 FEATURES = tuple(f"x{i}" for i in range(len(FLOORS)))
 GROUP = ["lang", "source"]
+#: An estimate's rows: at level 0 a language and source, at 1 a language, at 2 all; what a level leaves out is null.
+CELL = ["level", *GROUP]
 
 
 def repeat_positions(hashes: Column) -> Column:
@@ -81,11 +88,11 @@ def vectors(df: DataFrame) -> DataFrame:
 
 
 def estimate(rows: DataFrame) -> DataFrame:
-    """Of each group: number of rows, means m0.., and the covariance c00, c01, .. of the given rows."""
+    """Of each cell: number of rows, means m0.., and the covariance c00, c01, .. of the given rows."""
     p = range(len(FEATURES))
     sums = [F.count("*").alias("n"), *(F.avg(x).alias(f"m{i}") for i, x in enumerate(FEATURES))]
     sums += [F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}{j}") for i in p for j in p if j <= i]
-    return rows.groupBy(*GROUP).agg(*sums)
+    return rows.groupBy(*CELL).agg(*sums)
 
 
 def factored(stats: DataFrame, scale: float) -> DataFrame:
@@ -100,12 +107,24 @@ def factored(stats: DataFrame, scale: float) -> DataFrame:
     return stats.drop(*(f"c{i}{j}" for i in range(p) for j in range(i + 1)))
 
 
-def distances(rows: DataFrame, stats: DataFrame) -> DataFrame:
-    """rows with `far`, the squared Mahalanobis distance to their group's estimate, and the group's `n`."""
-    p = len(FEATURES)
+def matched(rows: DataFrame, stats: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with stats, whose columns get a leading underscore, where the keys are equal or both null."""
     named = stats.select(*(F.col(c).alias(f"_{c}") for c in stats.columns))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GROUP]
-    joined = rows.join(named, same[0] & same[1], "left")
+    return rows.join(named, reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys)), how)
+
+
+def cells(rows: DataFrame) -> DataFrame:
+    """Each row once for each of its cells."""
+    none = [F.lit(None).cast(rows.schema[c].dataType) for c in GROUP]
+    levels = ((F.col("lang"), F.col("source")), (F.col("lang"), none[1]), (none[0], none[1]))
+    cell = F.explode(F.array(*(F.struct(F.lit(i).alias("level"), x.alias("lang"), y.alias("source")) for i, (x, y) in enumerate(levels))))
+    return rows.withColumn("_cell", cell).select("_cell.*", *(c for c in rows.columns if c not in GROUP))
+
+
+def distances(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with `far`, the squared Mahalanobis distance to the estimate that their keys have."""
+    p = len(FEATURES)
+    joined = matched(rows, stats, keys, "left")
     total = F.lit(0.0)
     for i in range(p):
         value = F.col(FEATURES[i]) - F.col(f"_m{i}")
@@ -113,35 +132,42 @@ def distances(rows: DataFrame, stats: DataFrame) -> DataFrame:
             value = value - F.col(f"_l{i}{k}") * F.col(f"_y{k}")
         joined = joined.withColumn(f"_y{i}", value / F.col(f"_l{i}{i}"))
         total = total + F.col(f"_y{i}") * F.col(f"_y{i}")
-    return joined.withColumns({"far": total, "group_rows": F.coalesce("_n", F.lit(0))}).drop(*(c for c in joined.columns if c.startswith("_")))
+    return joined.withColumn("far", total).drop(*(c for c in joined.columns if c.startswith("_")))
 
 
 def start(rows: DataFrame) -> DataFrame:
     """Estimates from medians and median absolute deviations, without correlations."""
     medians = [F.percentile_approx(x, 0.5).alias(f"m{i}") for i, x in enumerate(FEATURES)]
-    centre = stage(rows.groupBy(*GROUP).agg(F.count("*").alias("n"), *medians), "medians")
-    named = centre.select(*(F.col(c).alias(f"_{c}") for c in centre.columns))
-    joined = rows.join(named, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")))
+    centre = stage(rows.groupBy(*CELL).agg(F.count("*").alias("n"), *medians), "medians")
+    joined = matched(rows, centre, CELL)
     spread = [F.percentile_approx(F.abs(F.col(x) - F.col(f"_m{i}")), 0.5).alias(f"s{i}") for i, x in enumerate(FEATURES)]
-    first = joined.groupBy(*GROUP).agg(F.first("_n").alias("n"), *(F.first(f"_m{i}").alias(f"m{i}") for i in range(len(FEATURES))), *spread)
+    first = joined.groupBy(*CELL).agg(F.first("_n").alias("n"), *(F.first(f"_m{i}").alias(f"m{i}") for i in range(len(FEATURES))), *spread)
     p = range(len(FEATURES))
     own = {f"c{i}{j}": F.pow(1.4826 * F.col(f"s{i}"), 2) if i == j else F.lit(0.0) for i in p for j in p if j <= i}
     return factored(first.withColumns(own), 1.0).drop(*(f"s{i}" for i in p))
 
 
 def robust(rows: DataFrame) -> DataFrame:
-    """The minimum-covariance-determinant estimate of each group, its covariance factored."""
-    sizes = rows.groupBy(*GROUP).agg(F.count("*").alias("size"))
+    """The minimum-covariance-determinant estimate of each cell, its covariance factored; n counts all rows of the cell."""
+    rows = cells(rows)
+    sizes = stage(rows.groupBy(*CELL).agg(F.count("*").alias("size")), "sizes")
     stats = stage(start(rows), "estimate")
     for step in range(STEPS):
-        near = distances(rows, stats)
-        limits = stage(near.groupBy(*GROUP).agg(F.percentile_approx("far", SUPPORT).alias("limit")), "limits")
-        named = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "limit")
-        core = near.join(named, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))).where("far <= limit")
+        near = distances(rows, stats, CELL)
+        limits = stage(near.groupBy(*CELL).agg(F.percentile_approx("far", SUPPORT).alias("limit")), "limits")
+        core = matched(near, limits, CELL).where("far <= _limit")
         stats = stage(factored(estimate(core), CONSISTENCY), "estimate")
-    sizes = stage(sizes, "sizes").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "size")
-    whole = stats.join(sizes, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")))
-    return whole.withColumn("n", F.col("size")).drop("size", "_lang", "_source")
+    return matched(stats, sizes, CELL).withColumn("n", F.col("_size")).select(*stats.columns)
+
+
+def chosen(groups: DataFrame, stats: DataFrame) -> DataFrame:
+    """For each language and source in groups, the estimate of its first cell with LEAST rows, or of all rows."""
+    own = groups.select(*GROUP).distinct()
+    own = own.select(*GROUP, *(F.col(c).alias(f"own_{c}") for c in GROUP))
+    met = matched(cells(own), stats, CELL).where((F.col("_n") >= LEAST) | (F.col("level") == 2))
+    values = [c for c in stats.columns if c not in CELL]
+    first = met.groupBy(*(f"own_{c}" for c in GROUP)).agg(F.min_by(F.struct(*(F.col(f"_{c}").alias(c) for c in values)), "level").alias("_first"))
+    return first.select(*(F.col(f"own_{c}").alias(c) for c in GROUP), "_first.*")
 
 
 def judge(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -151,6 +177,6 @@ def judge(df: DataFrame, text_col: str = "text") -> DataFrame:
     repeats = 100 * F.col("n_repeat_words") > 30 * F.col("n_words")
     rows = stage(measured.withColumn("base_failed", few | repeats), "statistics")
     passed = rows.where(~F.col("base_failed"))
-    placed = distances(rows, stage(robust(passed), "robust"))
-    outlying = (F.col("group_rows") >= LEAST) & (F.col("far") > CUTOFF)
-    return placed.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(outlying, F.lit(False)))
+    stats = stage(robust(passed), "robust")
+    placed = distances(rows, stage(chosen(rows, stats), "chosen"), GROUP)
+    return placed.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("far") > CUTOFF, F.lit(False)))
