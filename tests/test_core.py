@@ -95,6 +95,14 @@ def test_predicates(spark):
     assert judged(lambda t: T.git_blob_id(t.cast("binary")), "", "hello\n") == ["e69de29bb2d1d6434b8b29ae775ad8c2e48c5391", "ce013625030ba8dba906f756967f9e9ca394464a"]
 
 
+def test_every_document_has_a_blob_id(spark, tmp_path):
+    texts = ["", "hello\n", "\u00e9 \u0431", "\U0001F600", "\x00 a", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.blob for r in QUERIES["document_blob_ids"](spark, str(tmp_path)).collect()}
+    blob = lambda b: hashlib.sha1(b"blob %d\0" % len(b) + b).hexdigest()
+    assert got == {i: None if t is None else blob(t.encode()) for i, t in enumerate(texts)}
+
+
 def test_canonical_json(spark):
     assert T.canonical('{ "b": [1, null, true], "a": "\u00e9\u0001" }') is None  # a raw control character
     assert T.canonical('{ "b": [1, null, true], "a": "\u00e9\\u001F" }') == '{"a":"\u00e9\\u001f","b":[1,null,true]}'

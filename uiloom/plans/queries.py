@@ -154,6 +154,11 @@ def blob_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ascii_only.select("doc_id", T.git_blob_id(F.col("text").cast("binary")).alias("blob"))
 
 
+def document_blob_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document, whatever its characters; a null text has a null id."""
+    return _t(spark, sf_dir, "documents").select("doc_id", T.git_blob_id(F.col("text").cast("binary")).alias("blob"))
+
+
 def canonical_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").select("event_id", F.sha2(T.canonical_json("props"), 256).alias("digest"))
 
@@ -169,7 +174,7 @@ QUERIES = {
     for f in (
         ui_text_filter, extract_ui_calls, extract_add_option, placeholder_signatures, dedup_provenance, string_keys, role_precedence,
         locale_join_coverage, sticky_conflict, release_choice, strict_json_gate, json_pointer_flatten, html_inner_text,
-        licence_evidence, catalog_validation, directory_lookup, title_case_names, repository_paths, locale_texts, blob_ids, canonical_props,
+        licence_evidence, catalog_validation, directory_lookup, title_case_names, repository_paths, locale_texts, blob_ids, document_blob_ids, canonical_props,
     )
 }
 
@@ -206,6 +211,7 @@ ORACLE_SQL = {
     "repository_paths": "SELECT p_partkey, p_partkey % 5 IN (0, 4) AS safe FROM part",
     "locale_texts": r"""SELECT doc_id, NOT regexp_matches(text, '[\r\n]') AS single, 2 * length(regexp_replace(text, '[^\p{Latin}]', '', 'g')) >= length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS fits FROM documents""",
     "blob_ids": r"SELECT doc_id, sha1('blob ' || length(text) || chr(0) || text) AS blob FROM documents WHERE NOT regexp_matches(text, '[^\x00-\x7F]')",
+    "document_blob_ids": "SELECT doc_id, sha1('blob ' || strlen(text) || chr(0) || text) AS blob FROM documents",
     "canonical_props": "SELECT event_id, sha256(CAST(json(props) AS VARCHAR)) AS digest FROM events",
 }
 
