@@ -9,8 +9,9 @@ A word goes if some window of WINDOW words that covers it starts more than once
 2. Anchors are counted. Where all extents of a recurring anchor are equal, each of its windows
    recurs. Where they differ, the windows themselves are counted by hash. That confirms, for each
    document, its recurring passages.
-3. The confirmed passages are compiled into Aho-Corasick automata, sharded by SHARD_CHARS, and the
-   documents that may hold them are streamed through their shard, which locates every occurrence.
+3. The confirmed passages of the documents of an Arrow batch are compiled into Aho-Corasick automata,
+   sharded by SHARD_CHARS, and streamed over the same documents. That re-checks the passages; the
+   hash counts have already decided them.
 
 Counts are aggregated before they are shuffled and no group is gathered, so a passage that a third
 of the documents share is no special case. Hashes have 64 bits. Documents with fewer words than a window
