@@ -5,8 +5,9 @@ written as Parquet and read again as the next one's docs. All but the last retur
 documents, further columns included.
 
 Edge cases: null and letterless texts are rejected by the first stage. Documents without words are never
-near duplicates. Of a group of near duplicates the row with the smallest id stays, and of rows that
-share this id the one whose text has the smallest digest. An empty table passes through all stages.
+near duplicates. Of a group of near duplicates the row with the smallest id stays (null ids come last), and of several rows with
+this id any one: rows are chosen, not ids, so rows that share an id or have none are judged by their own texts. Very long texts are
+processed whole. Further columns are kept whatever their names. An empty table passes through all stages.
 """
 
 from __future__ import annotations
@@ -16,32 +17,28 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from uiloom.llm import bpe, jaccard, langid, mixing, pii
-from uiloom.llm.common import crc_mod, stage, table
+from uiloom.llm.common import Scratch, crc_mod, scratch, stage, table
 from uiloom.llm.queries import TARGETS, labelled_domains
 
 #: Share of its n-grams that the predicted language must hold for a document to stay.
 MIN_LANGUAGE = 0.2
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """row (all columns) and text: whatever the columns are named, an operator's own can't clash with them."""
+    return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), "text")
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents whose language can't be told go."""
-    taught = docs.where(crc_mod(F.col("doc_id"), 3) != 1)
-    filters = langid.fit(taught, F.col("lang"), F.col("text"))
-    found = langid.identify(docs, filters, prediction="_lang", score="_score")
-    return found.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= MIN_LANGUAGE)).drop("_lang", "_score")
+    filters = langid.fit(docs.where(crc_mod(F.col("doc_id"), 3) != 1), "lang", "text", "doc_id")
+    found = langid.identify(packed(docs), filters)
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE)).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: five-word shingles, similarity of 0.8 or more; one document of each group stays."""
-    linked = jaccard.link(docs, size=5, percent=80)
-    kept = linked.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(stage(kept, "kept"), "doc_id")
-    ids = rows.select("doc_id", F.xxhash64("text").alias("_text"), "text")
-    again = stage(ids.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("_text").alias("_text")).where("n > 1").drop("n"), "again")
-    single = rows.join(again.select("doc_id"), "doc_id", "left_anti")
-    # ids of several rows are rare; of equal rows any one stays
-    chosen = rows.withColumn("_text", F.xxhash64("text")).join(again, ["doc_id", "_text"]).drop("_text")
-    return single.unionByName(chosen.dropDuplicates(["doc_id"])).select(*docs.columns)
+    return jaccard.first_of_components(docs, size=5, percent=80)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +48,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: documents are drawn by the fitted rates, none, once or several times."""
-    mixed = mixing.mix(docs, labelled_domains(spark, sf_dir), TARGETS)
-    return mixing.draw_copies(mixed, "doc_id").select(*docs.columns)
+    mixed = mixing.mix(packed(docs), labelled_domains(spark, sf_dir), TARGETS)
+    return mixing.draw_copies(mixed, F.col("row.doc_id"), F.col("text")).select("row.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,14 +66,19 @@ STAGES = [
     ("byte-level BPE", tokenize),
 ]
 
-#: SQL can't express these stages; tests compare them with brute force.
+#: SQL can't express these stages; tests compare each with brute force on small tables.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (_, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stage(docs, "stage")
+        if i == len(STAGES) - 1:
+            return step(spark, docs, sf_dir)
+        after = Scratch(spark)
+        with scratch(spark):  # what a stage writes for itself goes when its output is written
+            docs = stage(step(spark, docs, sf_dir), "stage", owner=after)
+        if before:
+            before.drop()
+        before = after
     return docs

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,23 +21,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it is unset, one of our own."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where it is unset, one of our own: beside the
+    warehouse's tables on a cluster, a temporary folder in local mode."""
     context = spark.sparkContext
     if named := context.getConf().get("spark.checkpoint.dir"):
         return named
     if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        local = context.master.startswith("local")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-") if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/uiloom-staged")
     return context.getCheckpointDir()
 
 
-def stage(df: DataFrame, label: str, *, parts_by: list[str] | None = None) -> DataFrame:
+class Scratch:
+    """The staged tables of one call."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def drop(self) -> None:
+        """Delete the tables. For when all that reads them has been written."""
+        jvm = self.spark._jvm
+        for path in self.paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        self.paths = []
+
+
+_open: list[Scratch] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Tables staged inside are deleted at the end; what is to outlive them is staged with `owner=None` or another scratch."""
+    own = Scratch(spark)
+    _open.append(own)
+    try:
+        yield own
+    finally:
+        _open.remove(own)
+        own.drop()
+
+
+def outer() -> Scratch | None:
+    """The scratch around the innermost one, if there is one."""
+    return _open[-2] if len(_open) > 1 else None
+
+
+def stage(df: DataFrame, label: str, **to: Scratch | None) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: its lineage ends there,
-    and later jobs read it after the loss of an executor instead of computing it again."""
+    and later jobs read it after the loss of an executor instead of computing it again.
+    The table belongs to the innermost open scratch, or to `owner` (None: to nobody, it stays)."""
     path = f"{shared_dir(df.sparkSession)}/uiloom/{label}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    if parts_by:
-        writer = writer.partitionBy(*parts_by)
-    writer.parquet(path)
+    owner = to["owner"] if "owner" in to else _open[-1] if _open else None
+    if owner:
+        owner.paths.append(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -42,6 +84,34 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def draw(*columns: Column | str) -> Column:
+    """A number from 0 to 1 that a hash of the columns decides. With id and text, copies of one text
+    are drawn each by itself, so a common text can neither fill a sample nor be missing from it."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / float(1 << 30)
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; null and blank texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.Table]:
+    """Rows sorted by their first column, as tables of some `rows` rows that hold whole groups of equal values."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        count += batch.num_rows
+        if count < rows:
+            continue
+        tab = pa.Table.from_batches(held)
+        keys = tab.column(0)
+        cut = pc.index(pc.equal(keys, keys[-1]), True).as_py()
+        if cut:
+            yield tab.slice(0, cut)
+            rest = tab.slice(cut)
+            held, count = rest.combine_chunks().to_batches(), rest.num_rows
+    if held:
+        yield pa.Table.from_batches(held)

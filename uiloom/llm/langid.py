@@ -8,12 +8,13 @@ of n is corrected for the filter's rate f of false positives to (c - n f) / (1 -
 corrected count decides; ties go to the language with more training documents, then by name.
 The score is that count's share of the n-grams.
 
-Training uses a bounded sample: about SAMPLE documents of each language, chosen by a hash of the
-row. Statistics of the table itself (documents of each language) cover all rows.
+Training uses a bounded sample: about SAMPLE documents of each language, drawn by a hash of key and text, so copies of
+a text are drawn each by itself. Statistics of the table itself (documents of each language) cover all rows.
+Of more than MAX_LANGUAGES languages those with most documents are learned, by name among equals.
 
 Edge cases: texts that are null or have no letter are `und` with score 0; so is every text where
-nothing could be learned. Rows with null language or text teach nothing. Very long texts are
-scanned in slices whose counts add up. Repeated rows get equal results.
+nothing could be learned (an empty table). Rows with null language or text teach nothing. Very long texts are
+scanned in slices whose counts add up. Repeated rows get equal results. Further columns are kept; those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from uiloom.llm.common import draw, stage
+
 SAMPLE, MIN_SHARE, MIN_DOCS, MAX_LANGUAGES = 2000, 0.02, 2, 512
 SIZES = (3, 4)
 SLOTS, HASHES = 1 << 20, 2
@@ -97,45 +100,42 @@ class Filters:
         return n, (found @ BITS).reshape(-1)[: len(self.languages)]
 
 
-def build(languages: list[str], entries: list[tuple[int, int]]) -> Filters:
-    """entries: language's place and an n-gram's hash as a signed integer."""
-    table = np.zeros((SLOTS, max(1, -(-len(languages) // 8))), "u1")
-    if entries:
-        lang, h = np.array([e[0] for e in entries]), np.array([e[1] for e in entries], "i8").view("u8")
-        for at in slots(h):
-            np.bitwise_or.at(table, (at, lang >> 3), (1 << (lang & 7)).astype("u1"))
-    return Filters(languages, table)
-
-
-def fit(df: DataFrame, lang: Column, text: Column, *, sample: int = SAMPLE) -> Filters:
-    """Learn from the rows of df. What reaches the driver is bounded: at most MAX_LANGUAGES counts, and of each
-    language the n-grams in MIN_SHARE or more of its sampled documents."""
-    rows = df.select(lang.alias("lang"), text.alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+def fit(df: DataFrame, lang: str, text: str, key: str, *, sample: int = SAMPLE, languages: int = MAX_LANGUAGES) -> Filters:
+    """Learn from the rows of df, `key` being what a hash draws the sample by, with the text. What reaches the driver is
+    bounded: `languages` counts, and SLOTS cells of one byte for each eight languages."""
+    rows = df.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key")).where("lang IS NOT NULL AND text IS NOT NULL")
+    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     names = [r["lang"] for r in found]
+    own = Filters(names, np.zeros((SLOTS, max(1, -(-len(names) // 8))), "u1"))
     if not names:
-        return build([], [])
-    share = F.create_map(*(x for r in found for x in (F.lit(r["lang"]), F.lit(min(1.0, sample / r["count"])))))
-    place = F.create_map(*(x for i, name in enumerate(names) for x in (F.lit(name), F.lit(i))))
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = rows.where(draw < share[F.col("lang")]).select(place[F.col("lang")].alias("lang"), "text")
+        return own
+    shares = df.sparkSession.createDataFrame([(r["lang"], i, min(1.0, sample / r["count"])) for i, r in enumerate(found)], "lang string, place int, share double")
+    # one row for each language
+    drawn = rows.join(F.broadcast(shares), "lang").where(draw("key", "text") < F.col("share")).select(F.col("place").alias("lang"), "text")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                h = [*grams(text.as_py())]
+            for i, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                h = [*grams(value.as_py())]
                 own = np.unique(np.concatenate(h)) if h else np.array([], "u8")
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i), pa.int32()), pa.array(own.view("i8"))], names=["lang", "gram"])
                 yield pa.RecordBatch.from_arrays([pa.array([-1 - i], pa.int32()), pa.array([0], pa.int64())], names=["lang", "gram"])
 
-    counted = drawn.mapInArrow(distinct, "lang int, gram long").groupBy("lang", "gram").agg(F.count("*").alias("docs"))
-    # how many documents were drawn for a language stands in the row -1 - place; there are few of them
-    totals = {-1 - r["lang"]: r["docs"] for r in counted.where("lang < 0").collect()}
-    least = F.create_map(*(x for i in range(len(names)) for x in (F.lit(i), F.lit(max(MIN_DOCS if totals.get(i, 0) > 20 else 1, int(MIN_SHARE * totals.get(i, 0)))))))
-    kept = counted.where("lang >= 0").where(F.col("docs") >= least[F.col("lang")]).select("lang", "gram")
-    return build(names, [(r["lang"], r["gram"]) for r in kept.collect()])
+    counted = stage(drawn.mapInArrow(distinct, "lang int, gram long").groupBy("lang", "gram").agg(F.count("*").alias("docs")), "grams")
+    # how many documents were drawn for a language stands in the row -1 - place
+    totals = counted.where("lang < 0").select((-1 - F.col("lang")).alias("lang"), F.col("docs").alias("drawn"))
+    least = F.greatest(F.when(F.col("drawn") > 20, MIN_DOCS).otherwise(1), F.floor(MIN_SHARE * F.col("drawn")))
+    kept = counted.where("lang >= 0").join(F.broadcast(totals), "lang").where(F.col("docs") >= least).select("lang", "gram")
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, h = batch.column(0).to_numpy(), batch.column(1).to_numpy().view("u8")
+            for at in slots(h):
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype("i4")), pa.array(lang >> 3), pa.array(1 << (lang & 7))], names=["slot", "byte", "bits"])
+
+    filled = kept.mapInArrow(cells, "slot int, byte int, bits int").groupBy("slot", "byte").agg(F.bit_or("bits").alias("bits")).toArrow()
+    own.table[filled.column("slot").to_numpy(), filled.column("byte").to_numpy()] = filled.column("bits").to_numpy().astype("u1")
+    return own
 
 
 def identify(df: DataFrame, filters: Filters, text_col: str = "text", *, prediction: str = "lang_pred", score: str = "score") -> DataFrame:

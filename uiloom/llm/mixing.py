@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uiloom.llm.common import stage, words
+from uiloom.llm.common import draw, stage, words
 
 SAMPLE, BUCKETS, EVIDENCE, GRID = 20_000, 4096, 20, 24
 STEPS, TOLERANCE = 40, 1e-6
@@ -134,8 +134,8 @@ def mix(df: DataFrame, labelled: DataFrame, targets: dict[str, float], text_col:
     return member.join(F.broadcast(rates), "_cell").drop("_cell")
 
 
-def draw_copies(mixed: DataFrame, key: str) -> DataFrame:
+def draw_copies(mixed: DataFrame, *key: Column) -> DataFrame:
     """Each row as often as its rate says: the whole part, and once more with the rest as probability, by a hash of the key."""
-    chance = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
+    chance = draw(*key, F.lit("copies"))
     copies = F.floor(F.col("rate") + chance).cast("int")
     return mixed.withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)))).drop("_copy")

@@ -41,7 +41,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
     taught = docs.where(~held_out)
-    filters = langid.fit(taught, F.col("lang"), F.col("text"))
+    filters = langid.fit(taught, "lang", "text", "doc_id")
     inputs = docs.select("doc_id", held_out.alias("held_out"), "text")
     return langid.identify(inputs, filters).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -85,8 +85,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = jaccard.link(table(spark, sf_dir, "documents"), size=4, percent=85)
-    return linked.select("doc_id", "n_shingles", "component_id")
+    return jaccard.link(table(spark, sf_dir, "documents"), size=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES = {
