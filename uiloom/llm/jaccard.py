@@ -35,7 +35,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from uiloom.llm.common import draw, outer, scratch, stage, whole_groups
@@ -153,16 +153,20 @@ def summaries(df: DataFrame, id_col: str, text_col: str, size: int, percent: int
     return source.mapInArrow(run, f"row {kind}, key long, n_shingles long, node long, first array<long>, classes binary")
 
 
-def sets_of(base: DataFrame, nodes: DataFrame, wanted: DataFrame, text_col: str, size: int) -> DataFrame:
-    """node and own, the hashes of its set, for the wanted nodes; each is read from one of its documents."""
-    keys = nodes.select("node", "key").join(wanted, "node")
+def projections(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and classes for the wanted nodes (node, key)."""
+    return stage(base.select("key", "classes").join(wanted, "key").select("node", "classes"), "projections")
+
+
+def sets_of(base: DataFrame, keys: DataFrame, text_col: str, size: int) -> DataFrame:
+    """node and own, the hashes of its set, for nodes (node, key); each is read from one of its documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [shingles(text.as_py(), size).tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "own"])
 
-    texts = base.select("key", F.col("row").getField(text_col).alias("text")).join(stage(keys, "owners"), "key")
+    texts = base.select("key", F.col("row").getField(text_col).alias("text")).join(keys, "key")
     return stage(texts.select("node", "text").mapInArrow(run, "node long, own binary"), "sets")
 
 
@@ -198,13 +202,16 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
 def covering(nodes: DataFrame) -> DataFrame:
     """cell, node, n_shingles, pos (place of the cell's shingle) for the regions that are kept; far and native are for cells of a split."""
     members = nodes.select("node", "n_shingles", F.posexplode("first").alias("pos", "cell"))
-    of_region = members.groupBy("cell").agg(
+    region = Window.partitionBy("cell")
+    ends = members.withColumns({"low": F.min("node").over(region), "high": F.max("node").over(region)})
+    shared = stage(ends.where("low <> high").drop("low", "high"), "shared")
+    of_region = shared.groupBy("cell").agg(
         F.count("*").alias("members"), F.min("node").alias("low"), F.min_by("pos", "node").alias("at"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
-    ).where("members > 1")
+    )
     # equal members: the place in one of them tells which region comes first in the order of shingles
-    kept = stage(of_region.groupBy("members", "low", "x", "y").agg(F.min_by("cell", "at").alias("cell")).select("cell", "members"), "regions")
-    rows = members.join(kept.select("cell"), "cell")
+    kept = stage(of_region.groupBy("members", "low", "x", "y").agg(F.min_by("cell", "at").alias("cell")).select("cell"), "regions")
+    rows = shared.join(kept, "cell")
     return stage(rows.withColumns({"native": F.lit(True), "far": F.lit(None).cast("double")}), "members")
 
 
@@ -258,10 +265,10 @@ def blocks(cells: DataFrame, hard: int) -> DataFrame:
 
 def possible(tab: pa.Table, percent: int, labels: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of rows of one leaf that are not ruled out, and the summed differences of their projections.
-    Columns of tab: cell, node, n_shingles, pos, native, far, classes."""
+    Columns of tab: cell, node, n_shingles, pos, native, far; without a column classes no projections are compared."""
     cell, node, n, pos, native = (tab.column(c).to_numpy() for c in ("cell", "node", "n_shingles", "pos", "native"))
     far = tab.column("far").to_numpy(zero_copy_only=False).astype(float)
-    raw = [np.frombuffer(x.as_buffer(), "<u2") for x in tab.column("classes")]
+    raw = [np.frombuffer(x.as_buffer(), "<u2") for x in tab.column("classes")] if "classes" in tab.column_names else []
     width = np.fromiter(map(len, raw), "i8", len(raw))
     tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for w in np.unique(width).tolist():  # rows of this width, and those of the next one, summed to it
@@ -286,6 +293,9 @@ def possible(tab: pa.Table, percent: int, labels: np.ndarray | None = None) -> t
         if labels is not None:
             ok &= labels[i] != labels[j]
         i, j, both = i[ok], j[ok], both[ok]
+        if not raw:
+            found.append((i, j, i[:0]))
+            continue
         least = np.minimum(width[i], width[j])
         for w, (place, own) in tables.items():
             for at in np.array_split(np.flatnonzero(least == w), max(1, len(i) * w >> 22)):
@@ -314,7 +324,7 @@ class Forest(dict):
         return x != y
 
 
-LEAF_COLUMNS = ["cell", "node", "n_shingles", "pos", "native", "far", "classes"]
+LEAF_COLUMNS = ["cell", "node", "n_shingles", "pos", "native", "far"]
 
 
 def in_leaves(rows: DataFrame) -> DataFrame:
@@ -338,11 +348,11 @@ def nearest_pairs(leaves: DataFrame, percent: int) -> DataFrame:
 
 
 def open_members(leaves: DataFrame, percent: int) -> DataFrame:
-    """The rows of leaves (with a label) that have a pair with another label that is not ruled out."""
+    """The rows of leaves that have a pair that is not ruled out; if the rows have a label, a pair of two labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tab in whole_groups(batches):
-            i, j, _ = possible(tab, percent, tab.column("label").to_numpy())
+            i, j, _ = possible(tab, percent, tab.column("label").to_numpy() if "label" in tab.column_names else None)
             yield from tab.take(pa.array(np.unique(np.concatenate((i, j))))).to_batches()
 
     return leaves.mapInArrow(run, leaves.schema)
@@ -373,22 +383,24 @@ def compared(leaves: DataFrame, percent: int) -> DataFrame:
 
 def node_labels(base: DataFrame, text_col: str, size: int, percent: int, leaf: int, hard: int) -> DataFrame:
     """node and label of the nodes that have links; the label is equal for nodes that links connect."""
-    nodes = stage(base.where("n_shingles > 0").select("node", "key", "n_shingles", "first", "classes").dropDuplicates(["node"]), "nodes")
-    ends = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    measure = lambda pairs: measured(pairs, sets_of(base, nodes, ends(pairs), text_col, size))
-    cells = stage(blocks(split(covering(nodes), measure, percent, leaf), hard), "leaves")
-    wide = in_leaves(cells.join(nodes.select("node", "classes"), "node").select(*LEAF_COLUMNS))
-    pairs = stage(nearest_pairs(wide, percent), "pairs")
-    sets = sets_of(base, nodes, ends(pairs), text_col, size)
+    nodes = base.where("n_shingles > 0").select("node", "n_shingles", "first").dropDuplicates(["node"])
+    keys = base.where("n_shingles > 0").groupBy("node").agg(F.min("key").alias("key"))  # a document of each node
+    ends = lambda pairs: stage(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(keys, "node"), "ends")
+    measure = lambda pairs: measured(pairs, sets_of(base, ends(pairs), text_col, size))
+    cells = blocks(split(covering(nodes), measure, percent, leaf), hard)
+    cells = stage(open_members(in_leaves(cells.select(*LEAF_COLUMNS)), percent), "leaves")
+    seen = projections(base, stage(cells.select("node").distinct().join(keys, "node"), "live"))
+    pairs = stage(nearest_pairs(in_leaves(cells.join(seen, "node").select(*LEAF_COLUMNS, "classes")), percent), "pairs")
+    sets = sets_of(base, ends(pairs), text_col, size)
     labels = components(measured(pairs, sets).where(100 * F.col("common") >= percent * F.col("all")).select("a", "b"))
 
     # what no pair of the forests holds has no pair at all; of the rest, leaves with several labels go on
     left = cells.join(sets.select("node"), "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     left = stage(left, "labelled")
     mixed = left.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cell")
-    wide = left.join(mixed, "cell").join(nodes.select("node", "classes"), "node").select(*LEAF_COLUMNS, "label")
+    wide = left.join(mixed, "cell").join(seen, "node").select(*LEAF_COLUMNS, "label", "classes")
     still = stage(open_members(in_leaves(wide), percent), "open")
-    more = compared(in_leaves(still.join(sets, "node").select(*LEAF_COLUMNS, "label", "own")), percent)
+    more = compared(in_leaves(still.join(sets, "node").select(*still.columns, "own")), percent)
     return components(stage(more, "links"), labels)
 
 
