@@ -1,27 +1,29 @@
 """Removal of passages that recur anywhere in a table of documents, by windows of words.
 
-A word goes if some window of WINDOW words that covers it starts more than once in the table.
+A word goes if some window of `window` words that covers it starts more than once in the table.
 
 1. Every window has an anchor: the leftmost of its ANCHOR-word phrases with the smallest hash. Equal
    windows have equal anchors, so a window can recur only if its anchor does. Neighbouring windows
    share an anchor; such an occurrence is one narrow row, with a hash of all words that its windows
    cover (its extent). There are about 7 rows for 100 words.
-2. Anchors are counted. Where all extents of a recurring anchor are equal, each of its windows
-   recurs. Where they differ, the windows themselves are counted by hash. That confirms, for each
-   document, its recurring passages.
-3. The confirmed passages of the documents of an Arrow batch are compiled into Aho-Corasick automata,
-   sharded by SHARD_CHARS, and streamed over the same documents. That re-checks the passages; the
-   hash counts have already decided them.
-
-Counts are aggregated before they are shuffled and no group is gathered, so a passage that a third
-of the documents share is no special case. Hashes have 64 bits. Documents with fewer words than a window
-keep all of them; a null text has no words and keeps an empty text. Rows with equal id and text
-get equal results, and count as occurrences of each other.
+2. Anchors are counted, which proposes phrases. Where all extents of a recurring anchor are equal, the extent is one phrase. Where
+   they differ, the windows are counted by hash, and each that seems to recur is a phrase. The words of a phrase are read
+   from one document that holds it, so there is one row for a phrase however often it occurs.
+3. Phrases are dealt over shards of about SHARD_WORDS words by the first document that holds their anchor, so those of one
+   passage stay together. Each shard becomes an Aho-Corasick automaton over words. Documents are streamed through the shards to which their anchors
+   point (other shards can't hold a phrase of theirs), in portions of DOC_CHARS, each with its own copy of the automaton. Every hit is an occurrence, word for word.
+4. A phrase that the automata find only once in all documents was proposed by a collision of hashes: it is taken out, and the documents are
+   streamed again. What the hits cover is removed; nothing else is.
+
+Counts are aggregated before they are shuffled, no group is gathered, and a shard that many documents need is copied
+to several tasks, so a passage that a third of the documents share is no special case.
+
+Edge cases: a null text has no words and keeps an empty text. Documents with fewer words than a window keep all of them. Very long texts go through whole.
+Rows with equal id and text get equal results and count as occurrences of each other; ids may be null. An empty table gives an empty result. Further columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
@@ -30,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uiloom.llm.common import stage
+from uiloom.llm.common import SPACE, outer, scratch, stage
 from uiloom.llm.jaccard import P1, P2, P3, _hashes, mix
 
-ANCHOR, PIECE, SHARD_CHARS = 8, 64, 1_000_000
+ANCHOR, SHARD_WORDS, DOC_CHARS = 8, 400_000, 16_000_000
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -74,77 +76,10 @@ def occurrences(own: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return phrase[place[first]], extent, first, last
 
 
-def locate(rows: list[tuple[list[bytes], list[tuple[int, int]]]]) -> Iterator[np.ndarray]:
-    """For each document (words, its confirmed passages), which words are in an occurrence of a passage."""
-    shard: list[tuple[str, np.ndarray]] = []
-    pieces: set[str] = set()
-    size = 0
-
-    def stream() -> Iterator[np.ndarray]:
-        automaton = ahocorasick.Automaton()
-        for piece in pieces:
-            automaton.add_word(piece, len(piece))
-        automaton.make_automaton()
-        for text, starts in shard:
-            change = np.zeros(len(starts) + 1, "i8")
-            for end, length in automaton.iter(text):
-                # a piece starts and ends with the space around its words
-                change[np.searchsorted(starts, end - length + 2)] += 1
-                change[np.searchsorted(starts, end)] -= 1
-            yield np.cumsum(change[:-1]) > 0
-
-    for words, passages in rows:
-        text = " " + b" ".join(words).decode() + " "
-        lengths = np.fromiter((len(w.decode()) for w in words), "i8", len(words))
-        starts = np.cumsum(np.concatenate(([1], lengths + 1)))[:-1]
-        own: list[str] = []
-        for first, stop in passages:
-            for a in range(first, stop, PIECE):
-                if stop - a >= PIECE or a == first:
-                    b = a + PIECE if stop - a >= 2 * PIECE else stop
-                    own.append(text[starts[a] - 1 : starts[b - 1] + lengths[b - 1] + 1])
-        if shard and size + sum(map(len, own)) > SHARD_CHARS:
-            yield from stream()
-            shard, pieces, size = [], set(), 0
-        shard.append((text, starts))
-        chars = 0
-        for i, piece in enumerate(own):
-            pieces.add(piece)
-            chars += len(piece)
-            if chars > SHARD_CHARS and i + 1 < len(own):  # a very long document goes through several shards
-                found = [*stream()]
-                shard, pieces, chars = [(text, starts)], set(), 0
-                yield from found[:-1]
-                long = found[-1]
-                for j in range(i + 1, len(own), max(1, SHARD_CHARS // 1000)):
-                    pieces = set(own[j : j + max(1, SHARD_CHARS // 1000)])
-                    long = long | [*stream()][0]
-                yield long
-                shard, pieces = [], set()
-                break
-        size = sum(map(len, pieces))
-    if shard:
-        yield from stream()
-
-
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for first, stop in sorted(spans):
-        if out and first <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], stop))
-        else:
-            out.append((first, stop))
-    return out
+def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
+    """key, anchor, extent, first and last window of each run of windows that share an anchor; docs: key, text."""
 
-
-def remove_recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int) -> DataFrame:
-    """doc_id, n_words, n_removed and the kept words, joined by one space, of each row."""
-    docs = df.select(df[id_col].alias("doc_id"), F.coalesce(df[text_col], F.lit("")).alias("text"))
-    docs = docs.withColumn("row", F.xxhash64("text"))
-    id_kind = docs.schema["doc_id"].dataType.simpleString()
-    key = ["doc_id", "row"]
-
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             took, found = [], []
             for i, text in enumerate(batch.column(1)):
@@ -154,56 +89,180 @@ def remove_recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     took.append(np.full(len(found[-1][0]), i))
             if not found:
                 continue
-            rows = pa.array(np.concatenate(took))
             anchor, extent, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
-            columns = [batch.column(0).take(rows), batch.column(2).take(rows), pa.array(anchor.view("i8")), pa.array(extent.view("i8")), pa.array(first.astype("i4")), pa.array(last.astype("i4"))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*key, "anchor", "extent", "first", "last"])
-
-    occurring = docs.mapInArrow(anchors, f"doc_id {id_kind}, row long, anchor long, extent long, first int, last int")
-    counted = occurring.groupBy("anchor").agg(F.count("*").alias("n"), F.min("extent").alias("low"), F.max("extent").alias("high"))
-    recurring = stage(counted.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "anchors")
-    span = F.struct("first", "last", "mixed").alias("span")
-    spans = occurring.drop("extent").join(recurring, "anchor").select(*key, span).groupBy(*key).agg(F.collect_set("span").alias("spans"))
-    # each row once, with the words of those that may lose some; the others are done
-    held = stage(docs.join(stage(spans, "spans"), key, "left"), "held")
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys = batch.column(0).take(pa.array(np.concatenate(took)))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(anchor.view("i8")), pa.array(extent.view("i8")), pa.array(first.astype("i4")), pa.array(last.astype("i4"))], names=["key", "anchor", "extent", "first", "last"])
+
+    return docs.select("key", "text").mapInArrow(run, "key long, anchor long, extent long, first int, last int")
+
+
+def window_rows(held: DataFrame, window: int) -> DataFrame:
+    """window (a hash), key, first and owner for the windows of spans whose anchor has different extents; held: key, text, spans."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (text, found) in enumerate(zip(batch.column(2), batch.column(3).to_pylist(), strict=True)):
-                open_spans = [s for s in found if s["mixed"]]
-                if not open_spans:
+            for key, text, spans in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                mixed = [s for s in spans if s["mixed"]]
+                if not mixed:
                     continue
                 own = Words(text.as_py().encode().split())
-                start = np.concatenate([np.arange(s["first"], s["last"] + 1) for s in open_spans])
-                same = pa.array(np.full(len(start), i))
-                columns = [batch.column(0).take(same), batch.column(1).take(same), pa.array(own.runs(start, start + window).view("i8")), pa.array(start.astype("i4"))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*key, "window", "start"])
-
-    open_rows = held.where("spans IS NOT NULL").select(*key, "text", "spans")
-    candidates = open_rows.mapInArrow(windows, f"doc_id {id_kind}, row long, window long, start int")
-    confirmed = stage(candidates.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"), "windows")
-    starts = candidates.join(confirmed, "window").groupBy(*key).agg(F.collect_set("start").alias("starts"))
-    settled = open_rows.join(stage(starts, "starts"), key, "left").select("doc_id", "text", "spans", "starts")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                first = np.concatenate([np.arange(s["first"], s["last"] + 1) for s in mixed])
+                owner = np.concatenate([np.full(s["last"] + 1 - s["first"], s["owner"]) for s in mixed])
+                columns = [pa.array(own.runs(first, first + window).view("i8")), pa.array(np.full(len(first), key.as_py())), pa.array(first.astype("i4")), pa.array(owner)]
+                yield pa.RecordBatch.from_arrays(columns, names=["window", "key", "first", "owner"])
+
+    return held.select("key", "text", "spans").mapInArrow(run, "window long, key long, first int, owner long")
+
+
+def phrase_texts(held: DataFrame, wanted: DataFrame) -> DataFrame:
+    """owner and words of each phrase; wanted: key of a document that holds it, first word, stop, owner."""
+    by_doc = wanted.groupBy("key").agg(F.collect_list(F.struct("first", "stop", "owner")).alias("phrases"))  # of one document, so bounded by its words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, found, own in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                passages = [(s["first"], s["last"] + window) for s in found if not s["mixed"]] + [(s, s + window) for s in own or ()]
-                rows.append((text.as_py().encode().split(), merged(passages)))
-            lost = [*locate(rows)]
-            counts = [len(words) for words, _ in rows]
-            removed = [int(gone.sum()) for gone in lost]
-            kept = [b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode() for (words, _), gone in zip(rows, lost, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for text, phrases in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                words = text.as_py().split(" ")
+                own = [(p["owner"], " ".join(words[p["first"] : p["stop"]]), p["stop"] - p["first"]) for p in phrases]
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*own, strict=True), (pa.int64(), pa.string(), pa.int32()), strict=True)], names=["owner", "words", "n"])
+
+    texts = held.select("key", "text").dropDuplicates(["key"]).join(by_doc, "key").select("text", "phrases")
+    found = texts.mapInArrow(run, "owner long, words string, n int")
+    return found.groupBy("words").agg(F.min("owner").alias("owner"), F.first("n").alias("n"))
+
+
+def locate(sent: DataFrame) -> DataFrame:
+    """Streams documents through automata. sent: task, kind (0: phrases, 1: documents), id, text, rows of a task together and its phrases first.
+    Gives kind 1, id and the spans [first, stop, ..] of the document's words in hits, and kind 0, id and the number of hits of each phrase."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, phrases, automaton = None, [], None
+        numbers: dict[str, int] = {}
+        hits: list[int] = []
+
+        def rows(kind: int, ids: list[int], values: list[list[int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([kind] * len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(values, pa.list_(pa.int32()))], names=["kind", "id", "spans"])
+
+        def ended() -> pa.RecordBatch:
+            return rows(0, [p for p, _ in phrases], [[n] for n in hits])
+
         for batch in batches:
-            words = [text.as_py().encode().split() for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, words), pa.int64()), pa.array([0] * len(words), pa.int64()), pa.array([b" ".join(w).decode() for w in words], pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+            ids, spans = [], []
+            for of, kind, own, value in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True):
+                if of != task:
+                    if hits:
+                        yield ended()
+                    task, phrases, automaton, numbers, hits = of, [], None, {}, []
+                words = value.as_py().split(" ")
+                if kind == 0:
+                    phrases.append((own, tuple(numbers.setdefault(w, len(numbers) + 1) for w in words)))
+                    continue
+                if not phrases:
+                    ids.append(own)
+                    spans.append([])
+                    continue
+                if automaton is None:
+                    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+                    for i, (_, numbered) in enumerate(phrases):
+                        automaton.add_word(numbered, (i, len(numbered)))
+                    automaton.make_automaton()
+                    phrases, hits = [(p, ()) for p, _ in phrases], [0] * len(phrases)
+                found: list[int] = []
+                low = high = -1
+                for end, (i, length) in automaton.iter(tuple([numbers.get(w, 0) for w in words])):
+                    hits[i] += 1
+                    start = end - length + 1
+                    if start <= high and low <= start:
+                        high = end + 1
+                    else:  # also for a longer phrase that starts before the last one; spans are merged at the end
+                        if high > 0:
+                            found += [low, high]
+                        low, high = start, end + 1
+                if high > 0:
+                    found += [low, high]
+                ids.append(own)
+                spans.append(found)
+            yield rows(1, ids, spans)
+        if hits:
+            yield ended()
+
+    return sent.mapInArrow(run, "kind int, id long, spans array<int>")
+
+
+def removed(flat: list[int], n: int) -> np.ndarray:
+    """Which of n words the spans [first, stop, ..] cover."""
+    at = np.array(flat, "i8").reshape(-1, 2)
+    change = np.zeros(n + 1, "i8")
+    np.add.at(change, at[:, 0], 1)
+    np.add.at(change, at[:, 1], -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def remove_recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int, shard_words: int = SHARD_WORDS, doc_chars: int = DOC_CHARS) -> DataFrame:
+    """doc_id, n_words, n_removed and the kept words, joined by one space, of each row."""
+    id_kind = df.select(df[id_col].alias("doc_id")).schema["doc_id"].dataType.simpleString()
+    # from here on a text is its words, joined by one space
+    source = df.select(df[id_col].alias("doc_id"), F.trim(F.regexp_replace(F.coalesce(df[text_col], F.lit("")), SPACE + "+", " ")).alias("text"))
+    docs = source.withColumn("key", F.xxhash64("doc_id", "text"))
+    with scratch(df.sparkSession):
+        with scratch(df.sparkSession):
+            occurring = stage(anchor_rows(docs, window), "anchors")
+            counted = occurring.groupBy("anchor").agg(
+                F.count("*").alias("n"), F.min("extent").alias("low"), F.max("extent").alias("high"), F.min(F.struct("key", "first", "last")).alias("one"),
+            ).where("n > 1")
+            recurring = stage(counted.select("anchor", (F.col("low") != F.col("high")).alias("mixed"), "one"), "recurring", owner=outer())
+            marks = recurring.select("anchor", "mixed", F.col("one.key").alias("owner"))
+            spans = occurring.drop("extent").join(marks, "anchor").groupBy("key").agg(F.collect_set(F.struct("first", "last", "mixed", "owner")).alias("spans"))
+            # each row once, with the spans of those that may lose words; the others are done
+            held = stage(docs.join(spans, "key", "left"), "held", owner=outer())
+        some = held.where("spans IS NOT NULL")
+        again = window_rows(some, window).groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("key", "first", "owner")).alias("one")).where("n > 1")
+        whole = recurring.where("NOT mixed").select("one.key", "one.first", (F.col("one.last") + window).alias("stop"), F.col("one.key").alias("owner"))
+        parts = again.select("one.key", "one.first", (F.col("one.first") + window).alias("stop"), "one.owner")
+        phrases = stage(phrase_texts(some, whole.unionByName(parts)).withColumn("id", F.monotonically_increasing_id()), "phrases")
+        # an owner's phrases are together, if they aren't too many for one shard
+        sizes = stage(phrases.groupBy("owner").agg(F.sum("n").alias("n")), "sizes")
+        shards = max(1, int(2 * (sizes.agg(F.sum("n")).first()[0] or 0) / shard_words))
+        wide = stage(sizes.where(F.col("n") > shard_words).select("owner", F.ceil(F.col("n") / shard_words).cast("int").alias("parts")), "wide")
+        number = F.pmod(F.xxhash64("owner", "part"), F.lit(shards)).cast("int").alias("shard")
+        parted = phrases.join(wide, "owner", "left").withColumn("part", F.pmod(F.xxhash64("words"), F.coalesce("parts", F.lit(1))).cast("int"))
+        owners = some.select("key", "text", F.explode(F.array_distinct(F.transform("spans", lambda s: s["owner"]))).alias("owner")).select("key", "owner").distinct()
+        routed = owners.join(wide, "owner", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+        routed = routed.select("key", number).groupBy("key").agg(F.collect_set("shard").alias("shards"))
+        sent = stage(some.select("key", "text").join(routed, "key").select("key", "text", F.explode("shards").alias("shard")), "routed")
+        loads = stage(sent.groupBy("shard").agg(F.ceil(F.sum(F.length("text")) / doc_chars).cast("int").alias("copies")), "loads")
+
+        def task(rows: DataFrame, kind: int, copy) -> DataFrame:
+            return rows.join(loads, "shard").withColumn("copy", copy).select(F.xxhash64("shard", "copy").alias("task"), F.lit(kind).alias("kind"), "id", "text")
+
+        asked = task(sent.withColumnRenamed("key", "id"), 1, F.pmod(F.xxhash64("id"), F.col("copies")).cast("int"))
+        while True:
+            given = task(parted.select(number, "id", F.col("words").alias("text")), 0, F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+            found = stage(locate(given.unionByName(asked).repartition("task").sortWithinPartitions("task", "kind")), "found")
+            single = found.where("kind = 0").groupBy("id").agg(F.sum(F.col("spans")[0].cast("long")).alias("n")).where("n < 2").select("id")
+            single = stage(single, "single")
+            if single.isEmpty():
+                break
+            parted = parted.join(single, "id", "left_anti")
+        hits = found.where("kind = 1 AND size(spans) > 0").groupBy(F.col("id").alias("key")).agg(F.flatten(F.collect_set("spans")).alias("hits"))
+        rows = some.select("key", "doc_id", "text").join(hits, "key", "left").select("doc_id", "text", "hits")
+        rows = rows.unionByName(held.where("spans IS NULL").select("doc_id", "text", F.lit(None).cast("array<int>").alias("hits")))
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                counts, lost, kept = [], [], []
+                for value, flat in zip(batch.column(1), batch.column(2), strict=True):
+                    text = value.as_py()
+                    counts.append(text.count(" ") + 1 if text else 0)
+                    if flat.is_valid:
+                        gone = removed(flat.as_py(), counts[-1])
+                        lost.append(int(gone.sum()))
+                        kept.append(" ".join(w for w, g in zip(text.split(" "), gone.tolist(), strict=True) if not g))
+                    else:
+                        lost.append(0)
+                        kept.append(text)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    out = f"doc_id {id_kind}, n_words long, n_removed long, kept string"
-    return settled.mapInArrow(keep, out).unionByName(held.where("spans IS NULL").select("doc_id", "text").mapInArrow(whole, out))
+        return stage(rows.mapInArrow(keep, f"doc_id {id_kind}, n_words long, n_removed long, kept string"), "kept", owner=outer())
 
 
 def digest(kept: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     taught = table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 5) != 0).select("doc_id", "toxic")
-    own = toxicity.fit(docs.select("doc_id", "text").join(taught, "doc_id"))
+    own = toxicity.fit(docs, taught)
     scored = toxicity.score(docs, own)
     return scored.select(
         "doc_id",

@@ -1,18 +1,21 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
-Labels are of documents, so tokens get labels from them: a token of a toxic document is labelled toxic
-if its word, or its first letters, are far more frequent in toxic documents (log odds of document
-counts of at least TOXIC_ODDS). The field has two states. A token's score for `toxic` is linear in the log
-odds of its word and of its prefixes; words without evidence share one score. Score weights and transitions are
-learned by gradient ascent on the likelihood of the labelled tokens, then a logistic model maps
-the largest marginal and the expected number of toxic tokens to a document score.
-
-Marginals come from the forward-backward recursion. Between tokens with evidence the recursion is a power of
-one matrix, so it is exact while its cost depends on the tokens with evidence alone.
-
-Training uses about SAMPLE labelled documents of each class, chosen by a hash of the text. The lexicon
-keeps at most LEXICON words and prefixes. Null and empty texts have no tokens and get the
-score of a document without evidence; without labelled rows every score is 0. Repeated rows get equal scores.
+Only documents are labelled, so token labels are made from them by cross-fitting: a bounded sample of the labelled
+documents is cut in two halves, and a token of a toxic document is labelled toxic if in the other half its word, or
+its first letters, are far more frequent in toxic documents (log odds of document counts of at least TOXIC_ODDS).
+The field has two states and its own features: word, first letters, last letters and shape of a token, of which those are kept that
+stand at toxic tokens more often than not in the segments it learns from. The weights of the features, the bias and the transitions are learned by gradient ascent on the
+likelihood of the labelled tokens, then a logistic model maps the largest marginal and the expected number of toxic tokens to a document score.
+
+Marginals come from the forward-backward recursion. Between tokens with features the recursion is a power of
+one matrix, so it is exact while its cost depends on the tokens with features alone.
+
+Training uses about SAMPLE labelled documents of each class, drawn by a hash of the id before any text is read, and
+at most SEGMENTS segments of SEGMENT tokens with and as many without toxic tokens, by a hash of the segment. Documents of any length take part.
+
+Edge cases: null and empty texts have no tokens and get the score of a document without features; very long texts are scored whole.
+With labels of one class only, every score is that class's share, smoothed ((n1 + 0.5) / (n + 1)); without labelled rows every score is 0.
+Labels other than 0 and 1 teach nothing. Repeated rows get equal scores. An empty table gives an empty result. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -24,38 +27,50 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, FITTED, LEXICON = 8_000, 600, 20_000
-TOXIC_ODDS, LEAST_DOCS = 3.0, 3
+from uiloom.llm.common import draw, stage
+
+SAMPLE, SEGMENT, SEGMENTS, ROUNDS = 8_000, 64, 1_500, 60
+TOXIC_ODDS, LEAST_DOCS = 3.0, 2
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 KEEP_WORDS = 300_000
 
 
 def features(word: str) -> list[str]:
+    """What token labels are made from: a word and its first letters."""
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
+def shape(word: str) -> str:
+    return "".join("A" if c.isupper() else "a" for c in word[:1] + word[-1:]) + (">" if len(word) > 8 else "")
+
+
+def own_features(word: str) -> list[str]:
+    """What the field sees of a token."""
+    low = word.lower()
+    return [*features(low), "*" + low[-3:], "*" + low[-4:], "/" + shape(word)]
+
+
 @dataclass
 class Field:
-    """odds: log odds of words and prefixes; weights: bias and slope of the state score; step: transition scores."""
+    """weights: of features; bias: of the toxic state; stay: transition scores; document: the logistic model; prior: the score where nothing was learned."""
 
-    odds: dict[str, float]
+    weights: dict[str, float]
     bias: float = -4.0
-    slope: float = 1.5
     stay: tuple[float, float] = (0.0, 0.0)  # for two ordinary tokens, for two toxic tokens, in a row
     document: tuple[float, float, float] = (-4.0, 0.7, 1.0)
-    learned: bool = True
+    prior: float | None = None
     seen: dict[str, float] = field(default_factory=dict)
 
     def evidence(self, word: str) -> float:
-        """The largest log odds among a word's features, 0 if it has none."""
+        """The sum of the weights of a word's features, 0 if it has none."""
         found = self.seen.get(word)
         if found is None:
-            known = [o for f in features(word.lower()) if (o := self.odds.get(f)) is not None]
-            found = max(known, default=0.0)
+            found = sum(self.weights.get(f, 0.0) for f in own_features(word))
             if len(self.seen) >= KEEP_WORDS:
                 self.seen.clear()
             self.seen[word] = found
@@ -89,7 +104,7 @@ class Field:
         # gaps[i]: neutral tokens before the i-th token with evidence; the last one: after all
         ends = [-1, *at.tolist(), n]
         gaps = [gap(ends[i + 1] - ends[i] - 1 - (i == 0 and ends[1] > 0)) for i in range(len(ends) - 1)]
-        scores = [math.exp(min(30.0, self.bias + self.slope * e)) for e in evidence.tolist()]
+        scores = [math.exp(min(30.0, self.bias + e)) for e in evidence.tolist()]
         forward: list[tuple[float, float]] = []
         x, y = 1.0, neutral
         for i, s in enumerate(scores):
@@ -122,8 +137,8 @@ class Field:
         return max(own), sum(own), at, own
 
     def score(self, top: float, expected: float) -> float:
-        if not self.learned:
-            return 0.0
+        if self.prior is not None:
+            return self.prior
         c, s, e = self.document
         return 1 / (1 + math.exp(-min(30.0, max(-30.0, c + s * logit(top) + e * math.log1p(expected)))))
 
@@ -133,46 +148,62 @@ def logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def train_chain(own: Field, docs: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], rounds: int = 60) -> None:
-    """Gradient ascent on the tokens' log likelihood, all documents at once; docs: tokens, places, evidence, labels."""
-    if not docs:
+def train_chain(own: Field, segments: list[tuple[list[str], list[int]]]) -> None:
+    """Gradient ascent with adapted steps on the log likelihood of the labels of segments (words, labels), all at once."""
+    if not segments:
         return
-    longest = max(d[0] for d in docs)
-    e, y, mask = (np.zeros((len(docs), longest)) for _ in range(3))
-    for i, (n, at, evidence, labels) in enumerate(docs):
-        e[i, at], y[i, at], mask[i, :n] = evidence, labels, 1
-    theta = np.array([own.bias, own.slope, *own.stay])
-    speed = np.zeros(4)
+    longest = max(len(w) for w, _ in segments)
+    y, mask = np.zeros((len(segments), longest)), np.zeros((len(segments), longest))
+    at: list[int] = []
+    names: list[str] = []
+    for i, (found, labels) in enumerate(segments):
+        y[i, : len(found)], mask[i, : len(found)] = labels, 1
+        for t, word in enumerate(found):
+            own_ones = own_features(word)
+            names += own_ones
+            at += [i * longest + t] * len(own_ones)
+    kinds, which = np.unique(np.array(names), return_inverse=True)
+    places = np.array(at)
+    toxic, every = np.bincount(which, y.ravel()[places], len(kinds)), np.bincount(which, minlength=len(kinds))
+    kept = (2 * toxic > every) & (toxic >= LEAST_DOCS)
+    number = np.cumsum(kept) - 1
+    used = kept[which]
+    which, places, kinds = number[which[used]], places[used], kinds[kept]
     pairs = mask[:, 1:]
-    seen = np.array([(y * mask).sum(), (y * e).sum(), ((1 - y[:, 1:]) * (1 - y[:, :-1]) * pairs).sum(), (y[:, 1:] * y[:, :-1] * pairs).sum()])
-    for _ in range(rounds):
-        bias, slope, s0, s1 = theta
-        score = np.stack((np.zeros_like(e), bias + slope * e), -1)
-        score = np.exp(score - score.max(-1, keepdims=True)) * mask[..., None] + (1 - mask[..., None])
-        step = np.exp(np.array([[s0, 0.0], [0.0, s1]]))
+    n = len(kinds)
+    # bias, stay of ordinary tokens, stay of toxic tokens, then the features
+    theta = np.concatenate(([own.bias, *own.stay], np.full(n, 1.0)))
+    seen = np.concatenate(([(y * mask).sum(), ((1 - y[:, 1:]) * (1 - y[:, :-1]) * pairs).sum(), (y[:, 1:] * y[:, :-1] * pairs).sum()], np.bincount(which, y.ravel()[places], n)))
+    squares = np.full(len(theta), 1e-8)
+    for _ in range(ROUNDS):
+        e = np.bincount(places, theta[3:][which], y.size).reshape(y.shape)
+        score = np.stack((np.zeros_like(e), theta[0] + e), -1)
+        score = np.where(mask[..., None] > 0, np.exp(score - score.max(-1, keepdims=True)), 1.0)
+        step = np.exp(np.array([[theta[1], 0.0], [0.0, theta[2]]]))
         forward = np.empty_like(score)
         forward[:, 0] = score[:, 0] / score[:, 0].sum(-1, keepdims=True)
         for t in range(1, longest):
             x = forward[:, t - 1] @ step * score[:, t]
             forward[:, t] = np.where(mask[:, t, None] > 0, x / x.sum(-1, keepdims=True), forward[:, t - 1])
-        back = np.ones((len(docs), 2))
-        want = np.zeros(4)
+        back = np.ones((len(segments), 2))
+        marginal, want = np.zeros_like(y), np.zeros(len(theta))
         for t in range(longest - 1, -1, -1):
             p = forward[:, t] * back
-            p /= p.sum(-1, keepdims=True)
-            want[0] += (p[:, 1] * mask[:, t]).sum()
-            want[1] += (p[:, 1] * e[:, t] * mask[:, t]).sum()
+            marginal[:, t] = p[:, 1] / p.sum(-1) * mask[:, t]
             if t:
                 both = forward[:, t - 1, :, None] * step * (score[:, t] * back)[:, None, :]
                 both /= both.sum((1, 2), keepdims=True)
-                want[2] += (both[:, 0, 0] * mask[:, t]).sum()
-                want[3] += (both[:, 1, 1] * mask[:, t]).sum()
+                want[1] += (both[:, 0, 0] * mask[:, t]).sum()
+                want[2] += (both[:, 1, 1] * mask[:, t]).sum()
                 x = (score[:, t] * back) @ step.T
                 back = np.where(mask[:, t, None] > 0, x / x.sum(-1, keepdims=True), back)
-        slopes = (seen - want) / max(1.0, y.sum()) - 0.01 * np.array([0, theta[1] - 1, theta[2], theta[3]])
-        speed = 0.8 * speed + 0.2 * np.clip(slopes, -1, 1)
-        theta = theta + speed
-    own.bias, own.slope, own.stay = float(theta[0]), float(theta[1]), (float(theta[2]), float(theta[3]))
+        want[0] = marginal.sum()
+        want[3:] = np.bincount(which, marginal.ravel()[places], n)
+        slope = seen - want - 0.05 * theta * np.concatenate(([0.0], np.ones(len(theta) - 1)))
+        squares += slope * slope
+        theta = theta + 0.4 * slope / np.sqrt(squares)
+    own.bias, own.stay = float(theta[0]), (float(theta[1]), float(theta[2]))
+    own.weights = dict(zip(kinds.tolist(), theta[3:].tolist(), strict=True))
 
 
 def train_document(own: Field, rows: list[tuple[float, float, int]]) -> None:
@@ -187,39 +218,87 @@ def train_document(own: Field, rows: list[tuple[float, float, int]]) -> None:
     own.document = tuple(map(float, w))
 
 
-def fit(labelled: DataFrame) -> Field:
-    """Learn from rows (text, toxic). To the driver come LEXICON counts and FITTED texts of each class at most."""
-    rows = labelled.where("toxic IN (0, 1)").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    if not totals.get(0) or not totals.get(1):
-        return Field({}, learned=False)
-    share = F.when(F.col("toxic") == 1, min(1.0, SAMPLE / totals[1])).otherwise(min(1.0, SAMPLE / totals[0]))
-    drawn = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30) < share)
+def toxic_words(drawn: DataFrame) -> list[dict[str, float]]:
+    """For each half of the drawn documents, the features (of the label rule) whose log odds reach TOXIC_ODDS, and these."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                own = sorted({f for w in set(TOKEN.findall(text.as_py())) for f in features(w.lower())}) + [""]
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([toxic] * len(own), pa.int32())], names=["feature", "toxic"])
-
-    counted = drawn.mapInArrow(distinct, "feature string, toxic int").groupBy("feature").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-    drawn_totals = counted.where("feature = ''").first()
-    bad, good = drawn_totals["bad"], drawn_totals["n"] - drawn_totals["bad"]
-    if not bad or not good:
-        return Field({}, learned=False)
-    odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("n") - F.col("bad") + 0.5) / (good + 1.0))
-    kept = counted.where((F.col("feature") != "") & (F.col("bad") >= LEAST_DOCS)).withColumn("odds", odds).where("odds >= 2")
-    lexicon = {r["feature"]: r["odds"] for r in kept.orderBy(F.desc("odds"), "feature").limit(LEXICON).collect()}
-    own = Field(lexicon)
-    part = F.when(F.col("toxic") == 1, min(1.0, FITTED / totals[1])).otherwise(min(1.0, FITTED / totals[0]))
-    some = rows.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 30)) / float(1 << 30) < part).where(F.length("text") < 20_000).limit(3 * FITTED).collect()
-    chain = []
-    for r in some:
-        n, at, evidence = own.tokens(r["text"])
-        if n <= 600:
-            chain.append((n, at, evidence, (evidence >= TOXIC_ODDS) * r["toxic"]))
-    train_chain(own, [d for d in chain if d[0]])
-    train_document(own, [(*own.summary(r["text"])[:2], r["toxic"]) for r in some])
+            for half, toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                own = sorted({f for w in set(TOKEN.findall(text.as_py().lower())) for f in features(w)}) + [""]
+                yield pa.RecordBatch.from_arrays([pa.array([half] * len(own), pa.int32()), pa.array([toxic] * len(own), pa.int32()), pa.array(own, pa.string())], names=["half", "toxic", "feature"])
+
+    seen = drawn.select("half", "toxic", "text").mapInArrow(distinct, "half int, toxic int, feature string")
+    counted = stage(seen.groupBy("half", "feature").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).where("bad > 0"), "counted")
+    totals = counted.where("feature = ''").select("half", F.col("bad").alias("all_bad"), F.col("n").alias("every"))
+    odds = F.log((F.col("bad") + 0.5) / (F.col("all_bad") + 1.0)) - F.log((F.col("n") - F.col("bad") + 0.5) / (F.col("every") - F.col("all_bad") + 1.0))
+    kept = counted.where((F.col("feature") != "") & (F.col("bad") >= LEAST_DOCS)).join(F.broadcast(totals), "half").withColumn("odds", odds)
+    out: list[dict[str, float]] = [{}, {}]
+    for r in kept.where(F.col("odds") >= TOXIC_ODDS).select("half", "feature", "odds").collect():  # features of drawn documents
+        out[r["half"]][r["feature"]] = r["odds"]
+    return out
+
+
+def labelled_segments(drawn: DataFrame, known: list[dict[str, float]]) -> list[tuple[list[str], list[int]]]:
+    """At most SEGMENTS segments (words, labels) with and as many without toxic tokens."""
+    shared = drawn.sparkSession.sparkContext.broadcast(known)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for half, toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                other = shared.value[1 - half]
+                found = TOKEN.findall(text.as_py())
+                rows = []
+                for i in range(0, len(found), SEGMENT):
+                    part = found[i : i + SEGMENT]
+                    labels = [int(bool(toxic) and any(f in other for f in features(w.lower()))) for w in part]
+                    rows.append((int(any(labels)), xxhash64_of(part), part, labels))
+                if rows:
+                    kinds = (pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["some", "order", "words", "labels"])
+
+    rows = stage(drawn.select("half", "toxic", "text").mapInArrow(cut, "some int, order long, words array<string>, labels array<int>"), "segments")
+    out = []
+    for some in (0, 1):
+        out += [(r["words"], r["labels"]) for r in rows.where(F.col("some") == some).orderBy("order").limit(SEGMENTS).collect()]
+    return out
+
+
+def xxhash64_of(words: list[str]) -> int:
+    return xxhash.xxh64_intdigest(" ".join(words)) >> 1
+
+
+def summaries(drawn: DataFrame, own: Field) -> list[tuple[float, float, int]]:
+    """Largest marginal, expected toxic tokens and label of each drawn document."""
+    shared = drawn.sparkSession.sparkContext.broadcast(own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shared.value.summary(text.as_py())[:2] for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), batch.column(0)], names=["top", "expected", "toxic"])
+
+    rows = drawn.select("toxic", "text").mapInArrow(run, "top double, expected double, toxic int").collect()
+    return [(r["top"], r["expected"], r["toxic"]) for r in rows]
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
+    """Learn from the documents that have a row (id, toxic) in labels. To the driver come numbers and features of the drawn documents only."""
+    known = labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IN (0, 1)")
+    totals = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    zeros, ones = totals.get(0, 0), totals.get(1, 0)
+    constant = Field({}, prior=(ones + 0.5) / (ones + zeros + 1) if ones + zeros else 0.0)
+    if not zeros or not ones:
+        return constant
+    share = F.when(F.col("toxic") == 1, min(1.0, SAMPLE / ones)).otherwise(min(1.0, SAMPLE / zeros))
+    some = known.where(draw("id", "toxic") < share).withColumn("half", (draw("id", F.lit("half")) < 0.5).cast("int"))
+    # about 2 SAMPLE rows of three numbers
+    drawn = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(stage(some, "drawn")), "id")
+    drawn = stage(drawn.select("half", "toxic", "text"), "labelled")
+    own = Field({})
+    train_chain(own, labelled_segments(drawn, toxic_words(drawn)))
+    rows = summaries(drawn, own)
+    if len({r[2] for r in rows}) < 2:
+        return constant
+    train_document(own, rows)
     own.seen.clear()
     return own
 
