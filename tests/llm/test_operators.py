@@ -150,21 +150,22 @@ def test_language(spark):
     roots = {"aa": ["tha", "ing", "ent"], "bb": ["ücht", "schö", "eit"]}
     rows = [(i, " ".join("".join(rng.choices(roots[k], k=2)) for _ in range(20)), k) for i, k in enumerate(["aa", "bb"] * 40)]
     df = spark.createDataFrame([*rows, (900, None, "aa"), (901, "12 !", "aa"), (902, "thaing", None)], "doc_id long, text string, lang string")
-    got = {r.doc_id: r for r in langid.identify(df, langid.fit(df.where("doc_id % 3 <> 1"), F.col("lang"), F.col("text"))).collect()}
+    got = {r.doc_id: r for r in langid.identify(df, langid.fit(df.where("doc_id % 3 <> 1"), "lang", "text", "doc_id")).collect()}
     assert all(got[i].lang_pred == k for i, _, k in rows) and got[900].lang_pred == got[901].lang_pred == "und" and got[902].lang_pred == "aa"
-    assert langid.identify(df, langid.build([], [])).where("lang_pred <> 'und'").isEmpty()
+    assert langid.identify(df, langid.fit(df.limit(0), "lang", "text", "doc_id")).where("lang_pred <> 'und'").isEmpty()
 
 
 def test_toxicity(spark):
     rng = random.Random(4)
-    rows = [(" ".join([*rng.choices(VOCABULARY, k=30), *(["vilest", "vilely"] if i % 3 == 0 else [])]), int(i % 3 == 0)) for i in range(240)]
-    own = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    rows = [(i, " ".join([*rng.choices(VOCABULARY, k=30), *(["vilest", "vilely"] if i % 3 == 0 else [])]), int(i % 3 == 0)) for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    own = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
     got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame([(1, "w1 w2 vilest w3 vilely"), (2, "w1 w2 w3"), (3, None)], "doc_id long, text string"), own).collect()}
     assert got[1].score > 0.9 and got[2].score < 0.1 and got[3].score < 0.1 and [(s.start, s.stop) for s in got[1].spans] == [(6, 12), (16, 22)]
     # sparse forward-backward equals the plain recursion
-    crf = toxicity.Field({}, bias=-1.0, slope=0.8, stay=(0.5, 0.7))
-    e = np.array([0, 0, 2.0, 0, 3.0, 0, 0])
-    u = np.exp(np.stack((np.zeros(7), crf.bias + crf.slope * e), 1))
+    crf = toxicity.Field({}, bias=-1.0, stay=(0.5, 0.7))
+    e = np.array([0, 0, 1.6, 0, 2.4, 0, 0])
+    u = np.exp(np.stack((np.zeros(7), crf.bias + e), 1))
     m = np.exp(np.array([[0.5, 0], [0, 0.7]]))
     f, b = [u[0]], [np.ones(2)]
     for t in range(1, 7):
@@ -172,7 +173,7 @@ def test_toxicity(spark):
     for t in range(6, 0, -1):
         b.insert(0, m @ (u[t] * b[0]))
     p = [f[t] * b[t] / (f[t] @ b[t]) for t in range(7)]
-    assert np.allclose(crf.marginals(7, np.array([2, 4]), np.array([2.0, 3.0])), [p[2][1], p[4][1]])
+    assert np.allclose(crf.marginals(7, np.array([2, 4]), np.array([1.6, 2.4])), [p[2][1], p[4][1]])
 
 
 def test_sharding(spark, docs):
@@ -192,7 +193,9 @@ def test_mixing(spark):
     kinds = {"a": VOCABULARY[:40], "b": VOCABULARY[200:240]}
     rows = [(i, k, " ".join(rng.choices(kinds[k], k=50))) for i in range(120) for k in ("a" if i % 4 else "b",)]
     df = spark.createDataFrame([(i, t) for i, _, t in rows] + [(900, None), (901, "")], "doc_id long, text string")
-    mixed = mixing.mix(df, spark.createDataFrame([(k, t) for _, k, t in rows], "domain string, text string"), {"a": 0.5, "b": 0.5}).collect()
+    numbered = [(n, k, t) for n, (_, k, t) in enumerate(rows)]
+    taught = mixing.labelled_words(spark.createDataFrame(numbered, "doc_id long, domain string, text string"), spark.createDataFrame([r[:2] for r in numbered], "doc_id long, domain string"))
+    mixed = mixing.mix(df, taught, {"a": 0.5, "b": 0.5}).collect()
     total = sum(r.n_tokens for r in mixed)
     assert len(mixed) == 122 and all(r.rate >= 0 for r in mixed)
     for k in kinds:
@@ -224,5 +227,85 @@ def test_empty_tables(spark, docs):
     assert jaccard.link(none, size=4, percent=85).isEmpty()
     assert phrases.remove_recurring(none, window=35).isEmpty()
     assert outliers.judge(none).isEmpty()
-    assert not toxicity.fit(none.select("text", F.lit(1).alias("toxic"))).learned
-    assert mixing.mix(none, none.select(F.lit("a").alias("domain"), "text"), {"a": 1.0}).isEmpty()
+    assert toxicity.score(none, toxicity.fit(none, none.select("doc_id", F.lit(1).alias("toxic")))).isEmpty()
+    assert mixing.mix(none, mixing.labelled_words(none, none.select("doc_id", F.lit("a").alias("domain"))), {"a": 1.0}).isEmpty()
+    assert langid.identify(none, langid.fit(none, "lang", "text", "doc_id")).isEmpty()
+    assert bpe.digests(none, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).isEmpty() and pii.summarise(none).isEmpty()
+    assert sharding.shard_records(none, "doc_id", [1.0] * 3).isEmpty()
+
+
+def test_jaccard_splits_and_blocks(spark):
+    """Near copies that link and that don't, with leaves so small that regions are split by pivots and dealt into blocks; null and repeated ids."""
+    rng = random.Random(8)
+    out, passage = [None, "", "one"], rng.choices(VOCABULARY, k=40)
+    for size, copies in ((12, 5), (60, 40), (150, 30)):
+        base = rng.choices(VOCABULARY, k=size)
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+            out.append(" ".join(w + passage if rng.random() < 0.3 else w))
+    out += [" ".join(rng.choices(VOCABULARY, k=20) + passage) for _ in range(30)]
+    sets = [{tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))} if (w := (t or "").split()) else set() for t in out]
+    root = list(range(len(out)))
+    for _ in range(8):
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if a and 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+    df = spark.createDataFrame(list(enumerate(out)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.link(df, size=4, percent=85, leaf=6, hard=20).collect()}
+    assert got == dict(enumerate(root))
+    some = spark.createDataFrame([(None, out[60]), (7, out[60]), (None, "x y"), (None, "x y"), (7, "a b c d e f")], "doc_id long, text string")
+    rows = [(r.doc_id, r.component_id) for r in jaccard.link(some, size=4, percent=85).collect()]
+    assert sorted(map(str, rows)) == sorted(map(str, [(None, 7), (7, 7), (None, None), (None, None), (7, 7)]))
+    left = jaccard.first_of_components(some.withColumn("node", F.lit("mine")), size=4, percent=85)
+    assert left.columns == ["doc_id", "text", "node"] and left.count() == 3
+
+
+def test_phrases_over_several_shards(spark, docs, texts):
+    """Small shards and portions give the same rows; without the automata nothing is removed."""
+    want = phrases.digest(phrases.remove_recurring(docs, window=35)).collect()
+    assert sorted(want) == sorted(phrases.digest(phrases.remove_recurring(docs, window=35, shard_words=60, doc_chars=900)).collect())
+    assert any(r.n_removed for r in want)
+    found, phrases.locate = phrases.locate, lambda sent: found(sent).where("kind = 0")
+    try:
+        assert phrases.remove_recurring(docs, window=35).where("n_removed > 0").isEmpty()
+    finally:
+        phrases.locate = found
+
+
+def test_one_class_of_labels(spark):
+    df = spark.createDataFrame([(i, f"w{i} x", 1) for i in range(9)], "doc_id long, text string, toxic int")
+    for value in (0, 1):
+        own = toxicity.fit(df, df.select("doc_id", F.lit(value).alias("toxic")))
+        assert {r.score >= 0.5 for r in toxicity.score(df, own).collect()} == {value == 1}
+
+
+def test_many_domains_and_languages(spark):
+    rng = random.Random(9)
+    rows = [(i, f"d{i % 16}", " ".join(rng.choices(VOCABULARY[25 * (i % 16) : 25 * (i % 16) + 25], k=30))) for i in range(320)]
+    df = spark.createDataFrame(rows, "doc_id long, domain string, text string")
+    targets = {f"d{k}": 1 + k / 16 for k in range(16)}
+    mixed = mixing.mix(df.select("doc_id", "text"), mixing.labelled_words(df, df), targets).collect()
+    total = sum(r.n_tokens for r in mixed)
+    for k, weight in targets.items():
+        assert abs(sum(r.rate * r.n_tokens * r[f"p_{k}"] for r in mixed) / total - weight / sum(targets.values())) < 1e-2
+    many = spark.createDataFrame([(i, f"l{i:04}", "".join(rng.choices("abcdefghij", k=30))) for i in range(600)], "doc_id long, lang string, text string")
+    assert langid.identify(many, langid.fit(many, "lang", "text", "doc_id")).where("lang_pred = lang").count() >= 500
+    same = spark.createDataFrame([(i, "aa", "the same words") for i in range(9000)] + [(9999, "bb", "quite other things")], "doc_id long, lang string, text string")
+    assert langid.identify(same, langid.fit(same, "lang", "text", "doc_id")).where("lang_pred <> lang OR score < 0.9").isEmpty()
+
+
+def test_smallest_determinant(spark):
+    """Against all halves of a small group."""
+    import itertools
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate((rng.normal(size=(8, 5)), 9 + rng.normal(size=(5, 5))))
+    rows = spark.createDataFrame([(i, "en", "s", *map(float, r)) for i, r in enumerate(x)], f"doc_id long, lang string, source string, {', '.join(f'{c} double' for c in outliers.FEATURES)}")
+    own = outliers.robust(rows).where("level = 2").first()
+    floors = np.diag(outliers.FLOORS)
+    det = lambda i: np.linalg.det(outliers.CONSISTENCY * np.cov(x[list(i)].T, bias=True) + floors)
+    best = min(itertools.combinations(range(13), 7), key=det)
+    assert np.allclose([own[f"m{i}"] for i in range(5)], x[list(best)].mean(0)) and np.isclose(own.spread, np.log(det(best)))

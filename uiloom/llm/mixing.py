@@ -5,30 +5,33 @@ probabilities of the domains. Document rates r >= 0 are then fitted so that the
 each domain, sum of r * tokens * posterior, match its target share of all tokens.
 
 Classifier: multinomial naive Bayes over BUCKETS hashed words, learned from about SAMPLE labelled
-documents (chosen by a hash of the text). The mean evidence of a document's words counts as
-EVIDENCE words at most, so that long documents keep soft memberships.
+documents, drawn by a hash of the id before any text is read. Words of a text depend on each other, so their mean evidence counts as
+that of a number of words at most; which number of EVIDENCE, is chosen by the log loss on a fifth of the sample that the counts don't see.
 
 Fit: least squares over the domains by projected gradient steps from r = 1. Documents of one cell
-of a GRID of posteriors share a rate; a cell's tokens and expected tokens are sums over all of its
+of a grid of posteriors share a rate; a cell's tokens and expected tokens are sums over all of its
 documents, so the totals are exact. Each step is a Spark aggregation of a few sums over the cells, then
 r <- max(0, r - sum of a_k * p_k), with a solving the normal equations of the cells whose
-rate is positive (a plain gradient step where that doesn't help).
+rate is positive (a plain gradient step where that doesn't help). The grid is as fine as MAX_CELLS allows; with very many domains a cell is the likeliest domain.
+A warning tells of targets that no rates reach.
 
-A null or empty text has no tokens, the prior as posterior and the rate of its cell. Without
+Edge cases: a null or empty text has no tokens, the prior as posterior and the rate of its cell. Very long texts are read whole. Without
 labelled rows all domains are equally likely. Repeated rows get equal rates; an empty table
-gives an empty result. Columns `n_tokens`, `p_<domain>`, `rate` are replaced.
+gives an empty result. Further columns are kept; columns `n_tokens`, `p_<domain>`, `rate` and those that start with `_mix` are replaced.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uiloom.llm.common import draw, stage, words
 
-SAMPLE, BUCKETS, EVIDENCE, GRID = 20_000, 4096, 20, 24
+SAMPLE, BUCKETS, GRID, MAX_CELLS = 20_000, 4096, 24, 200_000
+EVIDENCE = (5, 10, 20, 40, 80, 1_000_000_000)
 STEPS, TOLERANCE = 40, 1e-6
 
 
@@ -41,18 +44,23 @@ def numbers(values: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
-def gathered(values: list[float]) -> Column:
+def gathered(values: list[float], of: str) -> Column:
     """The sum of the values of a document's buckets."""
     table = numbers(values)
-    return F.aggregate("_b", F.lit(0.0), lambda total, b: total + F.element_at(table, b + 1))
+    return F.aggregate(of, F.lit(0.0), lambda total, b: total + F.element_at(table, b + 1))
 
 
-def learn(labelled: DataFrame, domains: list[str]) -> tuple[list[float], list[list[float]]]:
-    """Log priors, and for each domain the log probabilities of the buckets, from rows (domain, text).
-    BUCKETS numbers for each domain reach the driver."""
-    total = labelled.count()
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = stage(labelled.where(draw < min(1.0, SAMPLE / max(total, 1))).select("domain", buckets(F.col("text")).alias("b")), "labelled")
+def labelled_words(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """domain and words (as buckets) of about SAMPLE documents that have a row (id, domain) in labels."""
+    known = labels.select(F.col(id_col).alias("id"), "domain").where("id IS NOT NULL AND domain IS NOT NULL")
+    share = min(1.0, SAMPLE / max(1, known.count()))
+    some = stage(known.where(draw("id") <= share), "drawn")  # about SAMPLE rows
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(some), "id")
+    return stage(texts.select("domain", buckets(F.col("text")).alias("b"), (draw("id", F.lit("held")) < 0.2).alias("held")), "labelled")
+
+
+def counted(drawn: DataFrame, domains: list[str]) -> tuple[list[float], list[list[float]]]:
+    """Log priors, and for each domain the log probabilities of the buckets. BUCKETS numbers for each domain reach the driver."""
     docs = {r["domain"]: r["count"] for r in drawn.groupBy("domain").count().collect()}
     counts = {name: [1.0] * BUCKETS for name in domains}
     for r in drawn.select("domain", F.explode("b").alias("b")).groupBy("domain", "b").count().collect():
@@ -61,24 +69,48 @@ def learn(labelled: DataFrame, domains: list[str]) -> tuple[list[float], list[li
     return prior, [[math.log(c / sum(counts[name])) for c in counts[name]] for name in domains]
 
 
-def memberships(df: DataFrame, text_col: str, domains: list[str], prior: list[float], weights: list[list[float]]) -> DataFrame:
+def learn(drawn: DataFrame, domains: list[str]) -> tuple[list[float], list[list[float]], int]:
+    """Log priors, log probabilities of the buckets, and the words' evidence that fits held-out documents best."""
+    drawn = drawn.where(F.col("domain").isin(domains))
+    prior, weights = counted(drawn.where("NOT held"), domains)
+    held = drawn.where("held").withColumn("n", F.size("b"))
+    k = range(len(domains))
+    means = [gathered(weights[i], "b") / F.greatest("n", F.lit(1)) for i in k]
+    held = held.withColumns({f"m{i}": m for i, m in enumerate(means)})
+    losses = []
+    for j, most in enumerate(EVIDENCE):
+        scores = [prior[i] + F.col(f"m{i}") * F.least("n", F.lit(most)) for i in k]
+        top = F.greatest(*scores) if len(domains) > 1 else scores[0]
+        whole = top + F.log(sum((F.exp(x - top) for x in scores), F.lit(0.0)))
+        own = sum((F.when(F.col("domain") == name, scores[i]).otherwise(0.0) for i, name in enumerate(domains)), F.lit(0.0))
+        losses.append(F.avg(whole - own).alias(f"l{j}"))
+    row = held.agg(*losses).first()
+    best = min(range(len(EVIDENCE)), key=lambda j: (row[f"l{j}"] if row[f"l{j}"] is not None else 0.0, j))
+    return *counted(drawn, domains), EVIDENCE[best]
+
+
+def memberships(df: DataFrame, text_col: str, domains: list[str], prior: list[float], weights: list[list[float]], most: int) -> DataFrame:
     """df with n_tokens and the posteriors p_<domain>."""
-    out = df.withColumn("_b", buckets(F.col(text_col))).withColumn("n_tokens", F.size("_b").cast("long"))
+    out = df.withColumn("_mix_b", buckets(F.col(text_col))).withColumn("n_tokens", F.size("_mix_b").cast("long"))
     scores = [F.lit(0.0)]
     for k in range(1, len(domains)):  # log odds against the first domain
-        evidence = gathered([w - v for w, v in zip(weights[k], weights[0], strict=True)])
-        out = out.withColumn(f"_s{k}", prior[k] - prior[0] + evidence / F.greatest("n_tokens", F.lit(1)) * F.least("n_tokens", F.lit(EVIDENCE)))
-        scores.append(F.col(f"_s{k}"))
+        evidence = gathered([w - v for w, v in zip(weights[k], weights[0], strict=True)], "_mix_b")
+        out = out.withColumn(f"_mix_s{k}", prior[k] - prior[0] + evidence / F.greatest("n_tokens", F.lit(1)) * F.least("n_tokens", F.lit(most)))
+        scores.append(F.col(f"_mix_s{k}"))
     top = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    out = out.withColumns({f"_e{k}": F.exp(s - top) for k, s in enumerate(scores)})
-    whole = sum((F.col(f"_e{k}") for k in range(1, len(domains))), F.col("_e0"))
-    out = out.withColumns({f"p_{name}": F.col(f"_e{k}") / whole for k, name in enumerate(domains)})
-    return out.drop("_b", *(f"_s{k}" for k in range(1, len(domains))), *(f"_e{k}" for k in range(len(domains))))
+    out = out.withColumns({f"_mix_e{k}": F.exp(s - top) for k, s in enumerate(scores)})
+    whole = sum((F.col(f"_mix_e{k}") for k in range(1, len(domains))), F.col("_mix_e0"))
+    out = out.withColumns({f"p_{name}": F.col(f"_mix_e{k}") / whole for k, name in enumerate(domains)})
+    return out.drop("_mix_b", *(f"_mix_s{k}" for k in range(1, len(domains))), *(f"_mix_e{k}" for k in range(len(domains))))
 
 
 def cell(domains: list[str]) -> Column:
-    """The cell of the grid that holds a document's posterior: at most (GRID + 1) to the number of domains less one."""
-    return sum((F.round(F.col(f"p_{name}") * GRID).cast("long") * (GRID + 1) ** k for k, name in enumerate(domains[1:])), F.lit(0).cast("long"))
+    """The cell of the grid that holds a document's posterior; there are at most MAX_CELLS, or as many as domains."""
+    grid = max((g for g in range(1, GRID + 1) if (g + 1) ** (len(domains) - 1) <= MAX_CELLS), default=0)
+    if grid:
+        return sum((F.round(F.col(f"p_{name}") * grid).cast("long") * (grid + 1) ** k for k, name in enumerate(domains[1:])), F.lit(0).cast("long"))
+    largest = F.array_max(F.array(*(F.struct(F.col(f"p_{name}"), F.lit(-k)) for k, name in enumerate(domains))))
+    return (-largest["col2"]).cast("long")
 
 
 def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
@@ -103,6 +135,7 @@ def fit(cells: DataFrame, domains: list[str], shares: list[float]) -> Column:
         return rate
     k = range(len(domains))
     plain, before, step = False, math.inf, [0.0 for _ in k]
+    now = math.inf
     for _ in range(STEPS):
         share = F.col("n") / total
         sums = [F.sum(F.col("r") * share * F.col(f"q{i}")).alias(f"s{i}") for i in k]
@@ -116,26 +149,27 @@ def fit(cells: DataFrame, domains: list[str], shares: list[float]) -> Column:
         before = now
         step = error if plain else solve([[row[f"g{i}{j}"] for j in k] for i in k], error)
         rate = F.greatest(F.lit(0.0), rate - sum((F.lit(float(step[i])) * F.col(f"q{i}") for i in k), F.lit(0.0)))
+    if now >= 1e-6:
+        warnings.warn(f"no rates found that meet the targets; shares are off by {math.sqrt(now):.2g}", stacklevel=3)
     return rate
 
 
-def mix(df: DataFrame, labelled: DataFrame, targets: dict[str, float], text_col: str = "text") -> DataFrame:
-    """df with n_tokens, p_<domain> and rate. labelled: rows (domain, text); targets: share of all tokens by domain."""
+def mix(df: DataFrame, drawn: DataFrame, targets: dict[str, float], text_col: str = "text") -> DataFrame:
+    """df with n_tokens, p_<domain> and rate. drawn: what labelled_words gives; targets: share of all tokens by domain."""
     domains, whole = list(targets), sum(targets.values())
-    known = labelled.where(F.col("domain").isin(domains))
-    member = memberships(df.drop("rate"), text_col, domains, *learn(known, domains)).withColumn("_cell", cell(domains))
+    member = memberships(df.drop("rate"), text_col, domains, *learn(drawn, domains)).withColumn("_mix_cell", cell(domains))
     member = stage(member, "members")
     sums = [F.sum(F.col("n_tokens") * F.col(f"p_{name}")).alias(f"m{i}") for i, name in enumerate(domains)]
-    grouped = member.groupBy("_cell").agg(F.sum("n_tokens").cast("double").alias("n"), *sums, *(F.avg(f"p_{name}").alias(f"a{i}") for i, name in enumerate(domains)))
+    grouped = member.groupBy("_mix_cell").agg(F.sum("n_tokens").cast("double").alias("n"), *sums, *(F.avg(f"p_{name}").alias(f"a{i}") for i, name in enumerate(domains)))
     means = [F.when(F.col("n") > 0, F.col(f"m{i}") / F.col("n")).otherwise(F.col(f"a{i}")).alias(f"q{i}") for i in range(len(domains))]
-    cells = stage(grouped.select("_cell", "n", *means), "cells")
-    rates = cells.select("_cell", fit(cells, domains, [w / whole for w in targets.values()]).alias("rate"))
-    # the grid bounds the number of cells
-    return member.join(F.broadcast(rates), "_cell").drop("_cell")
+    cells = stage(grouped.select("_mix_cell", "n", *means), "cells")
+    rates = cells.select("_mix_cell", fit(cells, domains, [w / whole for w in targets.values()]).alias("rate"))
+    # MAX_CELLS rows at most
+    return member.join(F.broadcast(rates), "_mix_cell").drop("_mix_cell")
 
 
 def draw_copies(mixed: DataFrame, *key: Column) -> DataFrame:
     """Each row as often as its rate says: the whole part, and once more with the rest as probability, by a hash of the key."""
     chance = draw(*key, F.lit("copies"))
     copies = F.floor(F.col("rate") + chance).cast("int")
-    return mixed.withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)))).drop("_copy")
+    return mixed.withColumn("_mix_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)))).drop("_mix_copy")

@@ -2,9 +2,10 @@
 
 Base rules read a text's words: too few words, or too many words in 8-word windows that the text
 repeats, fail a document. All others become vectors of transformed statistics. For each language
-and source, a minimum-covariance-determinant estimate is made: starting from medians and median
-absolute deviations, STEPS concentration steps each keep the SUPPORT share of rows nearest by
-Mahalanobis distance and estimate mean and covariance anew from them: outliers, copies of one text
+and source, a minimum-covariance-determinant estimate is made. It starts from medians and median
+absolute deviations, and from STARTS - 1 samples of about DRAWN rows each. Concentration steps each keep the SUPPORT share of rows nearest by
+Mahalanobis distance and estimate mean and covariance anew from them, until no start's determinant falls by more than TOLERANCE any more
+(STEPS times at most); the estimate with the smallest determinant is taken. Outliers, copies of one text
 or not, can make up nearly half of a group. The covariance is scaled to
 be consistent for normal data, and FLOORS are added to its diagonal, since most statistics are constant
 in clean text. A row whose squared distance exceeds CUTOFF is rejected.
@@ -24,10 +25,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uiloom.llm.common import SPACE, stage, words
+from uiloom.llm.common import SPACE, draw, stage, words
 
 WINDOW = 8
-SUPPORT, STEPS, LEAST = 0.5, 3, 50
+SUPPORT, STARTS, DRAWN, STEPS, TOLERANCE, LEAST = 0.5, 3, 60, 12, 0.01, 50
 #: 0.99999 quantile of chi-squared with 5 degrees of freedom, and SUPPORT / P(chi-squared with 7 <= the SUPPORT quantile with 5).
 CUTOFF, CONSISTENCY = 30.86, 1.91
 #: Least variance of each statistic: log words, log mean word length, log symbols in 1000 characters, shares of repeated lines and words.
@@ -36,6 +37,8 @@ FEATURES = tuple(f"x{i}" for i in range(len(FLOORS)))
 GROUP = ["lang", "source"]
 #: An estimate's rows: at level 0 a language and source, at 1 a language, at 2 all; what a level leaves out is null.
 CELL = ["level", *GROUP]
+#: An estimate in the making: one of each start.
+TRIAL = ["start", *CELL]
 
 
 def repeat_positions(hashes: Column) -> Column:
@@ -92,7 +95,7 @@ def estimate(rows: DataFrame) -> DataFrame:
     p = range(len(FEATURES))
     sums = [F.count("*").alias("n"), *(F.avg(x).alias(f"m{i}") for i, x in enumerate(FEATURES))]
     sums += [F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}{j}") for i in p for j in p if j <= i]
-    return rows.groupBy(*CELL).agg(*sums)
+    return rows.groupBy(*TRIAL).agg(*sums)
 
 
 def factored(stats: DataFrame, scale: float) -> DataFrame:
@@ -135,29 +138,48 @@ def distances(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     return joined.withColumn("far", total).drop(*(c for c in joined.columns if c.startswith("_")))
 
 
-def start(rows: DataFrame) -> DataFrame:
-    """Estimates from medians and median absolute deviations, without correlations."""
+def start(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Start 0: estimates from medians and median absolute deviations, without correlations. The others: from about DRAWN rows.
+    A sample of copies only has no spread, but FLOORS keep its covariance regular."""
+    p = range(len(FEATURES))
     medians = [F.percentile_approx(x, 0.5).alias(f"m{i}") for i, x in enumerate(FEATURES)]
     centre = stage(rows.groupBy(*CELL).agg(F.count("*").alias("n"), *medians), "medians")
     joined = matched(rows, centre, CELL)
     spread = [F.percentile_approx(F.abs(F.col(x) - F.col(f"_m{i}")), 0.5).alias(f"s{i}") for i, x in enumerate(FEATURES)]
-    first = joined.groupBy(*CELL).agg(F.first("_n").alias("n"), *(F.first(f"_m{i}").alias(f"m{i}") for i in range(len(FEATURES))), *spread)
-    p = range(len(FEATURES))
+    first = joined.groupBy(*CELL).agg(F.first("_n").alias("n"), *(F.first(f"_m{i}").alias(f"m{i}") for i in p), *spread)
     own = {f"c{i}{j}": F.pow(1.4826 * F.col(f"s{i}"), 2) if i == j else F.lit(0.0) for i in p for j in p if j <= i}
-    return factored(first.withColumns(own), 1.0).drop(*(f"s{i}" for i in p))
+    middle = factored(first.withColumns(own).withColumn("start", F.lit(0)), 1.0)
+    sampled = matched(trials(rows, range(1, STARTS)), sizes, CELL).where(draw("doc_id", "start") * F.col("_size") <= DRAWN)
+    columns = [c for c in middle.columns if c not in {f"s{i}" for i in p}]
+    return middle.select(*columns).unionByName(factored(estimate(sampled), 1.0).select(*columns))
+
+
+def trials(rows: DataFrame, starts: range) -> DataFrame:
+    """Each row once for each start."""
+    return rows.withColumn("start", F.explode(F.array(*map(F.lit, starts))))
 
 
 def robust(rows: DataFrame) -> DataFrame:
     """The minimum-covariance-determinant estimate of each cell, its covariance factored; n counts all rows of the cell."""
     rows = cells(rows)
     sizes = stage(rows.groupBy(*CELL).agg(F.count("*").alias("size")), "sizes")
-    stats = stage(start(rows), "estimate")
-    for step in range(STEPS):
-        near = distances(rows, stats, CELL)
-        limits = stage(near.groupBy(*CELL).agg(F.percentile_approx("far", SUPPORT).alias("limit")), "limits")
-        core = matched(near, limits, CELL).where("far <= _limit")
-        stats = stage(factored(estimate(core), CONSISTENCY), "estimate")
-    return matched(stats, sizes, CELL).withColumn("n", F.col("_size")).select(*stats.columns)
+    stats = stage(start(rows, sizes), "estimate")
+    spread = sum((2 * F.log(f"l{i}{i}") for i in range(len(FEATURES))), F.lit(0.0))  # log of the determinant
+    before = None
+    for _ in range(STEPS):
+        # a cell whose sample is empty has no such trial
+        near = distances(trials(rows, range(STARTS)), stats, TRIAL).where("far IS NOT NULL")
+        limits = stage(near.groupBy(*TRIAL).agg(F.percentile_approx("far", SUPPORT).alias("limit")), "limits")
+        core = matched(near, limits, TRIAL).where("far <= _limit")
+        stats = stage(factored(estimate(core), CONSISTENCY).withColumn("spread", spread), "estimate")
+        if before is not None:
+            fallen = matched(stats, before, TRIAL).agg(F.max(F.col("_spread") - F.col("spread"))).first()[0]
+            if fallen is None or fallen <= TOLERANCE:
+                break
+        before = stats
+    values = [c for c in stats.columns if c not in (*TRIAL, "n")]
+    best = stats.groupBy(*CELL).agg(F.min_by(F.struct(*values), F.struct("spread", "start")).alias("best")).select(*CELL, "best.*")
+    return matched(best, sizes, CELL).withColumn("n", F.col("_size")).select(*best.columns, "n")
 
 
 def chosen(groups: DataFrame, stats: DataFrame) -> DataFrame:

@@ -51,10 +51,9 @@ TARGETS = {"good": 0.6, "plain": 0.35, "toxic": 0.05}
 
 
 def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows (domain, text) of the labelled documents."""
+    """What the mixing learns from: words of a sample of the labelled documents, with their domains."""
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").otherwise("plain")
-    labels = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id").select("domain", "text")
+    return mixing.labelled_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain")))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
