@@ -431,5 +431,6 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: i
 def first_of_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest id, and of several with this id any one. Rows with null ids come last."""
     base = stage(summaries(df, id_col, text_col, how["size"], how["percent"]), "prefixes")
-    gone = linked(base, id_col, text_col, **how).where(~F.col("leads")).select("key")
+    # staged by themselves: then Spark knows how few they may be, and broadcasts them if their size allows
+    gone = stage(linked(base, id_col, text_col, **how).where(~F.col("leads")).select("key"), "copies")
     return base.select("row", "key").join(gone, "key", "left_anti").select("row.*")
