@@ -7,7 +7,7 @@ A word goes if some window of `window` words that covers it starts more than onc
    share an anchor; such an occurrence is one narrow row, with a hash of all words that its windows
    cover (its extent). There are about 7 rows for 100 words.
 2. Anchors are counted, which proposes phrases. Where all extents of a recurring anchor are equal, the extent is one phrase. Where
-   they differ, the windows are counted by hash, and each that seems to recur is a phrase. The words of a phrase are read
+   they differ, the windows are counted by hash, and those that seem to recur are phrases, neighbours that recur in the same places together. The words of a phrase are read
    from one document that holds it, so there is one row for a phrase however often it occurs.
 3. Phrases are dealt over shards of about SHARD_WORDS words by the first document that holds their anchor, so those of one
    passage stay together. Each shard becomes an Aho-Corasick automaton over words. Documents are streamed through the shards to which their anchors
@@ -97,7 +97,7 @@ def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
 
 
 def window_rows(held: DataFrame, window: int) -> DataFrame:
-    """window (a hash), key, first and owner for the windows of spans whose anchor has different extents; held: key, text, spans."""
+    """window (a hash), key, first, of (the span's first window) and owner for the windows of spans whose anchor has different extents; held: key, text, spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,11 +107,22 @@ def window_rows(held: DataFrame, window: int) -> DataFrame:
                     continue
                 own = Words(text.as_py().encode().split())
                 first = np.concatenate([np.arange(s["first"], s["last"] + 1) for s in mixed])
-                owner = np.concatenate([np.full(s["last"] + 1 - s["first"], s["owner"]) for s in mixed])
-                columns = [pa.array(own.runs(first, first + window).view("i8")), pa.array(np.full(len(first), key.as_py())), pa.array(first.astype("i4")), pa.array(owner)]
-                yield pa.RecordBatch.from_arrays(columns, names=["window", "key", "first", "owner"])
+                n = [s["last"] + 1 - s["first"] for s in mixed]
+                owner, of = np.repeat([s["owner"] for s in mixed], n), np.repeat([s["first"] for s in mixed], n)
+                columns = [pa.array(own.runs(first, first + window).view("i8")), pa.array(np.full(len(first), key.as_py())), pa.array(first.astype("i4")), pa.array(of.astype("i4")), pa.array(owner)]
+                yield pa.RecordBatch.from_arrays(columns, names=["window", "key", "first", "of", "owner"])
 
-    return held.select("key", "text", "spans").mapInArrow(run, "window long, key long, first int, owner long")
+    return held.select("key", "text", "spans").mapInArrow(run, "window long, key long, first int, of int, owner long")
+
+
+def window_phrases(windows: DataFrame, window: int) -> DataFrame:
+    """key, first, stop and owner of phrases for the windows that recur. Windows of one span that recur in the same spans
+    (as two sums over these tell) are one phrase: wherever one of them stands, so do the others and the words between."""
+    span = F.xxhash64("key", "of")
+    part = lambda bits: F.sum(F.pmod(F.shiftright(span, bits), F.lit(1 << 31)))
+    counted = windows.groupBy("window").agg(F.count("*").alias("n"), part(0).alias("x"), part(31).alias("y"), F.min(F.struct("key", "first", "of", "owner")).alias("one"))
+    runs = counted.where("n > 1").groupBy("one.key", "one.of", "one.owner", "n", "x", "y").agg(F.min("one.first").alias("first"), F.max("one.first").alias("last"))
+    return runs.select("key", "first", (F.col("last") + window).alias("stop"), "owner")
 
 
 def phrase_texts(held: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -125,7 +136,7 @@ def phrase_texts(held: DataFrame, wanted: DataFrame) -> DataFrame:
                 own = [(p["owner"], " ".join(words[p["first"] : p["stop"]]), p["stop"] - p["first"]) for p in phrases]
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*own, strict=True), (pa.int64(), pa.string(), pa.int32()), strict=True)], names=["owner", "words", "n"])
 
-    texts = held.select("key", "text").dropDuplicates(["key"]).join(by_doc, "key").select("text", "phrases")
+    texts = held.select("key", "text").join(stage(by_doc, "wanted"), "key").select("text", "phrases")
     found = texts.mapInArrow(run, "owner long, words string, n int")
     return found.groupBy("words").agg(F.min("owner").alias("owner"), F.first("n").alias("n"))
 
@@ -215,9 +226,8 @@ def remove_recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             # each row once, with the spans of those that may lose words; the others are done
             held = stage(docs.join(spans, "key", "left"), "held", owner=outer())
         some = held.where("spans IS NOT NULL")
-        again = window_rows(some, window).groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("key", "first", "owner")).alias("one")).where("n > 1")
         whole = recurring.where("NOT mixed").select("one.key", "one.first", (F.col("one.last") + window).alias("stop"), F.col("one.key").alias("owner"))
-        parts = again.select("one.key", "one.first", (F.col("one.first") + window).alias("stop"), "one.owner")
+        parts = window_phrases(window_rows(some, window), window)
         phrases = stage(phrase_texts(some, whole.unionByName(parts)).withColumn("id", F.monotonically_increasing_id()), "phrases")
         # an owner's phrases are together, if they aren't too many for one shard
         sizes = stage(phrases.groupBy("owner").agg(F.sum("n").alias("n")), "sizes")
