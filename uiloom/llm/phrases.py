@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uiloom.llm.common import SPACE, outer, scratch, stage
@@ -115,13 +115,24 @@ def window_rows(held: DataFrame, window: int) -> DataFrame:
     return held.select("key", "text", "spans").mapInArrow(run, "window long, key long, first int, of int, owner long")
 
 
+def one_of(*parts: str) -> list[Column]:
+    """For an aggregation: the smallest key, and two ints of a row that has it (in one number, as structs would be sorted)."""
+    first, second = (F.col(p).cast("long") for p in parts)
+    return [F.min("key").alias("key"), F.min_by(first * (1 << 32) + second, "key").alias("pack")]
+
+
+def unpacked(*parts: str) -> list[Column]:
+    return [F.shiftright("pack", 32).cast("int").alias(parts[0]), F.col("pack").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias(parts[1])]
+
+
 def window_phrases(windows: DataFrame, window: int) -> DataFrame:
     """key, first, stop and owner of phrases for the windows that recur. Windows of one span that recur in the same spans
     (as two sums over these tell) are one phrase: wherever one of them stands, so do the others and the words between."""
     span = F.xxhash64("key", "of")
     part = lambda bits: F.sum(F.pmod(F.shiftright(span, bits), F.lit(1 << 31)))
-    counted = windows.groupBy("window").agg(F.count("*").alias("n"), part(0).alias("x"), part(31).alias("y"), F.min(F.struct("key", "first", "of", "owner")).alias("one"))
-    runs = counted.where("n > 1").groupBy("one.key", "one.of", "one.owner", "n", "x", "y").agg(F.min("one.first").alias("first"), F.max("one.first").alias("last"))
+    counted = windows.groupBy("window").agg(F.count("*").alias("n"), part(0).alias("x"), part(31).alias("y"), F.min("owner").alias("owner"), *one_of("first", "of"))
+    counted = counted.where("n > 1").select("key", "owner", "n", "x", "y", *unpacked("first", "of"))
+    runs = counted.groupBy("key", "of", "owner", "n", "x", "y").agg(F.min("first").alias("first"), F.max("first").alias("last"))
     return runs.select("key", "first", (F.col("last") + window).alias("stop"), "owner")
 
 
@@ -218,15 +229,15 @@ def remove_recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         with scratch(df.sparkSession):
             occurring = stage(anchor_rows(docs, window), "anchors")
             counted = occurring.groupBy("anchor").agg(
-                F.count("*").alias("n"), F.min("extent").alias("low"), F.max("extent").alias("high"), F.min(F.struct("key", "first", "last")).alias("one"),
+                F.count("*").alias("n"), F.min("extent").alias("low"), F.max("extent").alias("high"), *one_of("first", "last"),
             ).where("n > 1")
-            recurring = stage(counted.select("anchor", (F.col("low") != F.col("high")).alias("mixed"), "one"), "recurring", owner=outer())
-            marks = recurring.select("anchor", "mixed", F.col("one.key").alias("owner"))
+            recurring = stage(counted.select("anchor", (F.col("low") != F.col("high")).alias("mixed"), "key", *unpacked("first", "last")), "recurring", owner=outer())
+            marks = recurring.select("anchor", "mixed", F.col("key").alias("owner"))
             spans = occurring.drop("extent").join(marks, "anchor").groupBy("key").agg(F.collect_set(F.struct("first", "last", "mixed", "owner")).alias("spans"))
             # each row once, with the spans of those that may lose words; the others are done
             held = stage(docs.join(spans, "key", "left"), "held", owner=outer())
         some = held.where("spans IS NOT NULL")
-        whole = recurring.where("NOT mixed").select("one.key", "one.first", (F.col("one.last") + window).alias("stop"), F.col("one.key").alias("owner"))
+        whole = recurring.where("NOT mixed").select("key", "first", (F.col("last") + window).alias("stop"), F.col("key").alias("owner"))
         parts = window_phrases(window_rows(some, window), window)
         phrases = stage(phrase_texts(some, whole.unionByName(parts)).withColumn("id", F.monotonically_increasing_id()), "phrases")
         # an owner's phrases are together, if they aren't too many for one shard
