@@ -56,8 +56,8 @@ def test_gate_and_signature(spark):
 
 
 def test_locales_and_strict_json(spark):
-    rows = spark.createDataFrame([("zh",), ("EN_us",), ("sr-latn-RS",), ("!",)], "v string")
-    assert [r[0] for r in rows.select(T.canonical_locale(F.col("v"))).collect()] == ["zh-CN", "en-US", "sr-Latn-RS", None]
+    rows = spark.createDataFrame([("zh",), ("EN-us",), ("sr-latn-RS",), ("!",), ("zh-yue",), ("EN_us",)], "v string")
+    assert [r[0] for r in rows.select(T.canonical_locale(F.col("v"))).collect()] == ["zh-CN", "en-US", "sr-Latn-RS", None, "zh-yue", None]
     rows = spark.createDataFrame([('{"a":1}',), ('{"a":1,"a":2}',), ('{"a":NaN}',), ("{",)], "v string")
     assert [r[0] for r in rows.select(T.strict_json(F.col("v")).isNotNull()).collect()] == [True, False, False, False]
 

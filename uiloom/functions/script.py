@@ -6,7 +6,7 @@ Nothing here knows Spark, and nothing runs a bundle. A bundle that can't be toke
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 # Calls and assignments that show text, by the place of the text.
@@ -15,7 +15,7 @@ TEXT_CALLS = {
     "setTooltip": 0, "setTitle": 0, "addHeading": 0, "appendText": 0, "addOption": 1,
 }
 CREATE_CALLS = {"createEl", "createSpan", "createDiv", "createButton"}
-TEXT_SINKS = {"textContent", "innerText"}
+TEXT_SINKS = {"textContent", "innerText", "innerHTML"}
 VISIBLE_ATTRIBUTES = {"aria-label", "title", "placeholder"}
 
 OPEN, CLOSE = {"(": ")", "[": "]", "{": "}"}, {")", "]", "}"}
@@ -224,19 +224,46 @@ def split_list(tokens: list[Token], pairs: dict[int, int], first: int, last: int
         yield start, last
 
 
+def is_receiver(tokens: list[Token], i: int) -> bool:
+    """Whether a property name stands behind a name and a dot; behind a call or an index it doesn't count."""
+    return i > 1 and tokens[i - 1].raw == "." and tokens[i - 2].kind == "name"
+
+
+def without_tags(shown: tuple[str, str]) -> tuple[str, str] | None:
+    """Static markup without its tags, if a letter is left."""
+    bare = re.sub("<[^>]*>", "", shown[0])
+    return (bare, bare) if any(map(str.isalpha, bare)) and "{{th:expr:" not in shown[0] else None
+
+
+def entries(tokens: list[Token], pairs: dict[int, int], first: int, last: int) -> Iterator[tuple[str, int, int]]:
+    """Key and range of the value of each entry, if the range is an object literal, in parentheses or not."""
+    while last - first > 1 and tokens[first].raw == "(" and pairs.get(first) == last - 1:
+        first, last = first + 1, last - 1
+    if first >= last or tokens[first].raw != "{" or pairs.get(first) != last - 1:
+        return
+    for a, b in split_list(tokens, pairs, first + 1, last - 1):
+        if b > a + 2 and tokens[a + 1].raw == ":":
+            yield tokens[a].raw.strip("'\""), a + 2, b
+
+
 def visible_text(source: str) -> list[Found] | None:
-    """Texts shown by calls, created elements, sinks and visible attributes."""
+    """Texts shown by calls, options, created elements, sinks and visible attributes."""
     tokens = tokenize(source)
     pairs = None if tokens is None else partners(tokens)
     if pairs is None:
         return None
     out: list[Found] = []
 
-    def add(origin: str, symbol: str, first: int, last: int) -> None:
+    def add(origin: str, symbol: str, first: int, last: int, accept: Callable[[tuple[str, str]], tuple[str, str] | None] = lambda shown: shown) -> None:
         shown = render(source, tokens[first:last])
-        if shown:
+        if shown and (shown := accept(shown)):
             out.append(Found(origin, symbol, *shown, tokens[first].start))
 
+    accepts = {
+        "innerText": lambda shown: None if re.search("[\r\n]", shown[0]) else shown,
+        "innerHTML": without_tags,
+        "setAttribute": lambda shown: None if re.search("[\u3400-\u9fff\U00020000-\U0002fa1f]", shown[0]) else shown,
+    }
     for i, t in enumerate(tokens):
         if t.kind != "name":
             continue
@@ -244,19 +271,22 @@ def visible_text(source: str) -> list[Found] | None:
         items = [*split_list(tokens, pairs, i + 2, pairs[i + 1])] if called else []
         if t.raw in TEXT_CALLS and len(items) > TEXT_CALLS[t.raw]:
             add("ui-call", t.raw, *items[TEXT_CALLS[t.raw]])
+        elif t.raw == "addOptions" and items:
+            for _, a, b in entries(tokens, pairs, *items[0]):
+                if b == a + 1 and tokens[a].kind == "literal":
+                    add("ui-property", t.raw, a, b)
         elif t.raw in CREATE_CALLS:
-            for first, last in items:
-                if tokens[first].raw == "{" and pairs.get(first) == last - 1:
-                    for a, b in split_list(tokens, pairs, first + 1, last - 1):
-                        if tokens[a].raw.strip("'\"") == "text" and b > a + 2 and tokens[a + 1].raw == ":":
-                            add("ui-property", t.raw, a + 2, b)
-        elif t.raw == "setAttribute" and len(items) == 2 and i and tokens[i - 1].raw == ".":
-            (a, b), (c, d) = items
-            if b == a + 1 and tokens[a].raw[1:-1] in VISIBLE_ATTRIBUTES and d == c + 1 and not re.search("[\u4e00-\u9fff]", tokens[c].raw):
-                add("ui-property", "setAttribute", c, d)
-        elif t.raw in TEXT_SINKS and 1 < i < len(tokens) - 2 and tokens[i - 1].raw == "." and tokens[i + 1].raw == "=" and tokens[i + 2].raw != "=":
+            for item in items:
+                for key, a, b in entries(tokens, pairs, *item):
+                    if key == "text":
+                        add("ui-property", t.raw, a, b)
+        elif t.raw == "setAttribute" and len(items) > 1 and is_receiver(tokens, i):
+            (a, b), (c, d) = items[:2]
+            if b == a + 1 and tokens[a].kind == "literal" and unescape(tokens[a].raw[1:-1]) in VISIBLE_ATTRIBUTES and d == c + 1 and tokens[c].kind == "literal":
+                add("ui-property", t.raw, c, d, accepts[t.raw])
+        elif t.raw in TEXT_SINKS and i < len(tokens) - 2 and is_receiver(tokens, i) and tokens[i + 1].raw == "=" and tokens[i + 2].raw != "=":
             last = i + 2
             while last < len(tokens) and tokens[last].raw not in {";", ",", *CLOSE}:
                 last = pairs.get(last, last) + 1
-            add("ui-property", t.raw, i + 2, last)
+            add("ui-property", t.raw, i + 2, last, accepts.get(t.raw, lambda shown: shown))
     return out

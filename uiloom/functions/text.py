@@ -29,11 +29,8 @@ PLACEHOLDER = (
     r"</?[A-Za-z][A-Za-z0-9-]*(?:\s+[A-Za-z_:][\w:.-]*"
     r"(?:=(?:\"[^\"]*\"|'[^']*'|[^\s\"'=<>`]+))?)*\s*/?>"
 )
-MACHINE_KEY = re.compile(
-    r"kind|type|id|actions?|mode|scopes?|status|variant|version|enabled|disabled"
-    r"|[a-z][a-z0-9]*(?:mode|order|sort|variant|scope|status|id|type|version)",
-    re.I,
-)
+MACHINE_KEY = re.compile(r"kind|type|id|action|actions|mode|scope|scopes|status|variant|version|enabled|disabled", re.I)
+MACHINE_SUFFIX = re.compile(r"[a-z][A-Za-z0-9]*(?:mode|order|sort|variant|scope|status|id|type|version)", re.I)
 MACHINE_WORD = re.compile(r"[A-Za-z_$][A-Za-z0-9_$.-]*")
 
 
@@ -51,7 +48,7 @@ def structured(text: str) -> bool:
         if isinstance(value, str) and not MACHINE_WORD.fullmatch(value):
             return False
         if isinstance(value, dict):
-            if not all(MACHINE_KEY.fullmatch(k) for k in value):
+            if not all(MACHINE_KEY.fullmatch(k) or MACHINE_SUFFIX.fullmatch(k) for k in value):
                 return False
             todo += value.values()
         elif isinstance(value, list):
@@ -70,7 +67,7 @@ def norm_text(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFC", t).strip(), na_action="ignore")
 
 
-def looks_like_ui_text(text: Column, most: int = 300) -> Column:
+def looks_like_ui_text(text: Column, most: int | Column = 300) -> Column:
     """The gate without its last term: length, a letter, and none of the excluded shapes."""
     passed = F.length(text).between(2, most) & text.rlike(r"\p{L}")
     for shape in NOT_UI_TEXT:
@@ -78,7 +75,7 @@ def looks_like_ui_text(text: Column, most: int = 300) -> Column:
     return F.coalesce(passed, F.lit(False))
 
 
-def is_ui_text(text: Column, most: int = 300) -> Column:
+def is_ui_text(text: Column, most: int | Column = 300) -> Column:
     """The whole gate; Python sees only texts that start like JSON."""
     jsonish = F.when(text.rlike(r"^\s*[\[{]"), text)
     return looks_like_ui_text(text, most) & ~is_structured(jsonish)
@@ -101,14 +98,24 @@ def inner_html_text(raw: Column) -> Column:
 
 
 def canonical_locale(tag: Column) -> Column:
-    """Language lower, script title, region upper case; a bare zh means zh-CN; null for what is no tag."""
-    parts = F.split(F.replace(tag, F.lit("_"), F.lit("-")), "-")
+    """Language lower, script (four letters) title, region (two letters) upper, all else lower case; a bare zh means zh-CN; null for what is no tag."""
+    parts = F.split(tag, "-")
+    letters = lambda p, n: (F.length(p) == n) & p.rlike(r"\A\p{L}+\z")
     rest = F.transform(
         F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
-        lambda p: F.when(F.length(p) == 4, F.initcap(p)).when(F.length(p).isin(2, 3), F.upper(p)).otherwise(F.lower(p)),
+        lambda p: F.when(letters(p, 4), F.initcap(p)).when(letters(p, 2), F.upper(p)).otherwise(F.lower(p)),
     )
     whole = F.concat_ws("-", F.concat(F.array(F.lower(parts[0])), rest))
-    return F.when(tag.rlike(r"^[A-Za-z]{2,3}([-_][A-Za-z0-9]{2,8})*$"), F.when(whole == "zh", "zh-CN").otherwise(whole))
+    return F.when(tag.rlike(r"^[A-Za-z]{2,3}(-[A-Za-z0-9]{2,8})*$"), F.when(whole == "zh", "zh-CN").otherwise(whole))
+
+
+def normal_bundle(bundle: Column) -> Column:
+    """A script as installers leave it: without the note that suppresses source maps, without anything from its last source map line, without white space at the end."""
+    note, mark = "\n/* nosourcemap */", "//# sourceMappingURL="
+    bare = F.when(F.endswith(bundle, F.lit(note)), F.substring(bundle, F.lit(1), F.length(bundle) - len(note))).otherwise(bundle)
+    lines = F.split(bare, F.lit("\n" + mark), -1)
+    cut = F.when(F.size(lines) > 1, F.array_join(F.slice(lines, F.lit(1), F.size(lines) - 1), "\n" + mark)).when(F.startswith(bare, F.lit(mark)), "").otherwise(bare)
+    return F.regexp_replace(cut, r"(?U)\s+\z", "")
 
 
 def pointer_segment(key: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uiloom.functions.script import visible_text
-from uiloom.functions.text import is_ui_text, norm_text, placeholder_signature, string_key
+from uiloom.functions.text import fits_locale, is_ui_text, norm_text, placeholder_signature, string_key
 
 
 def extract_ui(bundles: DataFrame) -> DataFrame:
@@ -26,10 +26,56 @@ def extract_ui(bundles: DataFrame) -> DataFrame:
     return bundles.select("plugin_id", "bundle").mapInArrow(scan, "plugin_id string, origin string, symbol string, value string, probe string, offset int")
 
 
-def gated(candidates: DataFrame) -> DataFrame:
-    """The candidates that people read, normalised. Proven contexts may hold up to 512 characters."""
+def gated(candidates: DataFrame, locale: str = "en") -> DataFrame:
+    """The candidates that people read and that fit the source locale, normalised. Calls and proven properties may hold up to 512 characters, all else 300."""
     normal = candidates.withColumns({"value": norm_text("value"), "probe": norm_text("probe")})
-    return normal.where(is_ui_text(F.col("value"), 512) & is_ui_text(F.col("probe"), 512)).drop("probe")
+    most = F.when(F.col("origin").isin("ui-call", "ui-property"), 512).otherwise(300)
+    passed = is_ui_text(F.col("value"), most) & is_ui_text(F.col("probe"), most) & fits_locale(F.col("value"), F.lit(locale))
+    return normal.where(passed).drop("probe")
+
+
+def evidence(candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """For each key, the distinct places (offset or -1, origin, strategy, symbol) that a text comes from, in this order."""
+    place = F.struct(F.coalesce("offset", F.lit(-1)).alias("offset"), "origin", "strategy", F.coalesce("symbol", F.lit("")).alias("symbol"))
+    return candidates.groupBy(*keys).agg(F.sort_array(F.collect_set(place)).alias("evidence"))
+
+
+def shared_resources(entries: DataFrame, source: str = "en") -> DataFrame:
+    """Rows (resource_id, locale) of other locales whose resource also exists in the source locale; entries: resource_id, locale, .."""
+    found = entries.select("resource_id", "locale").distinct()
+    return found.where(F.col("locale") != source).join(found.where(F.col("locale") == source).select("resource_id"), "resource_id", "left_semi")
+
+
+def translated(entries: DataFrame, found: DataFrame, source: str = "en") -> DataFrame:
+    """Pairs (owner, locale, string_key, resource_key, source, target): entries (owner, resource_id, resource_key, locale, text) of other
+    locales, joined to the source locale's entry of the same key, and this to the found strings (owner, source, key) of the same text."""
+    at = ["owner", "resource_id", "resource_key"]
+    own = entries.where(F.col("locale") == source).select(*at, F.col("text").alias("source"))
+    other = entries.where(F.col("locale") != source).select(*at, "locale", F.col("text").alias("target"))
+    strings = found.select("owner", "source", F.col("key").alias("string_key"))
+    return other.join(own, at).join(strings, ["owner", "source"]).select("owner", "locale", "string_key", "resource_key", "source", "target")
+
+
+def merged_coverage(carriers: list[DataFrame], group: list[str]) -> DataFrame:
+    """Coverage (group.., target) of several carriers: equal targets are one, groups whose targets differ are out."""
+    rows = carriers[0].select(*group, "target")
+    for other in carriers[1:]:
+        rows = rows.unionByName(other.select(*group, "target"))
+    return rows.groupBy(*group).agg(F.min("target").alias("target"), F.max("target").alias("_other")).where("target = _other").drop("_other")
+
+
+def units(strings_: DataFrame, covered: DataFrame, keys: list[str]) -> DataFrame:
+    """Strings with the sorted locales that cover them, an empty list where none does; covered: keys.., locale."""
+    locales = covered.groupBy(*keys).agg(F.sort_array(F.collect_set("locale")).alias("locales"))
+    return strings_.join(locales, keys, "left").withColumn("locales", F.coalesce("locales", F.array().cast("array<string>")))
+
+
+def coverage_state(covered: DataFrame, by: list[str]) -> DataFrame:
+    """Of each locale: covered entries, and a digest of the set of their keys, which is equal exactly for equal sets whatever the order of rows.
+    The digest is of the sorted digests of the keys' buckets, so no locale's keys are gathered in one place."""
+    bucket = covered.select(*by, "string_key").distinct().withColumn("_b", F.pmod(F.crc32("string_key"), F.lit(4096)))
+    parts = bucket.groupBy(*by, "_b").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("string_key")), "\n"), 256).alias("digest"))
+    return parts.groupBy(*by).agg(F.sum("n").alias("covered_entries"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_b", "digest"))), lambda p: p["digest"]), "\n"), 256).alias("set_digest"))
 
 
 def with_provenance(candidates: DataFrame, keys: list[str]) -> DataFrame:

@@ -22,6 +22,58 @@ PRESENT_FIELDS = (
 )
 
 
+SAFE_INTEGER, CONTENT_BYTES = (1 << 53) - 1, 64 << 20
+
+
+def is_identifier(value: Column, most: int, extra: str = "-") -> Column:
+    """Basic Latin letters, digits and the characters of `extra`; neither a dot nor two dots, and no double slash."""
+    inside = "".join("\\" + c for c in extra)
+    return F.coalesce(value.rlike(rf"\A[A-Za-z0-9{inside}]{{1,{most}}}\z") & ~value.isin(".", "..") & ~F.contains(value, F.lit("//")), F.lit(False))
+
+
+def is_positive(value: Column) -> Column:
+    return F.coalesce(value.between(1, SAFE_INTEGER), F.lit(False))
+
+
+def is_content_size(value: Column) -> Column:
+    return F.coalesce(value.between(0, CONTENT_BYTES), F.lit(False))
+
+
+def is_https_url(value: Column, *, query: bool) -> Column:
+    """An https address with a host, without user, password or fragment, and without a query unless that is allowed."""
+    rest = r"(\?[^#]*)?#?" if query else r"\??#?"
+    return F.coalesce(value.rlike(rf"(?i)\Ahttps://[^/?#@:]+(:[0-9]*)?(/[^?#]*)?{rest}\z"), F.lit(False))
+
+
+def repository_reference(repo: Column) -> Column:
+    """owner and name of `owner/name`; null for what is none."""
+    parts = F.split(repo, "/", -1)
+    sound = (F.size(parts) == 2) & is_identifier(parts[0], 39) & is_identifier(F.get(parts, F.lit(1)), 100, "._-")
+    return F.when(sound, F.struct(parts[0].alias("owner"), F.get(parts, F.lit(1)).alias("name")))
+
+
+def diagnostic_code(code: Column) -> Column:
+    return F.when(code.rlike(r"\A[a-z0-9_]{1,128}\z"), code).otherwise("unknown")
+
+
+def failure_code(code: Column, retryable: Column) -> Column:
+    """The public code that stands for an inner one of a command."""
+    has = lambda *parts: code.rlike("|".join(parts))
+    return (
+        F.when(retryable, "executor_workflow_failed")
+        .when(has("source", "component", "license"), "source_validation_rejected")
+        .when(has("profile", "binding"), "registry_projection_changed")
+        .when(has("adapter", "result_"), "adapter_validation_rejected")
+        .otherwise("executor_workflow_failed")
+    )
+
+
+def resolution_failure_code(code: Column, retryable: Column, http_status: Column) -> Column:
+    """The public code that stands for an inner one of a registry resolution."""
+    again = retryable | F.coalesce(http_status == 409, F.lit(False))
+    return F.when(again, "registry_resolution_retryable").when(code.rlike("profile|binding"), "registry_profile_changed").otherwise("registry_validation_rejected")
+
+
 def violations(rows: DataFrame, keys: list[str], rules: dict[str, Column]) -> DataFrame:
     """Rows (key.., code), one for each rule that a row breaks; a rule that is null counts as broken. No shuffle."""
     broken = F.array_compact(F.array(*(F.when(~F.coalesce(rule, F.lit(False)), F.lit(code)) for code, rule in rules.items())))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uiloom.functions import text as T
 from uiloom.operators import catalog, registry
-from uiloom.plans import documents
+from uiloom.plans import coverage, documents
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 GATE_SQL = " AND ".join(["length(v) BETWEEN 2 AND {most}", r"regexp_matches(v, '\p{{L}}')", *(f"NOT regexp_matches(v, '{p.replace('{', '{{').replace('}', '}}')}')" for p in T.NOT_UI_TEXT)])
 
 
+#: Bundles that the parts of a brand are dealt over; more for larger tables.
+BUNDLES = 256
+
+
 def gate_sql(most: int) -> str:
     return GATE_SQL.format(most=most)
 
@@ -28,8 +32,9 @@ def ui_text_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bundle_of(parts: DataFrame, statement: Column) -> DataFrame:
-    """A bundle for each brand, made of one statement for each part."""
-    return parts.groupBy(F.col("p_brand").alias("plugin_id")).agg(F.concat_ws("\n", F.sort_array(F.collect_list(statement))).alias("bundle"))
+    """Bundles for each brand, made of one statement for each part; a brand's parts are dealt over BUNDLES of them, so no bundle holds a share of the whole table."""
+    dealt = parts.groupBy(F.col("p_brand").alias("plugin_id"), F.pmod(F.xxhash64("p_partkey"), F.lit(BUNDLES)))
+    return dealt.agg(F.concat_ws("\n", F.sort_array(F.collect_list(statement))).alias("bundle")).select("plugin_id", "bundle")
 
 
 def extract_ui_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +155,7 @@ def locale_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blob_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ascii_only = _t(spark, sf_dir, "documents").where("NOT text RLIKE '[^\\\\x00-\\\\x7F]'")
-    return ascii_only.select("doc_id", T.git_blob_id(F.col("text").cast("binary")).alias("blob"))
+    return _t(spark, sf_dir, "documents").select("doc_id", T.git_blob_id(F.col("text").cast("binary")).alias("blob"))
 
 
 def document_blob_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,10 +214,10 @@ ORACLE_SQL = {
  SELECT o_orderpriority FROM orders) WHERE length(value) BETWEEN 2 AND 200 AND regexp_matches(value, '^[A-Za-z]') AND regexp_matches(value, '[A-Z]') AND NOT regexp_matches(value, '[:/.\[\]{}<>]')""",
     "repository_paths": "SELECT p_partkey, p_partkey % 5 IN (0, 4) AS safe FROM part",
     "locale_texts": r"""SELECT doc_id, NOT regexp_matches(text, '[\r\n]') AS single, 2 * length(regexp_replace(text, '[^\p{Latin}]', '', 'g')) >= length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS fits FROM documents""",
-    "blob_ids": r"SELECT doc_id, sha1('blob ' || length(text) || chr(0) || text) AS blob FROM documents WHERE NOT regexp_matches(text, '[^\x00-\x7F]')",
+    "blob_ids": "SELECT doc_id, sha1('blob ' || strlen(text) || chr(0) || text) AS blob FROM documents",
     "document_blob_ids": "SELECT doc_id, sha1('blob ' || strlen(text) || chr(0) || text) AS blob FROM documents",
     "canonical_props": "SELECT event_id, sha256(CAST(json(props) AS VARCHAR)) AS digest FROM events",
 }
 
-QUERIES |= documents.QUERIES
-ORACLE_SQL |= documents.ORACLE_SQL
+QUERIES |= documents.QUERIES | coverage.QUERIES
+ORACLE_SQL |= documents.ORACLE_SQL | coverage.ORACLE_SQL
