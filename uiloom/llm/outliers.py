@@ -4,8 +4,8 @@ Base rules read a text's words: too few words, or too many words in 8-word windo
 repeats, fail a document. All others become vectors of transformed statistics. For each language
 and source, a minimum-covariance-determinant estimate is made. It starts from medians and median
 absolute deviations, and from STARTS - 1 samples of about DRAWN rows each. Concentration steps each keep the SUPPORT share of rows nearest by
-Mahalanobis distance and estimate mean and covariance anew from them, until no start's determinant falls by more than TOLERANCE any more
-(STEPS times at most); the estimate with the smallest determinant is taken. Outliers, copies of one text
+Mahalanobis distance and estimate mean and covariance anew from them. After TRIED steps the start with the smallest determinant goes on alone, until
+no determinant's logarithm falls by more than TOLERANCE any more (STEPS times at most). Outliers, copies of one text
 or not, can make up nearly half of a group. The covariance is scaled to
 be consistent for normal data, and FLOORS are added to its diagonal, since most statistics are constant
 in clean text. A row whose squared distance exceeds CUTOFF is rejected.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from uiloom.llm.common import SPACE, draw, stage, words
 
 WINDOW = 8
-SUPPORT, STARTS, DRAWN, STEPS, TOLERANCE, LEAST = 0.5, 3, 60, 12, 0.01, 50
+SUPPORT, STARTS, DRAWN, TRIED, STEPS, TOLERANCE, LEAST = 0.5, 3, 60, 2, 8, 0.05, 50
 #: 0.99999 quantile of chi-squared with 5 degrees of freedom, and SUPPORT / P(chi-squared with 7 <= the SUPPORT quantile with 5).
 CUTOFF, CONSISTENCY = 30.86, 1.91
 #: Least variance of each statistic: log words, log mean word length, log symbols in 1000 characters, shares of repeated lines and words.
@@ -165,21 +165,24 @@ def robust(rows: DataFrame) -> DataFrame:
     sizes = stage(rows.groupBy(*CELL).agg(F.count("*").alias("size")), "sizes")
     stats = stage(start(rows, sizes), "estimate")
     spread = sum((2 * F.log(f"l{i}{i}") for i in range(len(FEATURES))), F.lit(0.0))  # log of the determinant
-    before = None
-    for _ in range(STEPS):
+    values = ["n", *(c for c in stats.columns if c[0] in "ml" and c[1:].isdigit()), "spread"]
+    starts, before = STARTS, None
+    for turn in range(TRIED + STEPS):
         # a cell whose sample is empty has no such trial
-        near = distances(trials(rows, range(STARTS)), stats, TRIAL).where("far IS NOT NULL")
+        near = distances(trials(rows, range(starts)), stats, TRIAL).where("far IS NOT NULL")
         limits = stage(near.groupBy(*TRIAL).agg(F.percentile_approx("far", SUPPORT).alias("limit")), "limits")
         core = matched(near, limits, TRIAL).where("far <= _limit")
-        stats = stage(factored(estimate(core), CONSISTENCY).withColumn("spread", spread), "estimate")
-        if before is not None:
+        stats = factored(estimate(core), CONSISTENCY).withColumn("spread", spread)
+        if turn == TRIED - 1:
+            best = stats.groupBy(*CELL).agg(F.min_by(F.struct(*values), F.struct("spread", "start")).alias("best"))
+            stats, starts = best.select(F.lit(0).alias("start"), *CELL, "best.*"), 1
+        stats = stage(stats, "estimate")
+        if turn >= TRIED:
             fallen = matched(stats, before, TRIAL).agg(F.max(F.col("_spread") - F.col("spread"))).first()[0]
             if fallen is None or fallen <= TOLERANCE:
                 break
         before = stats
-    values = [c for c in stats.columns if c not in (*TRIAL, "n")]
-    best = stats.groupBy(*CELL).agg(F.min_by(F.struct(*values), F.struct("spread", "start")).alias("best")).select(*CELL, "best.*")
-    return matched(best, sizes, CELL).withColumn("n", F.col("_size")).select(*best.columns, "n")
+    return matched(stats.drop("start", "n"), sizes, CELL).withColumn("n", F.col("_size")).select(*CELL, "n", *values[1:])
 
 
 def chosen(groups: DataFrame, stats: DataFrame) -> DataFrame:
