@@ -73,7 +73,7 @@ def units(strings_: DataFrame, covered: DataFrame, keys: list[str]) -> DataFrame
 def coverage_state(covered: DataFrame, by: list[str]) -> DataFrame:
     """Of each locale: covered entries, and a digest of the set of their keys, which is equal exactly for equal sets whatever the order of rows.
     The digest is of the sorted digests of the keys' buckets, so no locale's keys are gathered in one place."""
-    bucket = covered.select(*by, "string_key").distinct().withColumn("_b", F.pmod(F.crc32("string_key"), F.lit(4096)))
+    bucket = covered.select(*by, "string_key").distinct().withColumn("_b", F.substring(F.sha2("string_key", 256), 1, 3))
     parts = bucket.groupBy(*by, "_b").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("string_key")), "\n"), 256).alias("digest"))
     return parts.groupBy(*by).agg(F.sum("n").alias("covered_entries"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_b", "digest"))), lambda p: p["digest"]), "\n"), 256).alias("set_digest"))
 

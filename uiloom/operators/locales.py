@@ -32,7 +32,9 @@ def flatten(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     The root must be an object without repeated or empty keys; a list anywhere, deeper nesting than DEPTH or more than
     ENTRIES entries reject the whole document, as does a locale that is no tag. Values that are no text, and blank
     texts, are skipped. Null content is malformed; empty objects are accepted and give no entry."""
-    root = documents.select("id", canonical_locale(F.col("locale")).alias("locale"), strict_json(F.col("content")).alias("root"))
+    # names of resources may write a locale with low lines
+    locale = canonical_locale(F.replace(F.col("locale"), F.lit("_"), F.lit("-")))
+    root = documents.select("id", locale.alias("locale"), strict_json(F.col("content")).alias("root"))
     nodes = root.withColumn("nodes", F.when(_is(F.col("root"), "OBJECT"), F.array(F.struct(F.lit("").alias("p"), F.col("root").alias("v")))))
     for _ in range(DEPTH):
         nodes = nodes.withColumn("nodes", F.flatten(F.transform("nodes", _children)))

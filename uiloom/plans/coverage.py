@@ -185,4 +185,7 @@ ORACLE_SQL = {
     "unit_locales": f"WITH {COVERED} SELECT f.owner, f.string_key, coalesce(string_agg(DISTINCT c.locale, ',' ORDER BY c.locale), '') AS locales FROM f LEFT JOIN c USING (owner, string_key) GROUP BY 1, 2",
     "carriers_merged": """SELECT k, line, min(target) AS target FROM (SELECT l_orderkey AS k, l_linenumber AS line, l_returnflag AS target FROM lineitem UNION ALL
  SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 'Z' ELSE l_returnflag END FROM lineitem WHERE l_linenumber % 2 = 0) GROUP BY 1, 2 HAVING count(DISTINCT target) = 1""",
+    "coverage_states": """WITH k AS (SELECT DISTINCT c_mktsegment AS locale, c_name AS k, substr(sha256(c_name), 1, 3) AS b FROM customer),
+ p AS (SELECT locale, b, count(*) AS n, sha256(string_agg(k, chr(10) ORDER BY k)) AS d FROM k GROUP BY 1, 2)
+ SELECT locale, CAST(sum(n) AS BIGINT) AS covered_entries, sha256(string_agg(d, chr(10) ORDER BY b)) AS set_digest FROM p GROUP BY 1""",
 }
