@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,14 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir. Where it is unset, one of our own: beside the
-    warehouse's tables on a cluster, a temporary folder in local mode."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where it is unset: in local mode a temporary folder,
+    on a cluster one beside the warehouse's tables, provided that these aren't on the driver's own disk."""
     context = spark.sparkContext
     if named := context.getConf().get("spark.checkpoint.dir"):
         return named
     if not context.getCheckpointDir():
-        local = context.master.startswith("local")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-") if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/uiloom-staged")
+        if context.master.startswith("local"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        else:
+            warehouse = spark.conf.get("spark.sql.warehouse.dir")
+            if urlsplit(warehouse).scheme in ("", "file"):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            context.setCheckpointDir(f"{warehouse}/uiloom-staged")
     return context.getCheckpointDir()
 
 
@@ -36,47 +45,65 @@ class Scratch:
     """The staged tables of one call."""
 
     def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.paths = spark, []
+        self.jvm, self.hadoop, self.paths = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
 
     def drop(self) -> None:
         """Delete the tables. For when all that reads them has been written."""
-        jvm = self.spark._jvm
         for path in self.paths:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            at = self.jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.hadoop).delete(at, True)
         self.paths = []
 
 
-_open: list[Scratch] = []
+_open: ContextVar[tuple[Scratch, ...]] = ContextVar("open", default=())
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Scratch]:
-    """Tables staged inside are deleted at the end; what is to outlive them is staged with `owner=None` or another scratch."""
+    """Tables staged inside are deleted at the end; what is to outlive them is staged with `owner=outer()` or another scratch.
+    Around a query and the writing of its result, nothing of the query is left."""
     own = Scratch(spark)
-    _open.append(own)
+    token = _open.set((*_open.get(), own))
     try:
         yield own
     finally:
-        _open.remove(own)
+        _open.reset(token)
         own.drop()
 
 
+#: Owns what a lazily read result still needs when no scratch is open around the call; deleted when the process ends.
+_process: list[Scratch] = []
+
+
+def of_process(spark: SparkSession) -> Scratch:
+    if not _process or _process[-1].jvm is not spark._jvm:
+        _process.append(own := Scratch(spark))
+
+        def at_end() -> None:
+            with suppress(Py4JError, OSError):  # a JVM that has gone can't be asked any more
+                own.drop()
+
+        atexit.register(at_end)
+    return _process[-1]
+
+
 def outer() -> Scratch | None:
-    """The scratch around the innermost one, if there is one."""
-    return _open[-2] if len(_open) > 1 else None
+    """The scratch around the innermost one; None (the process) if there is none."""
+    held = _open.get()
+    return held[-2] if len(held) > 1 else None
 
 
 def stage(df: DataFrame, label: str, **to: Scratch | None) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: its lineage ends there,
     and later jobs read it after the loss of an executor instead of computing it again.
-    The table belongs to the innermost open scratch, or to `owner` (None: to nobody, it stays)."""
-    path = f"{shared_dir(df.sparkSession)}/uiloom/{label}-{uuid.uuid4().hex}"
-    owner = to["owner"] if "owner" in to else _open[-1] if _open else None
-    if owner:
-        owner.paths.append(path)
+    The table belongs to `owner`, or else to the innermost open scratch; where that is None or none is open, to the process."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/uiloom/{label}-{uuid.uuid4().hex}"
+    held = _open.get()
+    owner = (to["owner"] if "owner" in to else held[-1] if held else None) or of_process(spark)
+    owner.paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def crc_mod(doc_id: Column, modulus: int) -> Column:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uiloom.llm import bpe, jaccard, langid, mixing, neighbours, outliers, phrases, pii, sharding, toxicity
+from uiloom.llm import bpe, divergence, jaccard, langid, mixing, neighbours, outliers, phrases, pii, sharding, toxicity
 from uiloom.llm.common import crc_mod, table
 
 
@@ -87,6 +87,54 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents"), size=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), "lang", "source", "text")
+
+
+#: The same sums, by all pairs of sources and all kept terms.
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), occurrences AS (
+  SELECT row_id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM occurrences GROUP BY ALL HAVING count(DISTINCT row_id) >= 30
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), kept_n AS (
+  SELECT lang, source, term, count(*) AS n FROM occurrences SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), sized AS (
+  SELECT g.lang, g.source, coalesce(sum(k.n), 0)::HUGEINT AS total FROM groups g LEFT JOIN kept_n k USING (lang, source) GROUP BY ALL
+), langs AS (
+  SELECT s.lang, s.total, (SELECT count(*) FROM kept k WHERE k.lang = s.lang)::HUGEINT AS v
+  FROM (SELECT lang, sum(total)::HUGEINT AS total FROM sized GROUP BY lang) s
+), lang_n AS (
+  SELECT lang, term, sum(n)::HUGEINT AS n FROM kept_n GROUP BY ALL
+), weights AS (
+  SELECT s.lang, s.source, k.term, coalesce(n.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(n.n, 0) + 5)) // (s.total + 5 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (ln.n + 5)) // (l.total + 5 * l.v) AS q
+  FROM sized s JOIN langs l USING (lang) JOIN kept k USING (lang) JOIN lang_n ln USING (lang, term)
+  LEFT JOIN kept_n n ON n.lang = s.lang AND n.source = s.source AND n.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum(abs(x.p - y.p)) FROM weights x JOIN weights y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT * FROM (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value,
+           row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) AS rank
+    FROM weights WHERE n > 0 AND p > q) WHERE rank <= 50
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked
+"""
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -98,6 +146,8 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_divergence_audit": op11_divergence_audit,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: For the others SQL can't express the operator; tests compare them with brute force.
+ORACLE_SQL: dict[str, str] = {"op11_divergence_audit": OP11_SQL}
