@@ -26,9 +26,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ from uiloom.llm.common import outer, scratch, stage
 
 LEAST, TOP, SCALE, SMOOTH = 30, 50, 1_000_000_000, 5
 LIGHT, TILE, BLOCK = 8, 512, 256
-FLUSH = 400_000
+FLUSH, ROWS = 120_000, 10_000
 
 #: Bytes that are no part of a term become spaces, A-Z become a-z.
 TERM_BYTES = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -54,13 +56,13 @@ def count_terms(df: DataFrame, group_col: str, source_col: str, text_col: str) -
 
         def flushed() -> Iterator[pa.RecordBatch]:
             for (lang, source), (occurrences, documents) in seen.items():
-                found = [t.decode() for t in occurrences]
-                k = len(found) + 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * k), pa.array([source] * k), pa.array([*found, None], pa.string()),
-                     pa.array([*occurrences.values(), 0], pa.int64()), pa.array([*(documents[t] for t in occurrences), 0], pa.int64())],
-                    names=["lang", "source", "term", "n", "docs"],
-                )
+                rows = chain([(None, 0, 0)], ((t.decode(), n, documents[t]) for t, n in occurrences.items()))
+                while some := [*islice(rows, ROWS)]:
+                    found, n, docs = zip(*some, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(some)), pa.array([source] * len(some)), pa.array(found, pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())],
+                        names=["lang", "source", "term", "n", "docs"],
+                    )
             seen.clear()
 
         for batch in batches:
@@ -95,11 +97,12 @@ def tile_sums(key: tuple, rows: pa.Table) -> pa.Table:
     columns, place = np.unique(np.array(rows.column("term").to_pylist(), object)[named], return_inverse=True)
     dense = np.repeat(base[:, None], len(columns), 1)
     dense[at[named], place] = rows.column("p").to_numpy(zero_copy_only=False)[named]
+    absent = pc.max(rows.column("terms")).as_py() - len(columns)  # terms of the tile that only other blocks hold
     left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
     firsts, seconds, values = [], [], []
     for i in left.tolist():
         others = right[right > i] if low == high else right
-        sums = np.abs(dense[others] - dense[i]).sum(1).tolist()
+        sums = (np.abs(dense[others] - dense[i]).sum(1) + absent * np.abs(base[others] - base[i])).tolist()
         for j, value in zip(others.tolist(), sums, strict=True):
             firsts.append(sources[min(i, j)])
             seconds.append(sources[max(i, j)])
@@ -113,11 +116,13 @@ def heavy_pairs(posted: DataFrame, groups: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("source"), F.col("blocks"))
     named = posted.where("is_heavy").select("lang", "source", "term", "p", "base").join(sizes, "lang")
     named = named.withColumn("tile", F.pmod(F.xxhash64("term"), F.col("tiles")))
-    # each tile knows all sources of its group, those without any of its terms as well
-    marks = groups.join(sizes, "lang").withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    marks = marks.select("lang", "source", F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("p"), "base", "blocks", "tiles", "tile")
-    rows = named.unionByName(marks).withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("lang", "tile", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "source", "block", "base", "term", "p")
+    # each tile knows all sources of its group, those without any of its terms as well, and how many terms it has
+    held = named.groupBy("lang", "tile").agg(F.count_distinct("term").alias("terms"))
+    marks = groups.join(sizes, "lang").join(held, "lang")
+    marks = marks.select("lang", "source", F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("p"), "base", "blocks", "tiles", "tile", "terms")
+    rows = named.withColumn("terms", F.lit(None).cast("long")).unionByName(marks)
+    rows = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("lang", "tile", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "source", "block", "base", "term", "p", "terms")
     return rows.groupBy("lang", "tile", "low", "high").applyInArrow(tile_sums, "lang string, a string, b string, value long")
 
 
@@ -141,18 +146,19 @@ def audit(df: DataFrame, group_col: str = "lang", source_col: str = "source", te
     spark = df.sparkSession
     with scratch(spark):
         partial = stage(count_terms(df, group_col, source_col, text_col), "terms")
-        named = partial.where("term IS NOT NULL")
-        kept = stage(named.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).select("lang", "term"), "kept")
-        counts = stage(named.join(kept, ["lang", "term"]).groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "counts")
-        by_term = counts.groupBy("lang", "term").agg(F.sum("n").alias("term_n"), (F.count("*") > LIGHT).alias("is_heavy"))
-        by_term = stage(by_term, "by_term")
+        # one shuffle: the sums by source and those of the term over its sources need the same dealing
+        merged = partial.where("term IS NOT NULL").repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        own = Window.partitionBy("lang", "term")
+        merged = merged.select("lang", "source", "term", "n", F.sum("docs").over(own).alias("docs"), F.sum("n").over(own).alias("term_n"), (F.count("*").over(own) > LIGHT).alias("is_heavy"))
+        counts = stage(merged.where(F.col("docs") >= least).drop("docs"), "counts")
+        by_term = counts.select("lang", "term", "term_n", "is_heavy").distinct()
         by_lang = by_term.groupBy("lang").agg(F.sum("term_n").alias("lang_n"), F.count("*").alias("kept"), F.count_if("is_heavy").alias("heavy"))
         totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("source_n"))
         groups = partial.where("term IS NULL").select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(by_lang, "lang", "left")
         groups = groups.na.fill(0, ["source_n", "lang_n", "kept", "heavy"]).withColumn("light", F.col("kept") - F.col("heavy"))
         base = F.when(F.col("kept") > 0, weight(F.lit(0).cast("long"), F.col("source_n"), F.col("kept"))).otherwise(0)
         groups = stage(groups.withColumn("base", base), "groups", owner=outer())
-        posted = counts.join(by_term, ["lang", "term"]).join(groups.drop("heavy", "light"), ["lang", "source"])
+        posted = counts.join(groups.drop("heavy", "light"), ["lang", "source"])
         p, q = weight(F.col("n"), F.col("source_n"), F.col("kept")), weight(F.col("term_n"), F.col("lang_n"), F.col("kept"))
         posted = stage(posted.select("lang", "source", "term", "is_heavy", "base", p.alias("p"), q.alias("q")), "posted", owner=outer())
     pairs = heavy_pairs(posted, groups).unionByName(light_pairs(posted, groups)).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uiloom.llm import bpe, divergence, jaccard, langid, mixing, neighbours, outliers, phrases, pii, sharding, toxicity
+from uiloom.llm import bpe, divergence, jaccard, langid, mixing, neighbours, outliers, packing, phrases, pii, sharding, toxicity, trie
 from uiloom.llm.common import crc_mod, table
 
 
@@ -135,6 +135,52 @@ SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked
 """
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    # a sequence holds one piece, which starts it
+    return packed.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.build(table(spark, sf_dir, "conversations"))
+
+
+#: Every node by every conversation that starts with it; crc32 is written out, bit by bit.
+OP13_SQL = """
+WITH turns AS (
+  SELECT conv_id, length(coalesce(text, '')) AS chars, turn, coalesce(role, '') AS role,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(k ORDER BY turn NULLS FIRST, role, k) AS ks, list(chars ORDER BY turn NULLS FIRST, role, k) AS cs
+  FROM turns GROUP BY conv_id
+), taken AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+              lambda ch: [ord(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+              lambda c, e: xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384)), 4294967295::BIGINT) % 6 AS h
+  FROM own
+), rebuilt AS (
+  SELECT t.conv_id, list_concat(coalesce(f.ks, [])[1:t.h], t.ks[t.h + 1:]) AS ks, list_concat(coalesce(f.cs, [])[1:t.h], t.cs[t.h + 1:]) AS cs
+  FROM taken t LEFT JOIN own f ON f.conv_id = t.conv_id - t.conv_id % 100
+), starts AS (
+  SELECT conv_id, ks, cs, unnest(range(0, len(ks) + 1)) AS depth FROM rebuilt
+), nodes AS (
+  SELECT ks[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(max(cs[depth]), 0) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(ks) = depth), '')) AS ends_sha256
+  FROM starts GROUP BY 1, 2
+), counted AS (
+  SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path) AS n_children FROM nodes n
+), ways AS (
+  SELECT path, n_children, (n_convs - 1) * chars AS saved, unnest(range(0, depth + 1)) AS k FROM counted
+), sums AS (
+  SELECT path[1:k] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM ways GROUP BY 1
+)
+SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs::BIGINT AS n_convs, c.n_children::BIGINT AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s ON s.path = c.path LEFT JOIN nodes p ON p.depth = c.depth - 1 AND p.path = c.path[1:c.depth - 1]
+"""
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -147,7 +193,9 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_divergence_audit": op11_divergence_audit,
+    "op12_packing": op12_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: For the others SQL can't express the operator; tests compare them with brute force.
-ORACLE_SQL: dict[str, str] = {"op11_divergence_audit": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op11_divergence_audit": OP11_SQL, "op13_prefix_trie": OP13_SQL}
