@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import warnings
 
 import numpy as np
 import public_tokenizers as P
@@ -202,6 +203,35 @@ def test_mixing(spark):
         assert abs(sum(r.rate * r.n_tokens * r[f"p_{k}"] for r in mixed) / total - 0.5) < 1e-3
 
 
+def shares_of(cells, rate, k):
+    row = cells.select("n", *(f"q{i}" for i in range(k)), rate.alias("r")).agg(*(F.sum(F.col("r") * F.col("n") * F.col(f"q{i}")).alias(f"s{i}") for i in range(k)), F.sum("n").alias("t"), F.min("r").alias("least")).first()
+    assert row.least >= 0
+    return [row[f"s{i}"] / row.t for i in range(k)]
+
+
+@pytest.mark.parametrize("targets", [(0.6, 0.35, 0.05), (0.05, 0.05, 0.9), (0.9, 0.05, 0.05), (0.3, 0.3, 0.2)])
+def test_mixing_reaches_its_targets(spark, targets):
+    """Three domains, 82, 9 and 9 % of the tokens, with posteriors that are mostly mixed."""
+    rng = np.random.default_rng(1)
+    sharp = rng.dirichlet((8.2, 0.9, 0.9), 3000) ** 1.5
+    pure = [(50.0, 0.97, 0.02, 0.01), (5.0, 0.02, 0.96, 0.02), (5.0, 0.02, 0.02, 0.96)]
+    rows = [(float(n), *map(float, q / q.sum())) for n, q in zip(rng.integers(1, 400, 3000), sharp, strict=True)] + pure
+    cells = spark.createDataFrame(rows, "n double, q0 double, q1 double, q2 double").coalesce(2)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", mixing.Unreachable)
+        warnings.simplefilter("error", mixing.Unfinished)
+        rate = mixing.fit(cells, ["a", "b", "c"], list(targets))
+    assert np.allclose(shares_of(cells, rate, 3), targets, atol=1e-6)
+
+
+def test_mixing_tells_unreachable_targets(spark):
+    cells = spark.createDataFrame([(10.0, 0.8, 0.2), (5.0, 0.6, 0.4)], "n double, q0 double, q1 double")
+    with pytest.warns(mixing.Unreachable):
+        rate = mixing.fit(cells, ["a", "b"], [0.1, 0.9])
+    # the least squares: along the second cell alone, nearest to (0.1, 0.9)
+    assert np.allclose(shares_of(cells, rate, 2), np.array([0.6, 0.4]) * (0.6 * 0.1 + 0.4 * 0.9) / (0.6**2 + 0.4**2), atol=1e-4)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, 8)).astype("f4")

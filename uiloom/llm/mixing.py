@@ -8,12 +8,14 @@ Classifier: multinomial naive Bayes over BUCKETS hashed words, learned from abou
 documents, drawn by a hash of the id before any text is read. Words of a text depend on each other, so their mean evidence counts as
 that of a number of words at most; which number of EVIDENCE, is chosen by the log loss on a fifth of the sample that the counts don't see.
 
-Fit: least squares over the domains by projected gradient steps from r = 1. Documents of one cell
+Fit: least squares by projected gradient steps from r = 1: of all rates that meet the targets, those nearest to 1 (where none do,
+those that miss by least, as far as RIDGE tells). Documents of one cell
 of a grid of posteriors share a rate; a cell's tokens and expected tokens are sums over all of its
-documents, so the totals are exact. Each step is a Spark aggregation of a few sums over the cells, then
-r <- max(0, r - sum of a_k * p_k), with a solving the normal equations of the cells whose
-rate is positive (a plain gradient step where that doesn't help). The grid is as fine as MAX_CELLS allows; with very many domains a cell is the likeliest domain.
-A warning tells of targets that no rates reach.
+documents, so the totals are exact. The projection is lazy: steps add up in one number b_k for each domain, and
+a rate is the projection max(0, 1 - sum of b_k * p_k) of where they lead. A step is the gradient, preconditioned by the normal matrix of the cells whose
+rate is positive, at the best of the WIDTHS. Gradient, matrix and widths are Spark aggregations of a few sums over the cells. The fit ends when the gradient
+vanishes; then a miss of more than NEAR means that no rates reach the targets (warning Unreachable, other than Unfinished).
+The grid is as fine as MAX_CELLS allows; with very many domains a cell is the likeliest domain.
 
 Edge cases: a null or empty text has no tokens, the prior as posterior and the rate of its cell. Very long texts are read whole. Without
 labelled rows all domains are equally likely. Repeated rows get equal rates; an empty table
@@ -28,11 +30,12 @@ import warnings
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uiloom.llm.common import draw, stage, words
+from uiloom.llm.common import draw, outer, scratch, stage, words
 
 SAMPLE, BUCKETS, GRID, MAX_CELLS = 20_000, 4096, 24, 200_000
 EVIDENCE = (5, 10, 20, 40, 80, 1_000_000_000)
-STEPS, TOLERANCE = 40, 1e-6
+STEPS, TOLERANCE, RIDGE, NEAR = 100, 1e-9, 1e-12, 1e-5
+WIDTHS = tuple(0.5**i for i in range(12))
 
 
 def buckets(text: Column) -> Column:
@@ -114,9 +117,9 @@ def cell(domains: list[str]) -> Column:
 
 
 def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
-    """A small linear system, by elimination with pivots; the diagonal is lifted a little."""
+    """A small linear system, by elimination with pivots."""
     n = len(right)
-    rows = [[x + (1e-9 if i == j else 0.0) for j, x in enumerate(row)] + [right[i]] for i, row in enumerate(matrix)]
+    rows = [[*row, right[i]] for i, row in enumerate(matrix)]
     for i in range(n):
         best = max(range(i, n), key=lambda k: abs(rows[k][i]))
         rows[i], rows[best] = rows[best], rows[i]
@@ -127,43 +130,70 @@ def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
     return [row[n] / row[i] if row[i] else 0.0 for i, row in enumerate(rows)]
 
 
+class Unreachable(UserWarning):
+    """No rates give the targets; the fitted ones are the least squares."""
+
+
+class Unfinished(UserWarning):
+    """The fit ended at STEPS, before its gradient vanished."""
+
+
 def fit(cells: DataFrame, domains: list[str], shares: list[float]) -> Column:
     """The rate as an expression over the cells' mean posteriors q0, q1, ..; cells: tokens n and q of each."""
     total = cells.agg(F.sum("n")).first()[0] or 0.0
-    rate = F.lit(1.0)
     if not total:
-        return rate
-    k = range(len(domains))
-    plain, before, step = False, math.inf, [0.0 for _ in k]
-    now = math.inf
-    for _ in range(STEPS):
-        share = F.col("n") / total
-        sums = [F.sum(F.col("r") * share * F.col(f"q{i}")).alias(f"s{i}") for i in k]
-        sums += [F.sum(F.when(F.col("r") > 0, share * F.col(f"q{i}") * F.col(f"q{j}")).otherwise(0.0)).alias(f"g{i}{j}") for i in k for j in k]
-        row = cells.withColumn("r", rate).agg(*sums).first()
+        return F.lit(1.0)
+    k, weight = range(len(domains)), F.col("n") / total
+
+    def rate(b: list[float]) -> Column:
+        return F.greatest(F.lit(0.0), 1.0 - sum((F.lit(float(x)) * F.col(f"q{i}") for i, x in enumerate(b)), F.lit(0.0)))
+
+    def slope(b: list[float]) -> tuple[list[float], list[float], list[list[float]]]:
+        """Errors of the shares, gradient, and the normal matrix of the cells whose rate is positive."""
+        r = rate(b)
+        sums = [F.sum(r * weight * F.col(f"q{i}")).alias(f"s{i}") for i in k]
+        sums += [F.sum(F.when(r > 0, weight * F.col(f"q{i}") * F.col(f"q{j}")).otherwise(0.0)).alias(f"g{i}_{j}") for i in k for j in k if i <= j]
+        row = cells.agg(*sums).first()
         error = [row[f"s{i}"] - shares[i] for i in k]
-        now = sum(e * e for e in error)
-        if now < TOLERANCE**2 or abs(before - now) < 1e-15:
+        return error, [e - RIDGE * x for e, x in zip(error, b, strict=True)], [[row[f"g{min(i, j)}_{max(i, j)}"] + RIDGE * (i == j) for j in k] for i in k]
+
+    b = [0.0 for _ in k]
+    error, down, matrix = slope(b)
+    for _ in range(STEPS):
+        if math.hypot(*down) < max(TOLERANCE, NEAR * math.hypot(*error)):  # small, or small beside an error that stays
             break
-        plain = plain or now > before
-        before = now
-        step = error if plain else solve([[row[f"g{i}{j}"] for j in k] for i in k], error)
-        rate = F.greatest(F.lit(0.0), rate - sum((F.lit(float(step[i])) * F.col(f"q{i}") for i in k), F.lit(0.0)))
-    if now >= 1e-6:
-        warnings.warn(f"no rates found that meet the targets; shares are off by {math.sqrt(now):.2g}", stacklevel=3)
-    return rate
+        step = solve(matrix, down)
+        tried = [[x + w * y for x, y in zip(b, step, strict=True)] for w in WIDTHS]
+        values = cells.agg(*(F.sum(weight * rate(t) * rate(t)).alias(f"v{i}") for i, t in enumerate(tried))).first()
+        cost = [values[f"v{i}"] / 2 + sum(x * s + RIDGE / 2 * x * x for x, s in zip(t, shares, strict=True)) for i, t in enumerate(tried)]
+        close = min(cost) + 1e-14 * (1 + abs(min(cost)))  # what rounding can't tell apart
+        b = next(t for t, c in zip(tried, cost, strict=True) if c <= close)
+        error, down, matrix = slope(b)
+    else:
+        warnings.warn(f"the fit isn't finished after {STEPS} steps", Unfinished, stacklevel=3)
+    off = math.hypot(*error)
+    if off > NEAR:
+        warnings.warn(f"no rates meet the targets; at the least squares the shares are off by {off:.2g}", Unreachable, stacklevel=3)
+    return rate(b)
+
+
+def mix(df: DataFrame, drawn: DataFrame, targets: dict[str, float], text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """df (or its columns `carry`) with n_tokens, p_<domain> and rate. drawn: what labelled_words gives; targets: share of all tokens by domain."""
+    domains, whole = list(targets), sum(targets.values())
+    with scratch(df.sparkSession):
+        return _mix(df, drawn, domains, [w / whole for w in targets.values()], text_col, carry)
 
 
-def mix(df: DataFrame, drawn: DataFrame, targets: dict[str, float], text_col: str = "text") -> DataFrame:
-    """df with n_tokens, p_<domain> and rate. drawn: what labelled_words gives; targets: share of all tokens by domain."""
-    domains, whole = list(targets), sum(targets.values())
+def _mix(df: DataFrame, drawn: DataFrame, domains: list[str], shares: list[float], text_col: str, carry: list[str] | None) -> DataFrame:
     member = memberships(df.drop("rate"), text_col, domains, *learn(drawn, domains)).withColumn("_mix_cell", cell(domains))
-    member = stage(member, "members")
+    if carry is not None:
+        member = member.select(*carry, "n_tokens", *(f"p_{name}" for name in domains), "_mix_cell")
+    member = stage(member, "members", owner=outer())
     sums = [F.sum(F.col("n_tokens") * F.col(f"p_{name}")).alias(f"m{i}") for i, name in enumerate(domains)]
     grouped = member.groupBy("_mix_cell").agg(F.sum("n_tokens").cast("double").alias("n"), *sums, *(F.avg(f"p_{name}").alias(f"a{i}") for i, name in enumerate(domains)))
     means = [F.when(F.col("n") > 0, F.col(f"m{i}") / F.col("n")).otherwise(F.col(f"a{i}")).alias(f"q{i}") for i in range(len(domains))]
-    cells = stage(grouped.select("_mix_cell", "n", *means), "cells")
-    rates = cells.select("_mix_cell", fit(cells, domains, [w / whole for w in targets.values()]).alias("rate"))
+    cells = stage(grouped.select("_mix_cell", "n", *means), "cells", owner=outer())
+    rates = cells.select("_mix_cell", fit(cells, domains, shares).alias("rate"))
     # MAX_CELLS rows at most
     return member.join(F.broadcast(rates), "_mix_cell").drop("_mix_cell")
 

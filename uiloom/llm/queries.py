@@ -58,7 +58,7 @@ def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    mixed = mixing.mix(docs, labelled_domains(spark, sf_dir), TARGETS)
+    mixed = mixing.mix(docs, labelled_domains(spark, sf_dir), TARGETS, carry=["doc_id"])
     return mixed.select("doc_id", "n_tokens", *(f"p_{name}" for name in TARGETS), "rate")
 
 
