@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from uiloom.llm import bpe, jaccard, langid, mixing, pii
-from uiloom.llm.common import Scratch, crc_mod, scratch, stage, table
+from uiloom.llm.common import Scratch, crc_mod, outer, scratch, stage, table
 from uiloom.llm.queries import TARGETS, labelled_domains
 
 #: Share of its n-grams that the predicted language must hold for a document to stay.
@@ -48,8 +48,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: documents are drawn by the fitted rates, none, once or several times."""
-    mixed = mixing.mix(packed(docs), labelled_domains(spark, sf_dir), TARGETS)
-    return mixing.draw_copies(mixed, F.col("row.doc_id"), F.col("text")).select("row.*")
+    mixed = mixing.mix(packed(docs), labelled_domains(spark, sf_dir), TARGETS, carry=["row"])
+    return mixing.draw_copies(mixed, F.col("row.doc_id"), F.col("row.text")).select("row.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,13 +72,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = table(spark, sf_dir, "documents"), None
-    for i, (_, step) in enumerate(STAGES):
-        if i == len(STAGES) - 1:
-            return step(spark, docs, sf_dir)
+    *steps, (_, last) = STAGES
+    for i, (_, step) in enumerate(steps):
         after = Scratch(spark)
         with scratch(spark):  # what a stage writes for itself goes when its output is written
-            docs = stage(step(spark, docs, sf_dir), "stage", owner=after)
+            # the last stage is read by the caller: its input belongs to the caller's scratch, or to the process
+            docs = stage(step(spark, docs, sf_dir), "stage", owner=outer() if i == len(steps) - 1 else after)
         if before:
             before.drop()
         before = after
-    return docs
+    return last(spark, docs, sf_dir)
