@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from uiloom.functions.script import visible_text
 from uiloom.functions.text import fits_locale, is_ui_text, norm_text, placeholder_signature, string_key
+from uiloom.operators.coverage import held, judged
 
 
 def extract_ui(bundles: DataFrame) -> DataFrame:
@@ -40,12 +41,6 @@ def evidence(candidates: DataFrame, keys: list[str]) -> DataFrame:
     return candidates.groupBy(*keys).agg(F.sort_array(F.collect_set(place)).alias("evidence"))
 
 
-def shared_resources(entries: DataFrame, source: str = "en") -> DataFrame:
-    """Rows (resource_id, locale) of other locales whose resource also exists in the source locale; entries: resource_id, locale, .."""
-    found = entries.select("resource_id", "locale").distinct()
-    return found.where(F.col("locale") != source).join(found.where(F.col("locale") == source).select("resource_id"), "resource_id", "left_semi")
-
-
 def translated(entries: DataFrame, found: DataFrame, source: str = "en") -> DataFrame:
     """Pairs (owner, locale, string_key, resource_key, source, target): entries (owner, resource_id, resource_key, locale, text) of other
     locales, joined to the source locale's entry of the same key, and this to the found strings (owner, source, key) of the same text."""
@@ -56,28 +51,12 @@ def translated(entries: DataFrame, found: DataFrame, source: str = "en") -> Data
     return other.join(own, at).join(strings, ["owner", "source"]).select("owner", "locale", "string_key", "resource_key", "source", "target")
 
 
-def merged_coverage(carriers: list[DataFrame], group: list[str]) -> DataFrame:
-    """Coverage (group.., target) of several carriers: equal targets are one, groups whose targets differ are out."""
-    rows = carriers[0].select(*group, "target")
-    for other in carriers[1:]:
-        rows = rows.unionByName(other.select(*group, "target"))
-    return rows.groupBy(*group).agg(F.min("target").alias("target"), F.max("target").alias("_other")).where("target = _other").drop("_other")
-
-
 def units(strings_: DataFrame, covered: DataFrame, keys: list[str]) -> DataFrame:
     """Strings with the sorted locales that cover them, an empty list where none does; covered: keys.., locale."""
     locales = covered.groupBy(*keys).agg(F.sort_array(F.collect_set("locale")).alias("locales"))
     return strings_.join(locales, keys, "left").withColumn("locales", F.coalesce("locales", F.array().cast("array<string>")))
 
 
-def coverage_state(covered: DataFrame, by: list[str]) -> DataFrame:
-    """Of each locale: covered entries, and a digest of the set of their keys, which is equal exactly for equal sets whatever the order of rows.
-    The digest is of the sorted digests of the keys' buckets, so no locale's keys are gathered in one place."""
-    bucket = covered.select(*by, "string_key").distinct().withColumn("_b", F.substring(F.sha2("string_key", 256), 1, 3))
-    parts = bucket.groupBy(*by, "_b").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("string_key")), "\n"), 256).alias("digest"))
-    return parts.groupBy(*by).agg(F.sum("n").alias("covered_entries"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_b", "digest"))), lambda p: p["digest"]), "\n"), 256).alias("set_digest"))
-
-
 def with_provenance(candidates: DataFrame, keys: list[str]) -> DataFrame:
     """One row for each key, with sorted distinct origins and the number of candidates."""
     return candidates.groupBy(*keys).agg(F.sort_array(F.collect_set("origin")).alias("origins"), F.count("*").alias("n"))
@@ -104,28 +83,34 @@ def source_key(origins: Column) -> Column:
     )
 
 
+def scopes(origins: Column) -> Column:
+    """Where a text is seen, sorted; a text may have several."""
+    has = lambda *names: F.arrays_overlap(origins, F.array(*map(F.lit, names)))
+    named = {"metadata": has("manifest.name", "manifest.description", "registry.name", "registry.description"), "readme": has("readme"), "runtime-ui": has("ui-call", "ui-property")}
+    return F.array_compact(F.array(*(F.when(seen, F.lit(name)) for name, seen in named.items())))
+
+
 def strings(candidates: DataFrame) -> DataFrame:
-    """The catalog's string rows of gated candidates."""
+    """The catalog's string rows of gated candidates; those that know their places (offset, strategy, symbol) give them as evidence."""
     rows = with_provenance(candidates, ["plugin_id", "value"])
+    if {"offset", "strategy", "symbol"} <= set(candidates.columns):
+        rows = rows.join(evidence(candidates, ["plugin_id", "value"]), ["plugin_id", "value"])
     return rows.select(
+        *(["evidence"] if "evidence" in rows.columns else []),
         "plugin_id",
         F.col("value").alias("source"),
         string_key(F.col("plugin_id"), F.col("value")).alias("key"),
         "origins",
         semantic_role(F.col("origins")).alias("semantic_role"),
+        scopes(F.col("origins")).alias("content_scopes"),
         source_key(F.col("origins")).alias("source_key"),
         placeholder_signature(F.col("value")).alias("placeholder_signature"),
     )
 
 
 def coverage(pairs: DataFrame, group: list[str]) -> DataFrame:
-    """Translations that hold, of pairs (group.., resource_key, source, target): a group is out for good once
-    a pair repeats its source, changes the placeholders, or two targets differ. The order of rows plays no part."""
-    bad = (F.col("source") == F.col("target")) | (placeholder_signature(F.col("source")) != placeholder_signature(F.col("target")))
-    judged = pairs.groupBy(*group).agg(
-        F.bool_or(bad).alias("bad"), F.min("target").alias("target"), F.max("target").alias("_other"), F.min("resource_key").alias("resource_key")
-    )
-    return judged.where("NOT bad AND target = _other").drop("bad", "_other")
+    """The translations that stand, of pairs (group.., resource_key, source, target) of one carrier; see uiloom.operators.coverage."""
+    return held(judged(pairs, group))
 
 
 def validate(units: DataFrame, sources: DataFrame, keys: list[str]) -> DataFrame:

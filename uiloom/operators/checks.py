@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from uiloom.functions.text import canonical_json
 
 # Grammars and limits of plans and catalogs.
-PLUGIN = r"\A[a-z0-9][a-z0-9-]{0,127}\z"
+PLUGIN = r"\A[A-Za-z0-9][A-Za-z0-9._-]{0,127}\z"
+FILE_NAME = r"\A[A-Za-z0-9][A-Za-z0-9._+@() -]{0,254}\z"
+REFERENCE = r"\A[A-Za-z0-9][A-Za-z0-9._@+=:/-]{0,511}\z"
 DIGEST = r"\A[0-9a-f]{64}\z"
-COMMIT = r"\A[0-9a-f]{40}\z"
+SHA1 = r"\A[0-9a-f]{40}\z"
 RESULT_BYTES = 64 << 20
 CATALOG_UNITS, UNIT_BYTES = 50_000, 1 << 20
 FAILURE_FIELDS = (
@@ -35,8 +37,38 @@ def is_positive(value: Column) -> Column:
     return F.coalesce(value.between(1, SAFE_INTEGER), F.lit(False))
 
 
+def is_bounded(value: Column, low: int, high: int | Column) -> Column:
+    return F.coalesce(value.between(low, high), F.lit(False))
+
+
 def is_content_size(value: Column) -> Column:
-    return F.coalesce(value.between(0, CONTENT_BYTES), F.lit(False))
+    return is_bounded(value, 0, CONTENT_BYTES)
+
+
+def is_bounded_text(value: Column, most: int) -> Column:
+    """Not blank, and of `most` characters at most."""
+    return F.coalesce(value.rlike(r"(?U)\S") & (F.length(value) <= most), F.lit(False))
+
+
+def is_reference(value: Column) -> Column:
+    """A name of a tag or branch, without an empty part."""
+    return F.coalesce(value.rlike(REFERENCE) & ~F.contains(value, F.lit("//")), F.lit(False))
+
+
+def is_https_base(value: Column) -> Column:
+    """An https address without query whose path is empty, / or /api."""
+    return is_https_url(value, query=False) & value.rlike(r"(?i)\Ahttps://[^/?#]+(?:/|/api)?\??#?\z")
+
+
+def commit_revision(date: Column, sha: Column) -> Column:
+    """A number that rises with the commit's time: its second times a million, and the first five digits of its SHA-1; null for a time without zone or before 1970."""
+    second = F.when(date.rlike(r"(?:Z|[+-]\d\d:?\d\d)\z"), F.unix_timestamp(F.try_to_timestamp(date)))
+    return F.when(second >= 1, second * 1_000_000 + F.conv(F.substring(sha, 1, 5), 16, 10).cast("long"))
+
+
+def is_uuid(value: Column) -> Column:
+    """In lower case, with its dashes."""
+    return F.coalesce(value.rlike(r"\A[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\z"), F.lit(False))
 
 
 def is_https_url(value: Column, *, query: bool) -> Column:
@@ -91,7 +123,7 @@ def plan_violations(plans: DataFrame, key: str) -> DataFrame:
         "asset-size": F.forall("assets", lambda a: F.coalesce(a.size > 0, F.lit(False))),
         "asset-digest": F.forall("assets", lambda a: F.coalesce(a.sha256.rlike(DIGEST), F.lit(False))),
         "primary-asset": (F.size(main) == 1) & (F.get(main, F.lit(0)).getField("name") == "main.js"),
-        "commit": F.col("commitSha").rlike(COMMIT),
+        "commit": F.col("commitSha").rlike(SHA1),
         "plan-digest": F.col("sourcePlanDigest").rlike(DIGEST),
         "result-size": F.col("resultMaxBytes").between(1, RESULT_BYTES),
     }
@@ -108,11 +140,6 @@ def catalog_violations(units: DataFrame, catalog: str) -> DataFrame:
     return violations(whole, [catalog], rules)
 
 
-def bound(claims: DataFrame, authority: str, profile: str) -> DataFrame:
-    """The claims made under these digests; the others are refused before anything is joined or read."""
-    return claims.where((F.col("registryAuthorityDigest") == authority) & (F.col("validatorProfileDigest") == profile))
-
-
 def _digest(fields: Column) -> Column:
     return F.sha2(canonical_json(F.to_json(fields, {"ignoreNullFields": "false"})), 256)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from uiloom.functions import text as T
-from uiloom.operators import catalog, checks, registry
+from uiloom.operators import catalog, checks, coverage, registry
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +37,9 @@ def ui_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def locale_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tag = case_of(F.col("p_partkey"), "zh", "zh-yue", "EN-us", "sr-latn-rs", "es-419", "de_DE", "ZH-hant-tw", "x")
-    return _t(spark, sf_dir, "part").select("p_partkey", T.canonical_locale(tag).alias("locale"))
+    """Tags made of a document's language and the first letters of its text: regions, scripts, variants and what is no tag."""
+    tag = F.concat_ws("-", F.upper("lang"), F.substring(F.regexp_replace("text", "[^A-Za-z]", ""), F.lit(1), (F.col("doc_id") % 6).cast("int")))
+    return _t(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", T.canonical_locale(tag).alias("locale"))
 
 
 def source_locale_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,22 +73,24 @@ def normal_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failure_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes made of the words of part names, some of which a public code stands for, and some of which are no codes."""
     number = F.col("p_partkey")
-    code = case_of(number, "executor_source_size", "registry_profile_digest", "adapter_rejected", "result_too_large", "other", "Not A Code", "component_missing")
-    again, status = number % 11 == 0, F.when(number % 5 == 0, 409)
+    noun = F.replace(F.get(F.split("p_name", " "), F.lit(1)), F.lit("widget"), F.lit("source"))
+    code = F.concat(F.replace("p_name", F.lit(" "), F.when(number % 3 == 0, " ").otherwise("_")), F.lit("_"), F.replace(F.replace(noun, F.lit("ring"), F.lit("profile")), F.lit("bolt"), F.lit("adapter")))
+    again, status = F.col("p_size") % 11 == 0, F.when(F.col("p_size") % 5 == 0, 409)
     return _t(spark, sf_dir, "part").select(
         "p_partkey", checks.failure_code(code, again).alias("command"), checks.resolution_failure_code(code, again, status).alias("resolution"), checks.diagnostic_code(code).alias("diagnostic"),
     )
 
 
 def field_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("s_suppkey")
-    repo = case_of(number, F.concat(F.lit("owner/"), F.regexp_replace("s_name", "[^A-Za-z0-9]", "-")), "a/b/c", "bad_owner/x", "ok-1/v.1_2", "noslash", "a/..")
-    url = case_of(number, "https://a.b/c", "http://a.b/c", "https://u:p@a.b/", "https://a.b/c?q=1", "https://a.b/#x", "https://")
-    found = checks.repository_reference(repo)
-    return _t(spark, sf_dir, "supplier").select(
-        "s_suppkey", found["owner"].alias("owner"), found["name"].alias("name"), checks.is_https_url(url, query=False).alias("plain"), checks.is_https_url(url, query=True).alias("with_query"),
-        checks.is_positive(number - 3).alias("positive"), checks.is_content_size((number - 3) * 9_000_000).alias("size"),
+    """Repositories and addresses made of the words of documents."""
+    word = lambda n: F.coalesce(F.get(F.split("text", " "), F.lit(n)), F.lit(""))
+    found = checks.repository_reference(F.concat_ws("/", word(0), word(1)))
+    url = F.concat(F.when(F.col("doc_id") % 7 == 0, "http").otherwise("https"), F.lit("://"), word(0), F.element_at(F.array(*map(F.lit, ("/", "?", "#", "@", ":8/"))), (F.col("n_chars") % 5 + 1).cast("int")), word(1))
+    return _t(spark, sf_dir, "documents").where("text IS NOT NULL").select(
+        "doc_id", found["owner"].alias("owner"), found["name"].alias("name"), checks.is_https_url(url, query=False).alias("plain"), checks.is_https_url(url, query=True).alias("with_query"),
+        checks.is_positive(F.col("n_chars") - 100).alias("positive"), checks.is_content_size(F.col("n_chars") * 9_000).alias("size"),
     )
 
 
@@ -108,7 +111,9 @@ def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resource_locales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.shared_resources(_entries(spark, sf_dir))
+    """Resources that an owner has in another locale and in English."""
+    files = _entries(spark, sf_dir).select("owner", "resource_id", "locale", F.lit("n").alias("name"), F.lit("d").alias("digest")).distinct()
+    return coverage.matched(files, ["owner", "resource_id"]).select("owner", "resource_id", "locale")
 
 
 def _covered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,15 +133,21 @@ def unit_locales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def carriers_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as coverage that two carriers report; they agree on some and not on others."""
-    rows = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("target"))
-    other = rows.where("line % 2 = 0").withColumn("target", F.when(F.col("k") % 3 == 0, "Z").otherwise(F.col("target")))
-    return catalog.merged_coverage([rows, other], ["k", "line"])
+    """Line items as translations that two carriers report; one may reject what the other translates, or translate it otherwise."""
+    rows = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"), F.col("l_linestatus").alias("source"), F.col("l_returnflag").alias("target"), F.col("l_partkey").alias("resource_key")
+    )
+    other = rows.where("line % 2 = 0").withColumn("target", F.when(F.col("k") % 5 == 0, F.col("source")).when(F.col("k") % 3 == 0, "Z").otherwise(F.col("target")))
+    group = ["k", "line"]
+    return coverage.held(coverage.merged([coverage.judged(rows, group), coverage.judged(other, group)], group))
 
 
 def coverage_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _t(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("locale"), F.col("c_name").alias("string_key"))
-    return catalog.coverage_state(rows.union(rows), ["locale"])
+    """The identity of sets of resources: customers of a segment, 40 neighbours at a time."""
+    rows = _t(spark, sf_dir, "customer").select(
+        F.floor(F.col("c_custkey") / 40).alias("owner"), F.col("c_mktsegment").alias("locale"), F.concat(F.lit("r"), "c_custkey").alias("resource_id"), F.col("c_name").alias("name"), F.sha2("c_name", 256).alias("digest")
+    )
+    return coverage.set_identity(rows, ["owner", "locale"])
 
 
 QUERIES = {f.__name__: f for f in (
@@ -161,7 +172,8 @@ ORACLE_SQL = {
     "ui_sinks": f"""SELECT DISTINCT plugin_id, symbol, v AS value FROM (SELECT plugin_id, u.s AS symbol, u.t AS v FROM (SELECT p_brand || '/' || (p_partkey % 64) AS plugin_id,
  unnest(CASE p_partkey % 8 WHEN 2 THEN [{{'s': 'textContent', 't': p_name}}] WHEN 4 THEN [{{'s': 'setAttribute', 't': p_name}}] WHEN 5 THEN [{{'s': 'addOptions', 't': p_name}}, {{'s': 'addOptions', 't': 'Two words'}}]
  WHEN 6 THEN [{{'s': 'innerHTML', 't': p_name || ' now'}}] WHEN 7 THEN [{{'s': 'innerText', 't': p_name}}] ELSE [] END) AS u FROM part)) WHERE {GATE.format(most=512)}""",
-    "locale_tags": "SELECT p_partkey, (['zh-CN', 'zh-yue', 'en-US', 'sr-Latn-RS', 'es-419', NULL, 'zh-Hant-TW', NULL])[p_partkey % 8 + 1] AS locale FROM part",
+    "locale_tags": r"""SELECT doc_id, CASE WHEN len(x) = 0 AND doc_id % 6 = 0 OR len(x) IN (0, 1) THEN NULL WHEN len(x) = 2 THEN lang || '-' || upper(x) WHEN len(x) = 4 THEN lang || '-' || upper(x[1]) || lower(x[2:]) ELSE lang || '-' || lower(x) END AS locale
+ FROM (SELECT doc_id, lang, substr(regexp_replace(text, '[^A-Za-z]', '', 'g'), 1, doc_id % 6) AS x FROM documents WHERE text IS NOT NULL)""",
     "source_locale_gate": f"""SELECT c_custkey, origin, length(v) AS n FROM (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'ui-call' ELSE 'readme' END AS origin,
  trim((['Open ', 'Привет мир и люди ', 'Да ', ''])[c_custkey % 4 + 1] || c_name || repeat(' and more words', c_custkey % 40)) AS v FROM customer)
  WHERE {GATE.format(most=512)} AND (origin = 'ui-call' OR length(v) <= 300) AND 2 * length(regexp_replace(v, '[^\\p{{Latin}}]', '', 'g')) >= length(regexp_replace(v, '[^\\p{{L}}]', '', 'g'))""",
@@ -172,20 +184,23 @@ ORACLE_SQL = {
  j AS (SELECT c.o_custkey, coalesce(nullif(l.st, ''), c.st) AS st, coalesce(nullif(l.pr, ''), c.pr) AS pr, n FROM c LEFT JOIN l USING (o_custkey))
  SELECT o_custkey, coalesce(st, CASE WHEN n < 300 THEN pr END) AS tag, CASE WHEN st IS NOT NULL THEN 'stable' WHEN n < 300 AND pr IS NOT NULL THEN 'preview' ELSE 'none' END AS kind FROM j""",
     "normal_bundles": r"""SELECT p_partkey, sha256(CASE p_partkey % 4 WHEN 0 THEN p_name || ';' WHEN 1 THEN p_name || chr(10) || '//# sourceMappingURL=a' || chr(10) || 'more' WHEN 2 THEN p_name ELSE '' END) AS digest FROM part""",
-    "failure_codes": """SELECT p_partkey, CASE WHEN a THEN 'executor_workflow_failed' ELSE (['source_validation_rejected', 'registry_projection_changed', 'adapter_validation_rejected', 'adapter_validation_rejected',
- 'executor_workflow_failed', 'executor_workflow_failed', 'source_validation_rejected'])[p_partkey % 7 + 1] END AS command,
- CASE WHEN a OR p_partkey % 5 = 0 THEN 'registry_resolution_retryable' WHEN p_partkey % 7 = 1 THEN 'registry_profile_changed' ELSE 'registry_validation_rejected' END AS resolution,
- (['executor_source_size', 'registry_profile_digest', 'adapter_rejected', 'result_too_large', 'other', 'unknown', 'component_missing'])[p_partkey % 7 + 1] AS diagnostic FROM (SELECT *, p_partkey % 11 = 0 AS a FROM part)""",
-    "field_checks": """SELECT s_suppkey, CASE s_suppkey % 6 WHEN 0 THEN 'owner' WHEN 3 THEN 'ok-1' END AS owner, CASE s_suppkey % 6 WHEN 0 THEN regexp_replace(s_name, '[^A-Za-z0-9]', '-', 'g') WHEN 3 THEN 'v.1_2' END AS name,
- s_suppkey % 6 = 0 AS plain, s_suppkey % 6 IN (0, 3) AS with_query, s_suppkey > 3 AS positive, s_suppkey BETWEEN 3 AND 10 AS size FROM supplier""",
+    "failure_codes": r"""SELECT p_partkey, CASE WHEN a THEN 'executor_workflow_failed' WHEN regexp_matches(c, 'source|component|license') THEN 'source_validation_rejected' WHEN regexp_matches(c, 'profile|binding') THEN 'registry_projection_changed'
+ WHEN regexp_matches(c, 'adapter|result_') THEN 'adapter_validation_rejected' ELSE 'executor_workflow_failed' END AS command, CASE WHEN a OR p_size % 5 = 0 THEN 'registry_resolution_retryable' WHEN regexp_matches(c, 'profile|binding') THEN 'registry_profile_changed' ELSE 'registry_validation_rejected' END AS resolution,
+ CASE WHEN regexp_full_match(c, '[a-z0-9_]{1,128}') THEN c ELSE 'unknown' END AS diagnostic FROM (SELECT *, p_size % 11 = 0 AS a, replace(p_name, ' ', CASE WHEN p_partkey % 3 = 0 THEN ' ' ELSE '_' END) || '_' ||
+ replace(replace(replace(string_split(p_name, ' ')[2], 'widget', 'source'), 'ring', 'profile'), 'bolt', 'adapter') AS c FROM part)""",
+    "field_checks": r"""WITH d AS (SELECT *, string_split(text, ' ')[1] AS x, coalesce(string_split(text, ' ')[2], '') AS y FROM documents WHERE text IS NOT NULL), e AS (SELECT *, regexp_full_match(x, '[A-Za-z0-9-]{1,39}') AND regexp_full_match(y, '[A-Za-z0-9._-]{1,100}') AND y NOT IN ('.', '..') AS ok,
+ CASE WHEN doc_id % 7 = 0 THEN 'http' ELSE 'https' END || '://' || x || (['/', '?', '#', '@', ':8/'])[n_chars % 5 + 1] || y AS u FROM d)
+ SELECT doc_id, CASE WHEN ok THEN x END AS owner, CASE WHEN ok THEN y END AS name, regexp_full_match(u, '(?is)https://[^/?#@:]+(:[0-9]*)?(/[^?#]*)?\??#?') AS plain, regexp_full_match(u, '(?is)https://[^/?#@:]+(:[0-9]*)?(/[^?#]*)?(\?[^#]*)?#?') AS with_query,
+ n_chars > 100 AS positive, n_chars * 9000 <= 67108864 AS size FROM e""",
     "evidence_places": """SELECT value, array_to_string(list_transform(list_sort(list_distinct(list({'o': o, 'g': g, 's': s}))), lambda e: e.o || ':' || e.g || ':structured:' || e.s), ',') AS places
  FROM (SELECT p_brand AS value, CASE WHEN p_size % 3 > 0 THEN p_size ELSE -1 END AS o, CASE WHEN p_partkey % 2 = 0 THEN 'ui-call' ELSE 'readme' END AS g, (['setName', '', 'setDesc'])[p_partkey % 3 + 1] AS s FROM part) GROUP BY value""",
-    "resource_locales": f"WITH {ENTRIES} SELECT DISTINCT resource_id, locale FROM e WHERE locale <> 'en' AND resource_id IN (SELECT resource_id FROM e WHERE locale = 'en')",
+    "resource_locales": f"WITH {ENTRIES} SELECT DISTINCT owner, resource_id, locale FROM e WHERE locale <> 'en' AND (owner, resource_id) IN (SELECT owner, resource_id FROM e WHERE locale = 'en')",
     "translated_strings": f"WITH {COVERED} SELECT owner, locale, string_key, sha256(target) AS target FROM c",
     "unit_locales": f"WITH {COVERED} SELECT f.owner, f.string_key, coalesce(string_agg(DISTINCT c.locale, ',' ORDER BY c.locale), '') AS locales FROM f LEFT JOIN c USING (owner, string_key) GROUP BY 1, 2",
-    "carriers_merged": """SELECT k, line, min(target) AS target FROM (SELECT l_orderkey AS k, l_linenumber AS line, l_returnflag AS target FROM lineitem UNION ALL
- SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 'Z' ELSE l_returnflag END FROM lineitem WHERE l_linenumber % 2 = 0) GROUP BY 1, 2 HAVING count(DISTINCT target) = 1""",
-    "coverage_states": """WITH k AS (SELECT DISTINCT c_mktsegment AS locale, c_name AS k, substr(sha256(c_name), 1, 3) AS b FROM customer),
- p AS (SELECT locale, b, count(*) AS n, sha256(string_agg(k, chr(10) ORDER BY k)) AS d FROM k GROUP BY 1, 2)
- SELECT locale, CAST(sum(n) AS BIGINT) AS covered_entries, sha256(string_agg(d, chr(10) ORDER BY b)) AS set_digest FROM p GROUP BY 1""",
+    "carriers_merged": """WITH r AS (SELECT l_orderkey AS k, l_linenumber AS line, l_linestatus AS source, l_returnflag AS target, l_partkey AS p FROM lineitem UNION ALL
+ SELECT l_orderkey, l_linenumber, l_linestatus, CASE WHEN l_orderkey % 5 = 0 THEN l_linestatus WHEN l_orderkey % 3 = 0 THEN 'Z' ELSE l_returnflag END, l_partkey FROM lineitem WHERE l_linenumber % 2 = 0)
+ SELECT k, line, min(target) AS target, min(p) AS resource_key FROM r GROUP BY 1, 2 HAVING count(DISTINCT target) = 1 AND NOT bool_or(source = target)""",
+    "coverage_states": """WITH r AS (SELECT c_custkey // 40 AS owner, c_mktsegment AS locale, 'r' || c_custkey AS i, c_name AS n, sha256(c_name) AS d FROM customer)
+ SELECT owner, locale, CASE count(*) WHEN 1 THEN min(n) ELSE 'locale-component-set:' || count(*) END AS name, CASE count(*) WHEN 1 THEN min(d) ELSE
+ sha256('{"components":[' || string_agg('{"digest":"' || d || '","name":"' || n || '","resource_id":"' || i || '"}', ',' ORDER BY i) || ']}') END AS digest FROM r GROUP BY 1, 2""",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uiloom.functions import text as T
 from uiloom.operators import catalog, registry
-from uiloom.plans import coverage, documents
+from uiloom.plans import coverage, documents, releases
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -159,8 +159,8 @@ def blob_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_blob_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of every document, whatever its characters; a null text has a null id."""
-    return _t(spark, sf_dir, "documents").select("doc_id", T.git_blob_id(F.col("text").cast("binary")).alias("blob"))
+    """Of every page with its address, whatever the characters; a null page has a null id."""
+    return _t(spark, sf_dir, "pages").select("page_id", T.git_blob_id(F.concat_ws("\n", "url", "html").cast("binary")).alias("blob"))
 
 
 def canonical_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,9 +215,9 @@ ORACLE_SQL = {
     "repository_paths": "SELECT p_partkey, p_partkey % 5 IN (0, 4) AS safe FROM part",
     "locale_texts": r"""SELECT doc_id, NOT regexp_matches(text, '[\r\n]') AS single, 2 * length(regexp_replace(text, '[^\p{Latin}]', '', 'g')) >= length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS fits FROM documents""",
     "blob_ids": "SELECT doc_id, sha1('blob ' || strlen(text) || chr(0) || text) AS blob FROM documents",
-    "document_blob_ids": "SELECT doc_id, sha1('blob ' || strlen(text) || chr(0) || text) AS blob FROM documents",
+    "document_blob_ids": "SELECT page_id, sha1('blob ' || strlen(t) || chr(0) || t) AS blob FROM (SELECT page_id, concat_ws(chr(10), url, html) AS t FROM pages)",
     "canonical_props": "SELECT event_id, sha256(CAST(json(props) AS VARCHAR)) AS digest FROM events",
 }
 
-QUERIES |= documents.QUERIES | coverage.QUERIES
-ORACLE_SQL |= documents.ORACLE_SQL | coverage.ORACLE_SQL
+QUERIES |= documents.QUERIES | coverage.QUERIES | releases.QUERIES
+ORACLE_SQL |= documents.ORACLE_SQL | coverage.ORACLE_SQL | releases.ORACLE_SQL
