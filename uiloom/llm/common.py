@@ -5,9 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
 from contextvars import ContextVar
+from functools import wraps
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -71,6 +72,17 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
         own.drop()
 
 
+def in_scratch(work: Callable) -> Callable:
+    """For functions of a DataFrame: what they stage goes when they return, but for tables staged with `owner=outer()`."""
+
+    @wraps(work)
+    def inside(df: DataFrame, *args: object, **named: object) -> object:
+        with scratch(df.sparkSession):
+            return work(df, *args, **named)
+
+    return inside
+
+
 #: Owns what a lazily read result still needs when no scratch is open around the call; deleted when the process ends.
 _process: list[Scratch] = []
 

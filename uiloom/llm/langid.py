@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uiloom.llm.common import draw, stage
+from uiloom.llm.common import draw, in_scratch, stage
 
 SAMPLE, MIN_SHARE, MIN_DOCS, MAX_LANGUAGES = 2000, 0.02, 2, 512
 SIZES = (3, 4)
@@ -100,6 +100,7 @@ class Filters:
         return n, (found @ BITS).reshape(-1)[: len(self.languages)]
 
 
+@in_scratch
 def fit(df: DataFrame, lang: str, text: str, key: str, *, sample: int = SAMPLE, languages: int = MAX_LANGUAGES) -> Filters:
     """Learn from the rows of df, `key` being what a hash draws the sample by, with the text. What reaches the driver is
     bounded: `languages` counts, and SLOTS cells of one byte for each eight languages."""

@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from uiloom.llm.common import stage
+from uiloom.llm.common import in_scratch, outer, stage
 
-SHARD, DEGREE, ROOM, BUILD_BEAM, BEAM, ALPHA = 4096, 24, 40, 48, 96, 1.2
+SHARD, DEGREE, ROOM, BUILD_BEAM, BEAM, ALPHA = 16_384, 24, 40, 48, 96, 1.2
 BATCH, BLOCK, SALTS, AT_ONCE = 512, 1024, 16, 4
 
 
@@ -187,6 +187,7 @@ def answers(graphs: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
     return together.mapInArrow(run, "query_id long, node long, score double")
 
 
+@in_scratch
 def search(vectors: DataFrame, queries: Column, id_col: str, vector_col: str, k: int) -> DataFrame:
     """query_id, rank, id and score (Euclidean distance) of the k nearest rows for each row that `queries` selects."""
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), queries.alias("is_query"))
@@ -211,7 +212,7 @@ def search(vectors: DataFrame, queries: Column, id_col: str, vector_col: str, k:
     blocks = packed.select(F.col("q.vec_id").alias("ids"), F.flatten("q.vector").alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     found = answers(graphs, blocks, k)
     best = Window.partitionBy("query_id").orderBy("score", "node")
-    top = stage(found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1).drop("_r"), "found")
+    top = stage(found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1).drop("_r"), "found", owner=outer())
 
     # the smallest ids of each node: of each salt first, then of those
     ids = rows.select("vec_id", *digest).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
@@ -220,6 +221,6 @@ def search(vectors: DataFrame, queries: Column, id_col: str, vector_col: str, k:
     keys = nodes.select("node", *digest)
     members = stage(ids.select("vec_id", "h1", "h2"), "members")
     wanted = top.select("node").distinct().join(keys, "node").join(members, ["h1", "h2"]).select("node", "vec_id")
-    near = top.join(stage(wanted, "wanted"), "node").where("vec_id <> query_id")
+    near = top.join(stage(wanted, "wanted", owner=outer()), "node").where("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -10,7 +10,7 @@ or not, can make up nearly half of a group. The covariance is scaled to
 be consistent for normal data, and FLOORS are added to its diagonal, since most statistics are constant
 in clean text. A row whose squared distance exceeds CUTOFF is rejected.
 
-The same estimates are made for each language and for all rows. A group of fewer than LEAST rows that pass the
+Estimates for a language and for all rows are made where a group needs them: a group of fewer than LEAST rows that pass the
 base rules is judged by the estimate of its language, or of all rows if the language has fewer than LEAST too,
 so every row that passes the base rules gets a verdict. Null language or source is a
 group of its own; a null text has no words and fails the base rules. Repeated rows count as often
@@ -25,7 +25,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uiloom.llm.common import SPACE, draw, stage, words
+from uiloom.llm.common import SPACE, draw, in_scratch, outer, stage, words
 
 WINDOW = 8
 SUPPORT, STARTS, DRAWN, TRIED, STEPS, TOLERANCE, LEAST = 0.5, 3, 60, 2, 8, 0.05, 50
@@ -116,12 +116,26 @@ def matched(rows: DataFrame, stats: DataFrame, keys: list[str], how: str = "inne
     return rows.join(named, reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys)), how)
 
 
-def cells(rows: DataFrame) -> DataFrame:
-    """Each row once for each of its cells."""
+def needs(rows: DataFrame) -> DataFrame:
+    """For each group: the level at which it is judged, and which of its cells any group is judged by (need0, need1, need2).
+    Level 0 takes LEAST rows that pass the base rules, level 1 as many of the language, level 2 any."""
+    groups = rows.groupBy(*GROUP).agg(F.count_if(~F.col("base_failed")).alias("n"))
+    langs = groups.groupBy("lang").agg(F.sum("n").alias("n"), F.bool_or(F.col("n") < LEAST).alias("small"))
+    own, known = F.col("n") >= LEAST, F.col("_n") >= LEAST
+    placed = stage(matched(groups, langs, ["lang"]).select(*GROUP, F.when(own, 0).when(known, 1).otherwise(2).alias("level"), own.alias("need0"), (F.col("_small") & known).alias("need1")), "needs")
+    return placed.withColumn("need2", F.lit(not placed.where("level = 2").isEmpty()))
+
+
+def cells(rows: DataFrame, needed: DataFrame | None = None) -> DataFrame:
+    """Each row once for each of its cells, or for those that are needed."""
     none = [F.lit(None).cast(rows.schema[c].dataType) for c in GROUP]
     levels = ((F.col("lang"), F.col("source")), (F.col("lang"), none[1]), (none[0], none[1]))
-    cell = F.explode(F.array(*(F.struct(F.lit(i).alias("level"), x.alias("lang"), y.alias("source")) for i, (x, y) in enumerate(levels))))
-    return rows.withColumn("_cell", cell).select("_cell.*", *(c for c in rows.columns if c not in GROUP))
+    own = [F.struct(F.lit(i).alias("level"), x.alias("lang"), y.alias("source")) for i, (x, y) in enumerate(levels)]
+    kept = [c for c in rows.columns if c not in GROUP]
+    if needed is not None:
+        rows = matched(rows, needed, GROUP)
+        own = [F.when(F.col(f"_need{i}"), c) for i, c in enumerate(own)]
+    return rows.withColumn("_cell", F.explode(F.array_compact(F.array(*own)))).select("_cell.*", *kept)
 
 
 def distances(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
@@ -159,9 +173,9 @@ def trials(rows: DataFrame, starts: range) -> DataFrame:
     return rows.withColumn("start", F.explode(F.array(*map(F.lit, starts))))
 
 
-def robust(rows: DataFrame) -> DataFrame:
-    """The minimum-covariance-determinant estimate of each cell, its covariance factored; n counts all rows of the cell."""
-    rows = cells(rows)
+def robust(rows: DataFrame, needed: DataFrame | None = None) -> DataFrame:
+    """The minimum-covariance-determinant estimate of each cell (that is needed), its covariance factored; n counts all rows of the cell."""
+    rows = cells(rows, needed)
     sizes = stage(rows.groupBy(*CELL).agg(F.count("*").alias("size")), "sizes")
     stats = stage(start(rows, sizes), "estimate")
     spread = sum((2 * F.log(f"l{i}{i}") for i in range(len(FEATURES))), F.lit(0.0))  # log of the determinant
@@ -185,23 +199,21 @@ def robust(rows: DataFrame) -> DataFrame:
     return matched(stats.drop("start", "n"), sizes, CELL).withColumn("n", F.col("_size")).select(*CELL, "n", *values[1:])
 
 
-def chosen(groups: DataFrame, stats: DataFrame) -> DataFrame:
-    """For each language and source in groups, the estimate of its first cell with LEAST rows, or of all rows."""
-    own = groups.select(*GROUP).distinct()
-    own = own.select(*GROUP, *(F.col(c).alias(f"own_{c}") for c in GROUP))
-    met = matched(cells(own), stats, CELL).where((F.col("_n") >= LEAST) | (F.col("level") == 2))
+def chosen(needed: DataFrame, stats: DataFrame) -> DataFrame:
+    """For each language and source, the estimate that it is judged by."""
+    own = needed.select(*(F.col(c).alias(f"own_{c}") for c in GROUP), "level", F.when(F.col("level") < 2, F.col("lang")).alias("lang"), F.when(F.col("level") == 0, F.col("source")).alias("source"))
     values = [c for c in stats.columns if c not in CELL]
-    first = met.groupBy(*(f"own_{c}" for c in GROUP)).agg(F.min_by(F.struct(*(F.col(f"_{c}").alias(c) for c in values)), "level").alias("_first"))
-    return first.select(*(F.col(f"own_{c}").alias(c) for c in GROUP), "_first.*")
+    return matched(own, stats, CELL).select(*(F.col(f"own_{c}").alias(c) for c in GROUP), *(F.col(f"_{c}").alias(c) for c in values))
 
 
+@in_scratch
 def judge(df: DataFrame, text_col: str = "text") -> DataFrame:
     """doc_id, the statistics, base_failed, the squared distance `far` and `kept` of each row of df."""
     measured = vectors(statistics(df.select("doc_id", *GROUP, F.col(text_col).alias("text")), "text").drop("text"))
     few = F.col("n_words") < 20
     repeats = 100 * F.col("n_repeat_words") > 30 * F.col("n_words")
-    rows = stage(measured.withColumn("base_failed", few | repeats), "statistics")
-    passed = rows.where(~F.col("base_failed"))
-    stats = stage(robust(passed), "robust")
-    placed = distances(rows, stage(chosen(rows, stats), "chosen"), GROUP)
+    rows = stage(measured.withColumn("base_failed", few | repeats), "statistics", owner=outer())
+    needed = needs(rows)
+    stats = stage(robust(rows.where(~F.col("base_failed")), needed), "robust")
+    placed = distances(rows, stage(chosen(needed, stats), "chosen", owner=outer()), GROUP)
     return placed.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("far") > CUTOFF, F.lit(False)))

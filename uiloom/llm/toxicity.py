@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uiloom.llm.common import draw, stage
+from uiloom.llm.common import draw, in_scratch, stage
 
 SAMPLE, SEGMENT, SEGMENTS, ROUNDS = 8_000, 64, 1_500, 60
 TOXIC_ODDS, LEAST_DOCS = 3.0, 2
@@ -280,6 +280,7 @@ def summaries(drawn: DataFrame, own: Field) -> list[tuple[float, float, int]]:
     return [(r["top"], r["expected"], r["toxic"]) for r in rows]
 
 
+@in_scratch
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """Learn from the documents that have a row (id, toxic) in labels. To the driver come numbers and features of the drawn documents only."""
     known = labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IN (0, 1)")
