@@ -229,8 +229,8 @@ ORACLE_SQL = {
     "fair_turns": """SELECT queue, o_orderkey, row_number() OVER (ORDER BY nth, queue) - 1 AS turn FROM (SELECT *, row_number() OVER (PARTITION BY queue ORDER BY o_orderkey) AS nth
  FROM (SELECT CASE WHEN o_orderpriority < '3' THEN 'registry' ELSE 'source' END AS queue, o_orderkey FROM orders))""",
     "html_text_nodes": r"""WITH t AS (SELECT page_id, list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(html, '^<!DOCTYPE[^>]*>', ''), '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '<x>', 'g'), '<[^>]*>'),
-  lambda p: trim(regexp_replace(p, '\s+', ' ', 'g'))), lambda p: p <> '' AND NOT regexp_matches(replace(p, '&amp;', ''), '&[A-Za-z][A-Za-z0-9]+;')) AS n FROM pages WHERE length(html) - length(regexp_extract(html, '^<!DOCTYPE[^>]*>')) <= 100000)
- SELECT page_id, CAST(i - 1 AS INTEGER) AS nth, sha256(replace(n[i], '&amp;', '&')) AS digest FROM (SELECT page_id, n, unnest(range(1, len(n) + 1)) AS i FROM t)""",
+  lambda p: trim(regexp_replace(p, '\s+', ' ', 'g'))), lambda p: p <> '' AND NOT regexp_matches(regexp_replace(p, '&(amp|lt|gt|quot|apos|nbsp);', '', 'g'), '&[A-Za-z][A-Za-z0-9]+;')) AS n FROM pages WHERE length(html) - length(regexp_extract(html, '^<!DOCTYPE[^>]*>')) <= 100000)
+ SELECT page_id, CAST(i - 1 AS INTEGER) AS nth, sha256(replace(replace(replace(replace(n[i], '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS digest FROM (SELECT page_id, n, unnest(range(1, len(n) + 1)) AS i FROM t)""",
     "json_values": r"""SELECT event_id, CASE WHEN t.parent IS NULL THEN '' ELSE '/' || t.key END AS pointer, CASE t.type WHEN 'OBJECT' THEN 'object' ELSE 'integer' END AS kind, CASE WHEN t.parent IS NULL THEN 0 ELSE 1 END AS depth, t.atom::VARCHAR AS value FROM events, json_tree(props) t""",
     "request_states": r"""WITH d AS (SELECT *, trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM documents)
  SELECT doc_id AS request, code, CASE WHEN code = 'accepted' THEN sha256(text) END AS main FROM (SELECT *, CASE WHEN doc_id % 17 = 0 OR n_chars % 40 < 1 THEN 'request-invalid' WHEN doc_id % 19 = 0 THEN 'closure-invalid' WHEN text = '' THEN 'size-invalid'
