@@ -7,7 +7,7 @@ A word goes if some window of `window` words that covers it starts more than onc
    share an anchor; such an occurrence is one narrow row, with a hash of all words that its windows
    cover (its extent). There are about 7 rows for 100 words.
 2. Anchors are counted, which proposes phrases. Where all extents of a recurring anchor are equal, the extent is one phrase. Where
-   they differ, the windows are counted by hash, and those that seem to recur are phrases, neighbours that recur in the same places together. The words of a phrase are read
+   they differ, an extent that recurs is a phrase as it is, and the windows of one occurrence of each extent are counted by hash, and those that seem to recur are phrases, neighbours that recur in the same places together. The words of a phrase are read
    from one document that holds it, so there is one row for a phrase however often it occurs.
 3. Phrases are dealt over shards of about SHARD_WORDS words by the first document that holds their anchor, so those of one
    passage stay together. Each shard becomes an Aho-Corasick automaton over words. Documents are streamed through the shards to which their anchors
@@ -233,11 +233,19 @@ def remove_recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             ).where("n > 1")
             recurring = stage(counted.select("anchor", (F.col("low") != F.col("high")).alias("mixed"), "key", *unpacked("first", "last")), "recurring", owner=outer())
             marks = recurring.select("anchor", "mixed", F.col("key").alias("owner"))
-            spans = occurring.drop("extent").join(marks, "anchor").groupBy("key").agg(F.collect_set(F.struct("first", "last", "mixed", "owner")).alias("spans"))
+            placed = stage(occurring.join(marks, "anchor"), "placed")
+            # of an anchor's different runs, one of each extent tells its windows: a run that recurs as it is, is a phrase as it is
+            kinds = placed.where("mixed").groupBy("anchor", "extent").agg(F.count("*").alias("n"), F.min("owner").alias("owner"), *one_of("first", "last"))
+            kinds = stage(kinds.select("anchor", "extent", "n", "owner", "key", *unpacked("first", "last")), "kinds", owner=outer())
+            told = kinds.select("anchor", "extent", F.col("n").alias("_n"), F.col("key").alias("_key"), F.col("first").alias("_first"))
+            tells = F.coalesce((F.col("_n") == 1) | ((F.col("key") == F.col("_key")) & (F.col("first") == F.col("_first"))), F.lit(False))
+            spans = placed.join(told, ["anchor", "extent"], "left").withColumn("mixed", F.col("mixed") & tells)
+            spans = spans.groupBy("key").agg(F.collect_set(F.struct("first", "last", "mixed", "owner")).alias("spans"))
             # each row once, with the spans of those that may lose words; the others are done
             held = stage(docs.join(spans, "key", "left"), "held", owner=outer())
         some = held.where("spans IS NOT NULL")
         whole = recurring.where("NOT mixed").select("key", "first", (F.col("last") + window).alias("stop"), F.col("key").alias("owner"))
+        whole = whole.unionByName(kinds.where("n > 1").select("key", "first", (F.col("last") + window).alias("stop"), "owner"))
         parts = window_phrases(window_rows(some, window), window)
         phrases = stage(phrase_texts(some, whole.unionByName(parts)).withColumn("id", F.monotonically_increasing_id()), "phrases")
         # an owner's phrases are together, if they aren't too many for one shard
