@@ -1,4 +1,8 @@
 import hashlib
+import os
+import subprocess
+import sys
+import unicodedata
 
 import duckdb
 import pytest
@@ -73,7 +77,7 @@ def test_release_choice(spark):
     rows = [("a", 0, "v1.0.0-beta", False, True), ("a", 1, "1.0.0", False, False), ("b", 0, "2.0.0", False, True), ("c", 0, "3.0.0", True, False)]
     rows += [("d", i, "x", False, True) for i in range(300)]
     got = registry.choose_release(spark.createDataFrame(rows, "r string, position int, tag string, draft boolean, prerelease boolean"), ["r"])
-    assert {r.r: (r.tag, r.kind) for r in got.collect()} == {"a": ("1.0.0", "stable"), "b": ("2.0.0", "preview"), "c": (None, "none"), "d": (None, "none")}
+    assert {r.r: (r.tag, r.kind) for r in got.collect()} == {"a": ("1.0.0", "stable"), "b": ("2.0.0", "preview"), "c": (None, "none"), "d": (None, "search-limit")}
 
 
 def test_components(spark):
@@ -98,7 +102,7 @@ def test_predicates(spark):
 def test_every_document_has_a_blob_id(spark, tmp_path):
     texts = ["", "hello\n", "\u00e9 \u0431", "\U0001F600", "\x00 a", None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r.blob for r in QUERIES["document_blob_ids"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.blob for r in QUERIES["blob_ids"](spark, str(tmp_path)).collect()}
     blob = lambda b: hashlib.sha1(b"blob %d\0" % len(b) + b).hexdigest()
     assert got == {i: None if t is None else blob(t.encode()) for i, t in enumerate(texts)}
 
@@ -124,3 +128,15 @@ def test_queries_match_sql(spark, name):
     names = [c[0] for c in found.description]
     want = sorted(tuple(str(r[names.index(c)]) for c in columns) for r in found.fetchall())
     assert sorted(tuple(map(str, r)) for r in got.select(*columns).collect()) == want
+
+
+def test_a_missing_library_of_the_subpackage_leaves_the_other_queries(tmp_path):
+    """The entry is imported by a fresh interpreter in which a library that only uiloom.llm needs can't be imported."""
+    code = "import sys; sys.modules['ahocorasick'] = None\nimport __spark_entry__ as e\nn = e.queries()\nassert 'extract_ui_calls' in n and not any(q.startswith('op') or q == 'pipeline' for q in n) and set(e.oracle_sql()) <= set(n)"
+    subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), check=True, timeout=120)
+
+
+def test_normal_text(spark):
+    values = [" a\t\n", "\x1ca\x1f", "\u00a0e\u0301 ", "", " ", None, "plain", "\u200ba"]
+    got = [r.n for r in spark.createDataFrame([(v,) for v in values], "v string").select(T.norm_text("v").alias("n")).collect()]
+    assert got == [v if v is None else unicodedata.normalize("NFC", v).strip() for v in values]

@@ -62,11 +62,17 @@ def is_structured(text: pd.Series) -> pd.Series:
 
 
 @pandas_udf(StringType())
-def norm_text(text: pd.Series) -> pd.Series:
-    """NFC, without white space at the ends."""
+def _composed(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFC", t).strip(), na_action="ignore")
 
 
+def norm_text(text: Column | str) -> Column:
+    """NFC, without white space at the ends. Python sees texts beyond ASCII only; of the others the ends are trimmed."""
+    value = F.col(text) if isinstance(text, str) else text
+    bare = F.regexp_replace(value, r"\A[\x09-\x0D\x1C-\x20]+|[\x09-\x0D\x1C-\x20]+\z", "")
+    return F.coalesce(_composed(F.when(value.rlike(r"[^\x00-\x7F]"), value)), bare)
+
+
 def looks_like_ui_text(text: Column, most: int | Column = 300) -> Column:
     """The gate without its last term: length, a letter, and none of the excluded shapes."""
     passed = F.length(text).between(2, most) & text.rlike(r"\p{L}")

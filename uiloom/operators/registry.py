@@ -13,7 +13,7 @@ STABLE = r"\Av?\d+\.\d+\.\d+(\+[0-9A-Za-z.-]+)?\z"
 def choose_release(releases: DataFrame, keys: list[str], latest: DataFrame | None = None) -> DataFrame:
     """One release of each repository, from rows (keys.., position, tag, draft, prerelease), newest first.
     The latest one if it is stable (rows keys.., tag, draft, prerelease; at most one for each repository), else the first stable one within HISTORY; else,
-    if the history ends there, a preview: the latest or the first that is no draft; else none (`tag` null)."""
+    if the history ends there, a preview: the latest or the first that is no draft; else none; `search-limit` if there is more history than that (`tag` is null for both)."""
     is_stable = ~F.col("draft") & ~F.col("prerelease") & F.col("tag").rlike(STABLE)
     seen = F.col("position") < HISTORY
     first = lambda which: F.min_by("tag", F.when(which & seen, F.col("position")))
@@ -22,7 +22,7 @@ def choose_release(releases: DataFrame, keys: list[str], latest: DataFrame | Non
         own = latest.select(*keys, F.when(is_stable, F.col("tag")).alias("_stable"), F.when(~F.col("draft"), F.col("tag")).alias("_preview"))
         picked = picked.join(own, keys, "full").withColumns({"stable": F.coalesce("_stable", "stable"), "preview": F.coalesce("_preview", "preview"), "n": F.coalesce("n", F.lit(0))})
     tag = F.coalesce("stable", F.when(F.col("n") < HISTORY, F.col("preview")))
-    kind = F.when(F.col("stable").isNotNull(), "stable").when(tag.isNotNull(), "preview").otherwise("none")
+    kind = F.when(F.col("stable").isNotNull(), "stable").when(tag.isNotNull(), "preview").when(F.col("n") < HISTORY, "none").otherwise("search-limit")
     return picked.select(*keys, tag.alias("tag"), kind.alias("kind"))
 
 

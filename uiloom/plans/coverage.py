@@ -182,7 +182,7 @@ ORACLE_SQL = {
  l AS (SELECT o_custkey, max_by(CASE WHEN ok THEN tag ELSE '' END, k) AS st, max_by(CASE WHEN s <> 'P' THEN tag ELSE '' END, k) AS pr FROM q WHERE o_custkey % 2 = 0 GROUP BY 1),
  c AS (SELECT o_custkey, min_by(tag, p) FILTER (WHERE p < 300 AND ok) AS st, min_by(tag, p) FILTER (WHERE p < 300 AND s <> 'P') AS pr, count(*) AS n FROM q GROUP BY 1),
  j AS (SELECT c.o_custkey, coalesce(nullif(l.st, ''), c.st) AS st, coalesce(nullif(l.pr, ''), c.pr) AS pr, n FROM c LEFT JOIN l USING (o_custkey))
- SELECT o_custkey, coalesce(st, CASE WHEN n < 300 THEN pr END) AS tag, CASE WHEN st IS NOT NULL THEN 'stable' WHEN n < 300 AND pr IS NOT NULL THEN 'preview' ELSE 'none' END AS kind FROM j""",
+ SELECT o_custkey, coalesce(st, CASE WHEN n < 300 THEN pr END) AS tag, CASE WHEN st IS NOT NULL THEN 'stable' WHEN n < 300 AND pr IS NOT NULL THEN 'preview' WHEN n < 300 THEN 'none' ELSE 'search-limit' END AS kind FROM j""",
     "normal_bundles": r"""SELECT p_partkey, sha256(CASE p_partkey % 4 WHEN 0 THEN p_name || ';' WHEN 1 THEN p_name || chr(10) || '//# sourceMappingURL=a' || chr(10) || 'more' WHEN 2 THEN p_name ELSE '' END) AS digest FROM part""",
     "failure_codes": r"""SELECT p_partkey, CASE WHEN a THEN 'executor_workflow_failed' WHEN regexp_matches(c, 'source|component|license') THEN 'source_validation_rejected' WHEN regexp_matches(c, 'profile|binding') THEN 'registry_projection_changed'
  WHEN regexp_matches(c, 'adapter|result_') THEN 'adapter_validation_rejected' ELSE 'executor_workflow_failed' END AS command, CASE WHEN a OR p_size % 5 = 0 THEN 'registry_resolution_retryable' WHEN regexp_matches(c, 'profile|binding') THEN 'registry_profile_changed' ELSE 'registry_validation_rejected' END AS resolution,

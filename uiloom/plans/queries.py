@@ -202,7 +202,7 @@ ORACLE_SQL = {
     "release_choice": r"""WITH r AS (SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS p, '1.' || (o_orderkey % 7) || '.' || o_orderkey ||
  CASE WHEN o_orderkey % 3 = 0 THEN '-beta' ELSE '' END AS tag, o_orderstatus AS s FROM orders),
  c AS (SELECT o_custkey, min_by(tag, p) FILTER (WHERE p < 300 AND s NOT IN ('P', 'O') AND NOT tag LIKE '%-beta') AS st, min_by(tag, p) FILTER (WHERE p < 300 AND s <> 'P') AS pr, count(*) AS n FROM r GROUP BY 1)
- SELECT o_custkey, coalesce(st, CASE WHEN n < 300 THEN pr END) AS tag, CASE WHEN st IS NOT NULL THEN 'stable' WHEN n < 300 AND pr IS NOT NULL THEN 'preview' ELSE 'none' END AS kind FROM c""",
+ SELECT o_custkey, coalesce(st, CASE WHEN n < 300 THEN pr END) AS tag, CASE WHEN st IS NOT NULL THEN 'stable' WHEN n < 300 AND pr IS NOT NULL THEN 'preview' WHEN n < 300 THEN 'none' ELSE 'search-limit' END AS kind FROM c""",
     "strict_json_gate": "SELECT event_id, coalesce(json_valid(props), false) AS valid FROM events",
     "json_pointer_flatten": "SELECT event_id, '/' || k AS pointer, json_extract_string(props, '$.' || k) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)",
     "html_inner_text": r"SELECT page_id, sha256(t) AS digest FROM (SELECT page_id, regexp_replace(html, '<[^>]*>', '', 'g') AS t FROM pages WHERE NOT contains(html, '{{th:expr:')) WHERE regexp_matches(t, '\p{L}')",

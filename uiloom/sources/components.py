@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uiloom.functions.text import strict_json
+from uiloom.functions.text import norm_text
+from uiloom.functions.variants import members, strict_value
 
 # Largest size of a component by role, in bytes.
 LIMITS = {"main": 63 << 20, "manifest": 1 << 20, "readme": 1 << 20, "registry-metadata": 1 << 20, "locale": 4 << 20}
 
 
-def read_binary(spark: SparkSession, path: str) -> DataFrame:
-    """path and content of each file."""
-    return spark.read.format("binaryFile").load(path).select("path", "content")
-
-
 def verified(components: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected rows of (plugin_id, role, content, size, sha256); rejected ones have a `code`."""
     limit = F.create_map(*(x for k, v in LIMITS.items() for x in (F.lit(k), F.lit(v))))
@@ -30,8 +26,8 @@ def verified(components: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def manifests(components: DataFrame) -> DataFrame:
-    """plugin_id, name, version, description of the manifests that are strict JSON and carry the id of their row."""
-    parsed = components.where("role = 'manifest'").withColumn("v", strict_json(F.col("content").cast("string")))
-    field = lambda name: F.try_variant_get("v", f"$.{name}", "string")
-    named = parsed.select("plugin_id", field("id").alias("id"), *(field(n).alias(n) for n in ("name", "version", "description")))
-    return named.where("id = plugin_id AND trim(name) <> '' AND trim(version) <> ''").drop("id")
+    """plugin_id, name, version, description of the manifests that are strict JSON and carry the id of their row; texts are normalised, and name and version are not blank."""
+    parsed = components.where("role = 'manifest'").select("plugin_id", members(strict_value(F.decode("content", "UTF-8"))).alias("m"))
+    field = lambda name: F.try_variant_get(F.element_at("m", F.lit(name)), "$", "string")
+    named = parsed.select("plugin_id", field("id").alias("id"), *(norm_text(field(n)).alias(n) for n in ("name", "version", "description")))
+    return named.where("id = plugin_id AND name <> '' AND version <> ''").drop("id")
