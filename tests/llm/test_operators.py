@@ -65,6 +65,24 @@ def test_jaccard(spark, docs, texts):
     assert got == {i: (len(s), root[i]) for i, s in enumerate(sets)}
 
 
+@pytest.mark.parametrize("limits", [{}, {"leaf": 4, "hard": 6}])
+def test_jaccard_pairs(spark, docs, texts, limits):
+    def own(t):
+        w = (t or "").encode().lower().split()
+        return frozenset(tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))) if w else frozenset()
+
+    sets = [own(t) for t in texts]
+    first = {}
+    for i, s in enumerate(sets):
+        first.setdefault(s, i)
+    near = lambda a, b: a and b and 100 * len(a & b) >= 70 * len(a | b)
+    links = {(min(first[a], first[b]), max(first[a], first[b]), len(a & b), len(a | b)) for a in first for b in first if a != b and near(a, b)}
+    found, members = jaccard.pairs(docs, size=4, percent=70, **limits)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(links) and links
+    got = {r.doc_id: (r.n_shingles, r.class_id, r.n_links) for r in members.collect()}
+    assert got == {i: (len(s), first[s] if s else None, sum(bool(near(s, o)) for k, o in enumerate(sets) if k != i)) for i, s in enumerate(sets)}
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(hash((i, 1)), hash((i + 1, 1))) for i in range(60)], "a long, b long")
     assert len({r.label for r in components.components(links).collect()}) == 1

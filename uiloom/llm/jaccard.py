@@ -428,6 +428,54 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: i
         return stage(rows.select(F.col("id").alias("doc_id"), "n_shingles", "node", "component_id"), "links", owner=outer())
 
 
+def every_link(leaves: DataFrame, percent: int) -> DataFrame:
+    """All links (a, b, common, all) between nodes, a < b, measured from the sets in each leaf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tab in whole_groups(batches, 2000):
+            node = tab.column("node").to_numpy()
+            own = [np.frombuffer(x.as_buffer(), "u8") for x in tab.column("own")]
+            found = []
+            for x, y in zip(*(p.tolist() for p in possible(tab, percent)[:2]), strict=True):
+                common = overlap(own[x], own[y])
+                union = len(own[x]) + len(own[y]) - common
+                if 100 * common >= percent * union:
+                    found.append((*sorted((int(node[x]), int(node[y]))), common, union))
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(4)], names=["a", "b", "common", "all"])
+
+    return leaves.mapInArrow(run, "a long, b long, common long, all long").distinct()
+
+
+def pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size: int, percent: int, leaf: int = LEAF, hard: int = HARD) -> tuple[DataFrame, DataFrame]:
+    """The join itself: links between different sets, and members.
+
+    Links: left and right (the smallest ids of the documents of each set), common and all (sizes of intersection and union); each once, so rows grow with the links.
+    Members: doc_id, n_shingles, class_id (the smallest id with the same set; null without a set) and n_links (how many other documents it links with, copies of the same set and of
+    linked sets counted each). Ids are those of the column, null ones are the smallest of no set."""
+    with scratch(df.sparkSession):
+        base = stage(summaries(df.select(id_col, text_col), id_col, text_col, size, percent), "prefixes")
+        nodes = base.where("n_shingles > 0").select("node", "n_shingles", "first").dropDuplicates(["node"])
+        keys = base.where("n_shingles > 0").groupBy("node").agg(F.min("key").alias("key"))  # a document of each node
+        ends = lambda links: stage(links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct().join(keys, "node"), "ends")
+        cells = blocks(split(covering(nodes), lambda links: measured(links, sets_of(base, ends(links), text_col, size)), percent, leaf), hard)
+        cells = stage(open_members(in_leaves(cells.select(*LEAF_COLUMNS)), percent), "leaves")
+        seen = projections(base, stage(cells.select("node").distinct().join(keys, "node"), "live"))
+        still = stage(open_members(in_leaves(cells.join(seen, "node").select(*LEAF_COLUMNS, "classes")), percent), "open")
+        sets = sets_of(base, stage(still.select("node").distinct().join(keys, "node"), "met"), text_col, size)
+        links = stage(every_link(in_leaves(still.join(sets.select("node", "own"), "node").select(*still.columns, "own")), percent), "links")
+        ids = base.select(F.col("row").getField(id_col).alias("id"), "n_shingles", "node")
+        classes = stage(ids.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
+        both = links.select("a", "b").union(links.select("b", "a"))
+        met = both.join(classes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("met"))
+        joined = ids.join(classes.where("copies > 0"), "node", "left").join(met, "node", "left")
+        some = F.col("n_shingles") > 0
+        n_links = F.when(some, F.col("copies") - 1 + F.coalesce("met", F.lit(0))).otherwise(0)
+        members = joined.select(F.col("id").alias("doc_id"), "n_shingles", F.when(some, F.col("class_id")).alias("class_id"), n_links.cast("long").alias("n_links"))
+        named = lambda end, name: classes.select(F.col("node").alias(end), F.col("class_id").alias(name))
+        found = links.join(named("a", "x"), "a").join(named("b", "y"), "b").select(F.least("x", "y").alias("left"), F.greatest("x", "y").alias("right"), "common", "all")
+        return stage(found, "links", owner=outer()), stage(members, "members", owner=outer())
+
+
 def first_of_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest id, and of several with this id any one. Rows with null ids come last."""
     base = stage(summaries(df, id_col, text_col, how["size"], how["percent"]), "prefixes")
