@@ -357,3 +357,10 @@ def test_smallest_determinant(spark):
     det = lambda i: np.linalg.det(outliers.CONSISTENCY * np.cov(x[list(i)].T, bias=True) + floors)
     best = min(itertools.combinations(range(13), 7), key=det)
     assert np.allclose([own[f"m{i}"] for i in range(5)], x[list(best)].mean(0)) and np.isclose(own.spread, np.log(det(best)))
+
+
+def test_written_shards(spark, tmp_path):
+    rows = sharding.shard_records(spark.range(200).withColumnRenamed("id", "doc_id"), "doc_id", [1.0, 3.0])
+    sharding.write_shards(rows, f"{tmp_path}/shards")
+    back = spark.read.parquet(f"{tmp_path}/shards")
+    assert {tuple(r) for r in back.collect()} == {tuple(r) for r in rows.collect()} and back.where("shard = 1").count() > back.where("shard = 0").count() > 0
