@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from uiloom.functions import html, variants
-from uiloom.operators import checks, coverage, directory, matching, rules
+from uiloom.operators import catalog as catalogs
+from uiloom.operators import checks, coverage, directory, matching, rules, snapshots
 from uiloom.sinks import results
 from uiloom.sources import requests
 from uiloom.streaming import tasks
@@ -503,3 +504,25 @@ def test_moves_of_a_task():
         ("a", "waiting", 0, 0, "a"), ("s", "waiting", 0, 0, "a"), ("a", "held", 1, 1, "a"), ("s", "held", 1, 1, "a"), ("s", "held", 1, 1, "a"), ("a", "waiting", 1, 1, "a"), ("s", "waiting", 1, 1, "a"), ("a", "held", 2, 2, "a"),
         ("a", "waiting", 3, 0, "b"), ("s", "waiting", 3, 0, "b"), ("s", "waiting", 3, 0, "b"), ("a", "held", 4, 1, "b"), ("a", "done", 4, 1, "b"), ("s", "done", 4, 1, "b"), ("s", "done", 4, 1, "b"),
     ]
+
+
+def test_a_snapshot_is_a_valid_catalog(spark):
+    kind = "plugin_id string, name string, description string"
+    manifests = spark.createDataFrame([("p", "Plugin", "Does things"), ("q", "Other", None)], kind)
+    registry = spark.createDataFrame([("p", "Plugin", "Only in the registry"), ("q", "Other", "Seen twice")], kind)
+    shown = spark.createDataFrame([("p", "ui-call", "setName", "Does things", 7, "structured"), ("p", "readme", "", "Read me {0}", None, "markdown"), ("q", "readme", "", "Seen twice", None, "markdown")], "plugin_id string, origin string, symbol string, value string, offset int, strategy string")
+    strings = catalogs.strings(snapshots.candidates(snapshots.metadata_candidates(manifests, "manifest"), snapshots.metadata_candidates(registry, "registry"), shown))
+    evidence = {(r.plugin_id, r.source): [tuple(e) for e in r.evidence] for r in strings.collect()}
+    assert evidence["p", "Does things"] == [(-1, "manifest.description", "structured", "description"), (7, "ui-call", "structured", "setName")]
+    covered = strings.where("source = 'Plugin'").select("plugin_id", "key", F.explode(F.array(F.lit("fr"), F.lit("de"), F.lit("fr"))).alias("locale"))
+    units = snapshots.source_units(strings, covered)
+    found = {(r.plugin_id, r.position): (r.text, r.source_key, r.content_scopes, r.upstream_locale_coverage) for r in units.collect()}
+    assert found == {
+        ("p", 0): ("Does things", "runtime", ["metadata", "runtime-ui"], []), ("p", 1): ("Plugin", "metadata", ["metadata"], ["de", "fr"]), ("p", 2): ("Read me {0}", "documentation", ["readme"], []),
+        ("q", 0): ("Other", "metadata", ["metadata"], []), ("q", 1): ("Seen twice", "documentation", ["metadata", "readme"], []),
+    }
+    sources = snapshots.source_list(units)
+    assert {(r.plugin_id, r.position, r.key) for r in sources.collect()} == {("p", 0, "runtime"), ("p", 1, "metadata"), ("p", 2, "documentation"), ("q", 0, "metadata"), ("q", 1, "documentation")}
+    head = tables(spark, [(0, catalog())])[0].drop("catalog").crossJoin(spark.createDataFrame([("p",), ("q",)], "catalog string")).withColumn("resource", F.col("resource").withField("resource_key", F.col("catalog")))
+    head = head.withColumn("stream", F.col("stream").withField("stream_key", F.concat(F.lit("community-resource:"), "catalog")))
+    assert rules.catalog_breaches(head, sources.withColumnRenamed("plugin_id", "catalog"), units.withColumnRenamed("plugin_id", "catalog"), "p").isEmpty()

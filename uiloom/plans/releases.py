@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uiloom.functions import html, variants
-from uiloom.operators import checks, coverage, directory, matching, rules
+from uiloom.operators import catalog, checks, coverage, directory, matching, rules, snapshots
 from uiloom.sinks import results
 from uiloom.sources import requests
 from uiloom.streaming import tasks
@@ -172,9 +172,29 @@ def field_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a source as the texts of a plugin; some stand in the registry only, some in several places."""
+    docs = _t(spark, sf_dir, "documents").where("text IS NOT NULL").withColumn("plugin_id", F.col("source"))
+    named = docs.where("doc_id % 3 = 0").select("plugin_id", F.col("text").alias("name"), F.when(F.col("doc_id") % 2 == 0, F.substring("text", 1, 40)).alias("description"))
+    listed = docs.where("doc_id % 4 = 1").select("plugin_id", F.substring("text", 1, 20).alias("name"), F.col("text").alias("description"))
+    shown = docs.where("doc_id % 5 = 2").select("plugin_id", F.when(F.col("n_chars") % 2 == 0, "readme").otherwise("ui-call").alias("origin"), F.lit("").alias("symbol"), F.col("text").alias("value"), F.col("n_chars").cast("int").alias("offset"), F.lit("structured").alias("strategy"))
+    strings = catalog.strings(snapshots.candidates(snapshots.metadata_candidates(named, "manifest"), snapshots.metadata_candidates(listed, "registry"), shown))
+    covered = strings.select("plugin_id", "key", F.explode(F.when(F.length("source") % 3 == 0, F.array(F.lit("fr"), F.lit("de"), F.lit("de")))).alias("locale"))
+    return snapshots.source_units(strings, covered)
+
+
+def snapshot_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _units(spark, sf_dir)
+    return rows.select("plugin_id", "position", "key", "source_key", F.concat_ws(",", "content_scopes").alias("scopes"), F.concat_ws(",", "upstream_locale_coverage").alias("locales"), F.sha2("text", 256).alias("digest"))
+
+
+def snapshot_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.source_list(_units(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     native_locales, native_entries, exact_offers, release_components, directory_gate, repository_names, catalog_rules, plan_rules, ordered_strings, fair_turns, html_text_nodes, json_values,
-    request_states, sealed_results, field_formats,
+    request_states, sealed_results, field_formats, snapshot_units, snapshot_sources,
 )}
 
 SHIPPED = """d AS (SELECT 'o' || (doc_id % 5) AS owner, CASE WHEN doc_id % 3 = 0 THEN 'embedded' ELSE 'explicit' END AS carrier, (['default', 'extra', 'menu'])[doc_id % 7 % 3 + 1] AS resource_id, lang AS locale, doc_id, text,
@@ -187,7 +207,17 @@ SHIPPED = """d AS (SELECT 'o' || (doc_id % 5) AS owner, CASE WHEN doc_id % 3 = 0
  c AS (SELECT owner, carrier, locale, string_key, min(target) AS target, arg_min(k, {'a': resource_id, 'b': resource_key}) AS k, bool_or(source = target) OR count(DISTINCT target) > 1 AS bad FROM p GROUP BY 1, 2, 3, 4),
  m AS (SELECT owner, locale, string_key, min(target) AS target, min(k) AS resource_key FROM c GROUP BY 1, 2, 3 HAVING NOT bool_or(bad) AND count(DISTINCT target) = 1)"""
 
+UNITS = """d AS (SELECT source AS plugin_id, text, doc_id, n_chars FROM documents WHERE text IS NOT NULL),
+ c AS (SELECT plugin_id, 'manifest' AS o, text AS v FROM d WHERE doc_id % 3 = 0 UNION ALL SELECT plugin_id, 'manifest', substr(text, 1, 40) FROM d WHERE doc_id % 6 = 0 UNION ALL SELECT plugin_id, 'registry', text FROM d WHERE doc_id % 4 = 1
+  UNION ALL SELECT plugin_id, 'registry', substr(text, 1, 20) FROM d WHERE doc_id % 4 = 1 UNION ALL SELECT plugin_id, CASE WHEN n_chars % 2 = 0 THEN 'readme' ELSE 'ui' END, text FROM d WHERE doc_id % 5 = 2),
+ s AS (SELECT plugin_id, v, bool_or(o = 'ui') AS ui, bool_or(o = 'manifest') AS m, bool_or(o = 'registry') AS r, bool_or(o = 'readme') AS doc FROM c GROUP BY 1, 2 HAVING bool_or(o <> 'registry')),
+ u AS (SELECT *, CASE WHEN ui THEN 'runtime' WHEN m THEN 'metadata' ELSE 'documentation' END AS source_key FROM s)"""
+
 ORACLE_SQL = {
+    "snapshot_units": f"""WITH {UNITS} SELECT plugin_id, row_number() OVER (PARTITION BY plugin_id ORDER BY v) - 1 AS position, substr(sha256(plugin_id || chr(0) || v), 1, 32) AS key, source_key,
+ concat_ws(',', CASE WHEN m OR r THEN 'metadata' END, CASE WHEN doc THEN 'readme' END, CASE WHEN ui THEN 'runtime-ui' END) AS scopes, CASE WHEN length(v) % 3 = 0 THEN 'de,fr' ELSE '' END AS locales, sha256(v) AS digest FROM u""",
+    "snapshot_sources": f"""WITH {UNITS}, k AS (SELECT DISTINCT plugin_id, source_key AS key FROM u), n AS (SELECT * FROM (VALUES ('runtime', 1, 'main.js', 'javascript'), ('metadata', 2, 'manifest.json', 'json'), ('documentation', 3, 'README.md', 'markdown')) t(key, i, logical_path, format_family))
+ SELECT plugin_id, CAST(row_number() OVER (PARTITION BY plugin_id ORDER BY i) - 1 AS INTEGER) AS position, key, logical_path, format_family FROM k JOIN n USING (key)""",
     "native_entries": f"WITH {SHIPPED} SELECT owner, locale, string_key, resource_key, '' AS placeholder_signature, target FROM m",
     "native_locales": f"""WITH {SHIPPED}, r AS (SELECT t.owner, t.carrier, t.locale, t.resource_id, t.name, t.digest, n.name AS sn, n.digest AS sd FROM f t JOIN f n USING (owner, carrier, resource_id) WHERE t.locale <> 'en' AND n.locale = 'en'),
  i AS (SELECT owner, locale, carrier, CASE count(*) WHEN 1 THEN min(name) ELSE 'locale-component-set:' || count(*) END AS name, CASE count(*) WHEN 1 THEN min(sn) ELSE 'locale-component-set:' || count(*) END AS sn,
