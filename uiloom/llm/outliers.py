@@ -14,7 +14,7 @@ Estimates for a language and for all rows are made where a group needs them: a g
 base rules is judged by the estimate of its language, or of all rows if the language has fewer than LEAST too,
 so every row that passes the base rules gets a verdict. Null language or source is a
 group of its own; a null text has no words and fails the base rules. Repeated rows count as often
-as they occur and get equal verdicts. An empty table gives an empty result.
+as they occur and get equal verdicts. Very long texts are read whole, as one row. An empty table gives an empty result. Only id, lang, source and text are read, so further columns can't clash.
 """
 
 from __future__ import annotations

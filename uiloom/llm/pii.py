@@ -7,7 +7,8 @@ context together reach MIN_SCORE. Every span carries a score: 0.5 for the patter
 passed checksum, 0.15 for a context word within CONTEXT characters before it.
 
 Positions are code points, the end exclusive. A null text is empty and has no spans. All scans
-are linear in the text, so very long runs of digits or letters are no special case.
+are linear in the text, so very long texts and runs of digits or letters are no special case. Repeated rows get equal results each, an empty
+table gives an empty one. Only id and text are read, so the names of further columns can't clash; masking keeps them.
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@ Every shard bids for every key; the highest bid wins. A bid depends on the key a
 alone, so one more shard takes keys only into itself and no other key moves. The bid
 -weight / ln(u), with u uniform in (0, 1), gives each shard a share in proportion to its weight.
 
-Edge cases: a null key is a key of its own; equal rows share a shard and get different slots;
+Edge cases: a null key is a key of its own, so all rows without a key share a shard, whatever their number (under this law rows of one key always do; slots are
+numbered in parts all the same); texts play no part; equal rows share a shard and get different slots;
 an empty table gives an empty result; further columns pass through, and a column that has the
 name of an output is replaced.
 """
