@@ -1,7 +1,8 @@
 """Work queue over tables: commands arrive as files and are settled by an availableNow query.
 
 A command (task_id, command_id, fence, attempt, code) reports one try at a task; `code` is null where it succeeded.
-Leases (task_id, fence) name the holder that may report. Retries reuse their command id, so a command counts once."""
+Leases (task_id, fence) name the holder that may report. Retries reuse their command id, so a command counts once.
+What has been settled is read from the earlier batches' folders; for long histories uiloom.streaming.tasks keeps one row of state for each task instead."""
 
 from __future__ import annotations
 
