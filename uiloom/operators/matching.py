@@ -32,7 +32,8 @@ def positions(df: DataFrame, order: list[Column | str], within: list[str] | None
     """df sorted by `order`, with gapless positions from 0 (in each group of `within`, which must be the first columns of `order`).
 
     Rows are dealt over ranges and sorted there; the rows before a range are added to the places in it, so no task sees more than its range. The sorted rows are kept by checkpoint()
-    in the folder of spark.checkpoint.dir (a temporary one in local mode if that isn't set) and read for both steps. Rows that are equal in `order` come in any order."""
+    in the folder of spark.checkpoint.dir (a temporary one in local mode if that isn't set) and read for both steps;
+    Spark deletes them with their rows if spark.cleaner.referenceTracking.cleanCheckpoints is set. Rows that are equal in `order` come in any order."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
