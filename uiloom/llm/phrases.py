@@ -36,20 +36,36 @@ from uiloom.llm.common import SPACE, outer, scratch, stage
 from uiloom.llm.jaccard import P1, P2, P3, _hashes, mix
 
 ANCHOR, SHARD_WORDS, DOC_CHARS = 8, 400_000, 16_000_000
+TOGETHER = 1 << 17  # words of several texts that are hashed at once
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
+class Powers:
+    """Powers of BASE and of its inverse, as many as were asked for so far."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, "u8")
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) <= n:
+            size = max(2 * len(self.up), n + 1)
+            with np.errstate(over="ignore"):
+                self.up, self.down = (np.cumprod(np.concatenate((np.ones(1, "u8"), np.full(size, b, "u8")))) for b in (BASE, INVERSE))
+        return self.up[:n], self.down[: n + 1]
+
+
+_powers = Powers()
+
+
 class Words:
-    """Hashes of the runs of words of a text."""
+    """Hashes of the runs of words of a text, or of several texts after each other."""
 
     def __init__(self, words: list[bytes]) -> None:
         self.h = mix(np.fromiter(map(_hashes.__getitem__, words), "u8", len(words)))
-        n = len(words)
+        power, self.back = _powers(len(words))
         with np.errstate(over="ignore"):
-            power = np.cumprod(np.concatenate((np.ones(1, "u8"), np.full(n, BASE, "u8"))))
-            self.back = np.cumprod(np.concatenate((np.ones(1, "u8"), np.full(n, INVERSE, "u8"))))
-            self.sums = np.concatenate((np.zeros(1, "u8"), np.cumsum(self.h * power[:n])))
+            self.sums = np.concatenate((np.zeros(1, "u8"), np.cumsum(self.h * power)))
 
     def runs(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """A hash of the words start to stop (exclusive), wherever they stand."""
@@ -57,8 +73,26 @@ class Words:
             return mix((self.sums[stop] - self.sums[start]) * self.back[start] + (stop - start).astype("u8") * P2)
 
 
-def occurrences(own: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, extent, first and last window of each run of windows that share an anchor."""
+def together(texts: Iterator[tuple[int, bytes]], least: int) -> Iterator[tuple[np.ndarray, np.ndarray, Words]]:
+    """Texts of at least `least` words in portions of about TOGETHER words: their numbers, where each one starts (and the end), and their words."""
+    rows: list[int] = []
+    ends, words = [0], []
+    for row, text in texts:
+        own = text.split()
+        if len(own) < least:
+            continue
+        rows.append(row)
+        words += own
+        ends.append(len(words))
+        if len(words) >= TOGETHER:
+            yield np.array(rows), np.array(ends), Words(words)
+            rows, ends, words = [], [0], []
+    if rows:
+        yield np.array(rows), np.array(ends), Words(words)
+
+
+def occurrences(own: Words, ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, anchor, extent, first and last window of each run of windows that share an anchor, for texts after each other; none has less than `window` words."""
     n = len(own.h)
     at = np.arange(n - ANCHOR + 1)
     phrase = own.runs(at, at + ANCHOR)
@@ -68,12 +102,16 @@ def occurrences(own: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.nda
         key, width = np.minimum(key[:-width], key[width:]), 2 * width
     if width < span:
         key = np.minimum(key[: len(key) - (span - width)], key[span - width :])
-    place = (key & np.uint64(0xFFFFFFFF)).astype("i8")
-    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    last = np.concatenate((first[1:], [len(place)])) - 1
+    text = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    start = np.flatnonzero(text[: n - window + 1] == text[window - 1 :])  # windows within one text; their anchors are as well
+    place = (key[start] & np.uint64(0xFFFFFFFF)).astype("i8")
+    head = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    first, last = start[head], start[np.concatenate((head[1:], [len(place)])) - 1]
+    place = place[head]
     with np.errstate(over="ignore"):
-        extent = mix(own.runs(first, last + window) ^ ((place[first] - first).astype("u8") * P1 + P3))
-    return phrase[place[first]], extent, first, last
+        extent = mix(own.runs(first, last + window) ^ ((place - first).astype("u8") * P1 + P3))
+    base = ends[text[first]]
+    return text[first], phrase[place], extent, first - base, last - base
 
 
 def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
@@ -81,19 +119,13 @@ def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            took, found = [], []
-            for i, text in enumerate(batch.column(1)):
-                words = text.as_py().encode().split()
-                if len(words) >= window:
-                    found.append(occurrences(Words(words), window))
-                    took.append(np.full(len(found[-1][0]), i))
-            if not found:
-                continue
-            anchor, extent, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
-            keys = batch.column(0).take(pa.array(np.concatenate(took)))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(anchor.view("i8")), pa.array(extent.view("i8")), pa.array(first.astype("i4")), pa.array(last.astype("i4"))], names=["key", "anchor", "extent", "first", "last"])
+            texts = ((i, text.as_py()) for i, text in enumerate(batch.column(1)))
+            for rows, ends, own in together(texts, window):
+                text, anchor, extent, first, last = occurrences(own, ends, window)
+                keys = batch.column(0).take(pa.array(rows[text]))
+                yield pa.RecordBatch.from_arrays([keys, pa.array(anchor.view("i8")), pa.array(extent.view("i8")), pa.array(first.astype("i4")), pa.array(last.astype("i4"))], names=["key", "anchor", "extent", "first", "last"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, anchor long, extent long, first int, last int")
+    return docs.select("key", F.col("text").cast("binary")).mapInArrow(run, "key long, anchor long, extent long, first int, last int")
 
 
 def window_rows(held: DataFrame, window: int) -> DataFrame:
@@ -101,18 +133,23 @@ def window_rows(held: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text, spans in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                mixed = [s for s in spans if s["mixed"]]
-                if not mixed:
-                    continue
-                own = Words(text.as_py().encode().split())
-                first = np.concatenate([np.arange(s["first"], s["last"] + 1) for s in mixed])
-                n = [s["last"] + 1 - s["first"] for s in mixed]
-                owner, of = np.repeat([s["owner"] for s in mixed], n), np.repeat([s["first"] for s in mixed], n)
-                columns = [pa.array(own.runs(first, first + window).view("i8")), pa.array(np.full(len(first), key.as_py())), pa.array(first.astype("i4")), pa.array(of.astype("i4")), pa.array(owner)]
+            spans = batch.column(2)
+            flat = spans.flatten()
+            mixed = np.flatnonzero(flat.field("mixed").to_numpy(zero_copy_only=False))
+            of_row = np.repeat(np.arange(len(spans)), spans.value_lengths().to_numpy(zero_copy_only=False))[mixed]
+            first, last, owner = (flat.field(c).to_numpy(zero_copy_only=False)[mixed].astype("i8") for c in ("first", "last", "owner"))
+            texts = ((i, batch.column(1)[i].as_py()) for i in np.unique(of_row).tolist())
+            for rows, ends, own in together(texts, window):
+                low, high = np.searchsorted(of_row, (rows[0], rows[-1] + 1))
+                n = last[low:high] + 1 - first[low:high]
+                of = np.repeat(first[low:high], n)
+                at = of + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                row = np.repeat(of_row[low:high], n)
+                start = at + ends[np.searchsorted(rows, row)]
+                columns = [pa.array(own.runs(start, start + window).view("i8")), batch.column(0).take(pa.array(row)), pa.array(at.astype("i4")), pa.array(of.astype("i4")), pa.array(np.repeat(owner[low:high], n))]
                 yield pa.RecordBatch.from_arrays(columns, names=["window", "key", "first", "of", "owner"])
 
-    return held.select("key", "text", "spans").mapInArrow(run, "window long, key long, first int, of int, owner long")
+    return held.select("key", F.col("text").cast("binary"), "spans").where(F.exists("spans", lambda s: s["mixed"])).mapInArrow(run, "window long, key long, first int, of int, owner long")
 
 
 def one_of(*parts: str) -> list[Column]:
@@ -222,9 +259,8 @@ def removed(flat: list[int], n: int) -> np.ndarray:
 def remove_recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int, shard_words: int = SHARD_WORDS, doc_chars: int = DOC_CHARS) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words, joined by one space, of each row."""
     id_kind = df.select(df[id_col].alias("doc_id")).schema["doc_id"].dataType.simpleString()
-    # from here on a text is its words, joined by one space
-    source = df.select(df[id_col].alias("doc_id"), F.trim(F.regexp_replace(F.coalesce(df[text_col], F.lit("")), SPACE + "+", " ")).alias("text"))
-    docs = source.withColumn("key", F.xxhash64("doc_id", "text"))
+    docs = df.select(df[id_col].alias("doc_id"), F.coalesce(df[text_col], F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    joined = F.trim(F.regexp_replace("text", rf"[\x09-\x0D]{SPACE}*|\x20{SPACE}+", " "))
     with scratch(df.sparkSession):
         with scratch(df.sparkSession):
             occurring = stage(anchor_rows(docs, window), "anchors")
@@ -238,11 +274,12 @@ def remove_recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             kinds = placed.where("mixed").groupBy("anchor", "extent").agg(F.count("*").alias("n"), F.min("owner").alias("owner"), *one_of("first", "last"))
             kinds = stage(kinds.select("anchor", "extent", "n", "owner", "key", *unpacked("first", "last")), "kinds", owner=outer())
             told = kinds.select("anchor", "extent", F.col("n").alias("_n"), F.col("key").alias("_key"), F.col("first").alias("_first"))
-            tells = F.coalesce((F.col("_n") == 1) | ((F.col("key") == F.col("_key")) & (F.col("first") == F.col("_first"))), F.lit(False))
-            spans = placed.join(told, ["anchor", "extent"], "left").withColumn("mixed", F.col("mixed") & tells)
+            tells = (F.col("_n") == 1) | ((F.col("key") == F.col("_key")) & (F.col("first") == F.col("_first")))
+            differing = placed.where("mixed").join(told, ["anchor", "extent"]).select("key", "first", "last", tells.alias("mixed"), "owner")
+            spans = placed.where("NOT mixed").select("key", "first", "last", "mixed", "owner").unionByName(differing)
             spans = spans.groupBy("key").agg(F.collect_set(F.struct("first", "last", "mixed", "owner")).alias("spans"))
-            # each row once, with the spans of those that may lose words; the others are done
-            held = stage(docs.join(spans, "key", "left"), "held", owner=outer())
+            # each row once, with the spans of those that may lose words; the others are done. From here on a text is its words, joined by one space
+            held = stage(docs.join(spans, "key", "left").withColumn("text", joined), "held", owner=outer())
         some = held.where("spans IS NOT NULL")
         whole = recurring.where("NOT mixed").select("key", "first", (F.col("last") + window).alias("stop"), F.col("key").alias("owner"))
         whole = whole.unionByName(kinds.where("n > 1").select("key", "first", (F.col("last") + window).alias("stop"), "owner"))
