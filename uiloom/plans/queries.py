@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uiloom.functions import text as T
 from uiloom.operators import catalog, registry
-from uiloom.plans import coverage, documents, releases
+from uiloom.plans import coverage, documents, releases, resolution
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -219,5 +219,5 @@ ORACLE_SQL = {
     "canonical_props": "SELECT event_id, sha256(CAST(json(props) AS VARCHAR)) AS digest FROM events",
 }
 
-QUERIES |= documents.QUERIES | coverage.QUERIES | releases.QUERIES
-ORACLE_SQL |= documents.ORACLE_SQL | coverage.ORACLE_SQL | releases.ORACLE_SQL
+QUERIES |= documents.QUERIES | coverage.QUERIES | releases.QUERIES | resolution.QUERIES
+ORACLE_SQL |= documents.ORACLE_SQL | coverage.ORACLE_SQL | releases.ORACLE_SQL | resolution.ORACLE_SQL
