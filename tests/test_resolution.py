@@ -67,3 +67,38 @@ def test_english_schemas(spark):
         hits = sum(1 for t in samples if word.search(t))
         assert (r.n, r.hits, r.english) == (len(samples), hits, len(samples) < 5 or hits / len(samples) >= 0.8), r
     assert got.where(F.col("english")).select("id").distinct().count() == 3
+
+
+def test_directories(spark):
+    def blob(text):
+        return hashlib.sha1(b"blob %d\0" % len(text.encode()) + text.encode()).hexdigest()
+
+    good = json.dumps([{"id": "b", "repo": "o/b", "z": {"k": [1, "é"]}, "a": True}, {"repo": "o/a", "id": "a"}, {"id": "half", "repo": "o/half", "n": 0.5}], ensure_ascii=False)
+    bodies = {name: good for name in ("good", "dated", "link", "long", "short", "other", "gone", "cut", "twice")} | {
+        "empty": "[]", "map": "{}", "broken": "[{]", "repeated": '[{"id":"a","id":"a","repo":"o/a"}]', "number": '[{"id":5,"repo":"o/a"}]', "text": '["a"]', "again": '[{"id":"a","repo":"o/a"},{"id":"a","repo":"o/b"}]',
+    }
+    tree = {d: hashlib.sha1(d.encode()).hexdigest() for d in bodies}
+    commits = [(d, "2024-05-06T07:08:09" if d == "dated" else "2024-05-06T07:08:09Z", SHA, tree[d]) for d in bodies]
+    trees = [
+        (tree[d], d == "cut", "p.json", "blob", "120000" if d == "link" else "100644", blob(b + "x" if d == "other" else b), len(b.encode()) + (d == "short") + (d == "long") * 1000) for d, b in bodies.items() if d != "gone"
+    ] + [(tree["twice"], False, "p.json", "blob", "100644", SHA, 5), (tree["good"], False, "q.json", "blob", "100644", SHA, 5)]
+    snapshots, entries, refused = resolution.directory_snapshots(
+        spark.createDataFrame(commits, "directory string, commit_date string, commit_sha string, tree_sha string"),
+        spark.createDataFrame(trees, "tree_sha string, truncated boolean, path string, type string, mode string, sha string, size long"),
+        spark.createDataFrame([*bodies.items()], "directory string, body string"), "p.json", 900,
+    )
+    assert {r.directory for r in snapshots.collect()} == {"good", "empty"}
+    assert {tuple(r) for r in refused.collect()} == {
+        ("dated", "commit-invalid"), ("link", "no-plain-file"), ("long", "size-invalid"), ("short", "size-mismatch"), ("other", "revision-mismatch"), ("gone", "missing"), ("twice", "repeated"), ("cut", "tree-truncated"),
+        ("map", "content-invalid"), ("broken", "content-invalid"), ("repeated", "content-invalid"), ("number", "entry-invalid"), ("text", "entry-invalid"), ("again", "id-repeated"),
+    }
+    asked = [("good", "a"), ("good", "b"), ("good", "b"), ("good", "c"), ("good", "half"), ("good", None), ("empty", "a"), ("again", "a"), ("unknown", "a"), (None, "a")]
+    got = resolution.directory_claims(spark.createDataFrame(asked, "directory string, id string"), snapshots, entries).collect()
+    assert sorted((str(r.directory), str(r.id), r.state, r.repo) for r in got) == sorted([
+        ("good", "a", "present", "o/a"), ("good", "b", "present", "o/b"), ("good", "b", "present", "o/b"), ("good", "c", "absent", None), ("good", "half", "refused", None), ("good", "None", "absent", None),
+        ("empty", "a", "absent", None), ("again", "a", "refused", None), ("unknown", "a", "refused", None), ("None", "a", "refused", None),
+    ])
+    one = next(r for r in got if r.id == "b")
+    assert one.entry_digest == hashlib.sha256(json.dumps(json.loads(good)[0], sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
+    assert (one.content_digest, one.registry_revision) == (hashlib.sha256(good.encode()).hexdigest(), 1714979289 * 1_000_000 + 0xAAAAA)
+    assert all((r.content_digest is None) == (r.state == "refused") and (r.entry_digest is None) == (r.state != "present") for r in got)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from uiloom.functions import text as T
 from uiloom.operators import resolution
 
 
@@ -39,6 +40,26 @@ def web_catalog_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("registry_key", "site", "profile_digest", "state", "revision", "content_digest", "asset_id", "size", "release_tag", "entry_digest")
 
 
+def directory_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of a nation as directories, hundreds of them, each a JSON file at a commit; orders are claims. Files of some directories are another size or text than their tree tells, or have a bad entry."""
+    number = F.col("c_custkey")
+    place = (F.col("c_nationkey") * 1000 + number % 40).alias("directory")
+    entry = F.concat(F.lit('{"id":"c'), number, F.lit('","repo":"owner/'), F.when(F.col("c_acctbal") < -990, "a b").otherwise(F.concat(F.lit("r"), number)), F.lit('","segment":"'), F.col("c_mktsegment"), F.lit('"}'))
+    made = _t(spark, sf_dir, "customer").select(place, entry.alias("entry")).groupBy("directory").agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("entry")), ","), F.lit("]")).alias("body"))
+    d = F.col("directory")
+    bodies = made.select("directory", F.when(d % 11 == 0, F.concat("body", F.lit(" "))).when(d % 13 == 0, F.translate("body", "H", "h")).otherwise(F.col("body")).alias("body"))
+    sha = F.sha1(d.cast("string"))
+    commits = made.select("directory", F.when(d % 17 > 0, "2024-05-06T07:08:09Z").alias("commit_date"), sha.alias("commit_sha"), sha.alias("tree_sha"))
+    trees = made.select(
+        sha.alias("tree_sha"), F.lit(False).alias("truncated"), F.lit("plugins.json").alias("path"), F.lit("blob").alias("type"), F.when(d % 19 > 0, "100644").otherwise("120000").alias("mode"),
+        T.git_blob_id(F.col("body")).alias("sha"), F.octet_length("body").cast("long").alias("size"),
+    )
+    snapshots, entries, _ = resolution.directory_snapshots(commits, trees, bodies, "plugins.json", 8 << 20)
+    orders = _t(spark, sf_dir, "orders").join(_t(spark, sf_dir, "customer"), F.col("o_custkey") == number)
+    claims = orders.select("o_orderkey", (F.col("c_nationkey") * 1000 + F.col("o_custkey") % F.when(F.col("o_orderkey") % 5 == 0, 41).otherwise(40)).alias("directory"), F.concat(F.lit("c"), "o_custkey").alias("id"))
+    return resolution.directory_claims(claims, snapshots, entries).select("o_orderkey", "state", "registry_revision", "content_digest", "repo", "entry_digest")
+
+
 def locale_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as locale resources of owners of four; owners that write a tag badly or have a resource twice go as a whole."""
     number = F.col("doc_id")
@@ -55,7 +76,7 @@ def english_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.english_schemas(lines, ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (web_catalog_claims, locale_resources, english_documents)}
+QUERIES = {f.__name__: f for f in (web_catalog_claims, directory_claims, locale_resources, english_documents)}
 
 ORACLE_SQL = {
     "web_catalog_claims": """WITH c AS (SELECT DISTINCT l_suppkey AS s, 'registry-' || l_suppkey AS registry_key, CASE WHEN l_linenumber = 4 THEN 'Site-' ELSE 'site-' END || (l_partkey % 60) AS site, l_quantity = 1 AS other FROM lineitem),
@@ -67,6 +88,12 @@ ORACLE_SQL = {
  CASE WHEN state IN ('present', 'absent') THEN sha256('{"commitSha":"' || sha1(CAST(k AS VARCHAR)) || '","repositoryId":' || k || '}') END AS content_digest,
  CASE WHEN state = 'present' THEN asset_id END AS asset_id, CASE WHEN state = 'present' THEN size END AS size, CASE WHEN state = 'present' THEN 'v' || k END AS release_tag,
  CASE WHEN state = 'present' THEN sha256('{"assetDigest":"' || sha256(CAST(asset_id AS VARCHAR)) || '","releaseId":' || k || ',"siteKey":"' || site || '"}') END AS entry_digest FROM t""",
+    "directory_claims": """WITH e AS (SELECT c_nationkey * 1000 + c_custkey % 40 AS directory, 'c' || c_custkey AS id, CASE WHEN c_acctbal < -990 THEN 'owner/a b' ELSE 'owner/r' || c_custkey END AS repo, c_mktsegment AS segment, c_acctbal < -990 AS bad FROM customer),
+ x AS (SELECT *, '{"id":"' || id || '","repo":"' || repo || '","segment":"' || segment || '"}' AS entry FROM e), b AS (SELECT directory, '[' || string_agg(entry, ',' ORDER BY entry) || ']' AS body, bool_or(bad) AS bad FROM x GROUP BY 1),
+ s AS (SELECT directory, sha256(body) AS content_digest, 1714979289000000 + CAST('0x' || sha1(CAST(directory AS VARCHAR))[1:5] AS BIGINT) AS registry_revision FROM b
+ WHERE NOT bad AND directory % 11 > 0 AND directory % 17 > 0 AND directory % 19 > 0 AND (directory % 13 > 0 OR NOT contains(body, 'H')))
+ SELECT o_orderkey, CASE WHEN s.directory IS NULL THEN 'refused' WHEN x.id IS NULL THEN 'absent' ELSE 'present' END AS state, registry_revision, content_digest, x.repo, sha256(x.entry) AS entry_digest
+ FROM (SELECT o_orderkey, c_nationkey * 1000 + o_custkey % CASE WHEN o_orderkey % 5 = 0 THEN 41 ELSE 40 END AS directory, 'c' || o_custkey AS id FROM orders JOIN customer ON o_custkey = c_custkey) o LEFT JOIN s ON s.directory = o.directory LEFT JOIN x ON x.directory = s.directory AND x.id = o.id""",
     "locale_resources": """WITH r AS (SELECT doc_id // 4 AS owner, CASE WHEN doc_id % 4 > 1 THEN 'r' || length(source) ELSE 'default' END AS resource_id, CASE WHEN doc_id % 37 = 0 THEN NULL WHEN doc_id % 4 = 0 THEN lang
  WHEN doc_id % 4 = 1 THEN lang || '-' || upper(lang) ELSE lang || '-Latn' END AS locale, sha256(text) AS digest FROM documents WHERE lang IS NOT NULL),
  b AS (SELECT owner FROM r GROUP BY owner, locale, resource_id HAVING count(*) > 1 OR locale IS NULL) SELECT * FROM r WHERE owner NOT IN (SELECT owner FROM b)""",
