@@ -9,6 +9,7 @@ import warnings
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -102,6 +103,23 @@ def test_bpe(spark, docs, texts):
         assert np.frombuffer(bpe.Encoder(ranks, P.PATTERN).encode(t), "<u4").tolist() == enc.encode_ordinary(t)
 
 
+def test_bpe_batches_are_bounded(spark, docs, texts, monkeypatch):
+    """A batch of any number of rows leaves in parts of at most GROUP_CHARS characters, longer texts alone."""
+    path = P.path("byte_bpe_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 1000)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    run = bpe.encode_decode(docs, path, P.PATTERN)
+    rows = [*texts, "é\U0001f680 long " * 300, None, *texts, "ab " * 900]
+    batches = [pa.RecordBatch.from_pydict({"id": pa.array(range(a, b), pa.int64()), "text": pa.array(rows[a:b], pa.string())}) for a, b in ((0, 0), (0, 150), (150, len(rows)))]
+    out = [b.to_pylist() for b in run(iter(batches))]
+    assert [r["id"] for part in out for r in part] == [*range(len(rows))]
+    assert all(len(part) == 1 or sum(len(rows[r["id"]] or "") for r in part) <= 1000 for part in out) and len(out) > 20
+    for r in (r for part in out for r in part):
+        text = rows[r["id"]] or ""
+        assert r["ids"] == enc.encode_ordinary(text) and r["decoded"] == text.encode()
+
+
 def test_pii(spark):
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     rng = random.Random(3)

@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -183,21 +183,22 @@ class Encoder:
         matches = (m.group() for m in self.pattern.finditer(text or ""))
         return b"".join(self.ids([part])[0] for part in iter(lambda: list(islice(matches, SLICE)), []))
 
-    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+    def encode_groups(self, texts: Iterable[str | None]) -> Iterator[list[bytes]]:
+        """The ids of each text, in lists of those that are encoded together; a text longer than a group is one of its own."""
         group: list[list[str]] = []
         chars = 0
         for text in texts:
-            if text and len(text) > GROUP_CHARS:
-                yield from self.ids(group)
-                yield self.encode(text)
+            size = len(text or "")
+            if group and chars + size > GROUP_CHARS:
+                yield self.ids(group)
                 group, chars = [], 0
+            if size > GROUP_CHARS:
+                yield [self.encode(text)]
                 continue
             group.append(self.pattern.findall(text or ""))
-            chars += len(text or "")
-            if chars > GROUP_CHARS:
-                yield from self.ids(group)
-                group, chars = [], 0
-        yield from self.ids(group)
+            chars += size
+        if group:
+            yield self.ids(group)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -214,14 +215,20 @@ def encoder(rank_file: str, pattern: str) -> Encoder:
 
 
 def encode_decode(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, the ids of the text (array<int>) and the bytes they decode to."""
+    """id, the ids of the text (array<int>) and the bytes they decode to. Each group of texts leaves as a batch of its own,
+    so a worker and its JVM hold results of a group, not of all rows of the batch that was read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(rank_file, pattern)
         for batch in batches:
-            packed = [*own.encode_all(t.as_py() for t in batch.column(1))]
-            ids = pa.array([np.frombuffer(p, "<i4") for p in packed], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(map(own.decode, packed), pa.binary())], names=["id", "ids", "decoded"])
+            start = 0
+            for packed in own.encode_groups(t.as_py() for t in batch.column(1)):
+                ends = np.cumsum([0, *map(len, packed)]) // 4
+                ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
+                decoded = pa.array(map(own.decode, packed), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(packed)), lists, decoded], names=["id", "ids", "decoded"])
+                start += len(packed)
 
     source = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
     return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, ids array<int>, decoded binary")
@@ -234,7 +241,7 @@ def digests(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
         own = encoder(rank_file, pattern)
         for batch in batches:
             counts, ids, decoded = [], [], []
-            for packed in own.encode_all(t.as_py() for t in batch.column(1)):
+            for packed in chain.from_iterable(own.encode_groups(t.as_py() for t in batch.column(1))):
                 counts.append(len(packed) // 4)
                 ids.append(hashlib.sha256(packed).hexdigest())
                 decoded.append(hashlib.sha256(own.decode(packed)).hexdigest())
