@@ -14,7 +14,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from uiloom.llm import bpe, components, jaccard, langid, mixing, neighbours, outliers, phrases, pii, sharding, toxicity
+from uiloom.llm import bpe, common, components, jaccard, langid, mixing, neighbours, outliers, phrases, pii, sharding, toxicity
 
 VOCABULARY = [f"w{i}" for i in range(400)]
 
@@ -329,6 +329,52 @@ def test_jaccard_splits_and_blocks(spark):
     assert left.columns == ["doc_id", "text", "node"] and left.count() == 3
 
 
+@pytest.mark.parametrize("blocks", [1, 1 << 14])
+def test_likely_and_without_are_whole(spark, monkeypatch, blocks):
+    """Also if the filter is far too small for its values: then it tells less, and rows stay right."""
+    monkeypatch.setattr(common, "MOST_BLOCKS", blocks)
+    df, some = spark.range(20000).withColumn("name", F.lit("x")), spark.range(0, 20000, 7)
+    found = {r.id for r in common.likely(df, some, "id").collect()}
+    assert found >= set(range(0, 20000, 7)) and (blocks == 1 or len(found) < 4000)
+    assert sorted(r.id for r in common.without(df, some, "id").collect()) == [i for i in range(20000) if i % 7]
+    assert common.likely(df, some.limit(0), "id").isEmpty() and common.without(df, some.limit(0), "id").count() == 20000
+    assert common.without(df, df, "id").isEmpty() and common.without(df, df, "id").columns == df.columns
+
+
+def test_jaccard_shuffles_the_texts_it_needs(spark):
+    """With tables too large to be broadcast, as at size: a few copies among many texts take only their own texts, sets and prefixes through a shuffle."""
+
+    def shuffled():
+        context = spark.sparkContext._jsc.sc()
+        context.listenerBus().waitUntilEmpty()
+        return context.statusStore().executorSummary("driver").totalShuffleWrite()
+
+    rng = random.Random(5)
+    out = [" ".join(f"{rng.getrandbits(48):x}" for _ in range(400)) for _ in range(300)]
+    out += [out[3], out[4], out[5] + " more"]
+    df = spark.createDataFrame(list(enumerate(out)), "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with common.scratch(spark):
+            base = common.stage(jaccard.summaries(df, "doc_id", "text", 5, 80), "prefixes")
+            before = shuffled()
+            nodes, keys = jaccard.distinct_sets(base)
+            rows = nodes.collect()
+            assert {r.node for r in rows} == {r.node for r in keys.collect()} and len(rows) == 301 and all(len(r.first) == 80 for r in rows)
+            assert shuffled() - before < 60_000  # the prefixes have 0.2 MB
+            before = shuffled()
+            wanted = common.stage(base.where(F.col("row.doc_id").isin(7, 8)).select("node", "key"), "ends")
+            assert {len(r.own) // 8 for r in jaccard.sets_of(base, wanted, "text", 5).collect()} == {396}
+            assert shuffled() - before < 200_000
+            left = jaccard.first_of_components(df, size=5, percent=80)
+            before = shuffled()
+            kept = sorted(r.doc_id for r in left.collect())
+            assert kept == list(range(300)) and shuffled() - before < 200_000  # the texts have 1.5 MB, most of it random
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_phrases_over_several_shards(spark, docs, texts):
     """Small shards and portions give the same rows; without the automata nothing is removed."""
     want = phrases.digest(phrases.remove_recurring(docs, window=35)).collect()

@@ -129,6 +129,40 @@ def draw(*columns: Column | str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / float(1 << 30)
 
 
+#: Words of 64 bits in a block of marks, bits for each value, positions that a value sets, and most blocks (8 MB).
+MARK_WORDS, MARK_BITS, MARKED, MOST_BLOCKS = 64, 16, 4, 1 << 14
+
+
+def marks(wanted: DataFrame, on: str) -> tuple[DataFrame, Column, Column]:
+    """A blocked Bloom filter of the values of a column (not null): its blocks, the block of a value, and whether that
+    holds all positions of the value. Tasks fill it; its size is bounded, beyond that it only tells less."""
+    blocks = max(1, min(MOST_BLOCKS, -(-wanted.count() * MARK_BITS // (64 * MARK_WORDS))))
+    block, h = F.pmod(F.xxhash64(on), F.lit(blocks)), F.xxhash64(on, F.lit(1))
+    places = [F.shiftrightunsigned(h, 12 * i).bitwiseAND(F.lit(64 * MARK_WORDS - 1)).cast("int") for i in range(MARKED)]
+    set_in = wanted.select(block.alias("_block"), F.explode(F.array(*places)).alias("place"))
+    word, bit = F.shiftright("place", 6), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)))
+    filled = set_in.groupBy("_block", word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    own = filled.groupBy("_block").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("own"))  # MARK_WORDS entries at most
+    table = own.select("_block", F.transform(F.sequence(F.lit(0), F.lit(MARK_WORDS - 1)), lambda i: F.coalesce(F.col("own")[i], F.lit(0).cast("long"))).alias("_marks"))
+    held = F.lit(True)
+    for place in places:
+        held &= F.getbit(F.col("_marks")[F.shiftright(place, 6)], place.bitwiseAND(F.lit(63))) == 1
+    return table, block, held
+
+
+def likely(df: DataFrame, wanted: DataFrame, on: str, held: bool = True) -> DataFrame:
+    """The rows of df whose value occurs in wanted, and few others; for held=False the rest. df isn't shuffled, so a join after it
+    shuffles the rows that it needs, not the whole table."""
+    table, block, marked = marks(wanted, on)
+    met = df.withColumn("_block", block).join(F.broadcast(table), "_block", "left")
+    return met.where(F.coalesce(marked, F.lit(False)) == held).select(*df.columns)
+
+
+def without(df: DataFrame, gone: DataFrame, on: str) -> DataFrame:
+    """The rows of df whose value (not null) doesn't occur in gone. Only rows that likely go are shuffled; df is read twice."""
+    return likely(df, gone, on, held=False).unionByName(likely(df, gone, on).join(gone, on, "left_anti"))
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; null and blank texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")

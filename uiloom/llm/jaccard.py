@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from uiloom.llm.common import draw, outer, scratch, stage, whole_groups
+from uiloom.llm.common import draw, likely, outer, scratch, stage, whole_groups, without
 from uiloom.llm.components import components
 
 #: Sampled documents (about), sampled documents that make a shingle common, and most common shingles kept.
@@ -155,7 +155,7 @@ def summaries(df: DataFrame, id_col: str, text_col: str, size: int, percent: int
 
 def projections(base: DataFrame, wanted: DataFrame) -> DataFrame:
     """node and classes for the wanted nodes (node, key)."""
-    return stage(base.select("key", "classes").join(wanted, "key").select("node", "classes"), "projections")
+    return stage(likely(base.select("key", "classes"), wanted, "key").join(wanted, "key").select("node", "classes"), "projections")
 
 
 def sets_of(base: DataFrame, keys: DataFrame, text_col: str, size: int) -> DataFrame:
@@ -166,10 +166,20 @@ def sets_of(base: DataFrame, keys: DataFrame, text_col: str, size: int) -> DataF
             own = [shingles(text.as_py(), size).tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "own"])
 
-    texts = base.select("key", F.col("row").getField(text_col).alias("text")).join(keys, "key")
+    texts = likely(base.select("key", F.col("row").getField(text_col).alias("text")), keys, "key").join(keys, "key")
     return stage(texts.select("node", "text").mapInArrow(run, "node long, own binary"), "sets")
 
 
+def distinct_sets(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """node, n_shingles and first of each set that isn't empty, and keys: node and key of the document that stands for it.
+    Prefixes are long, so only those of documents that likely are copies are shuffled."""
+    some = base.where("n_shingles > 0")
+    keys = stage(some.groupBy("node").agg(F.min("key").alias("key"), F.count("*").alias("copies")), "keys")
+    several = keys.where("copies > 1").select("node", F.col("key").alias("lead"))
+    copies = stage(some.select("node", "key").join(several, "node").where("key <> lead").select("key"), "copies")
+    return without(some.select("key", "node", "n_shingles", "first"), copies, "key").drop("key"), keys.select("node", "key")
+
+
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with the sizes of their intersection and union."""
     of_b = sets.select(F.col("node").alias("b"), F.col("own").alias("own_b"))
@@ -383,8 +393,7 @@ def compared(leaves: DataFrame, percent: int) -> DataFrame:
 
 def node_labels(base: DataFrame, text_col: str, size: int, percent: int, leaf: int, hard: int) -> DataFrame:
     """node and label of the nodes that have links; the label is equal for nodes that links connect."""
-    nodes = base.where("n_shingles > 0").select("node", "n_shingles", "first").dropDuplicates(["node"])
-    keys = base.where("n_shingles > 0").groupBy("node").agg(F.min("key").alias("key"))  # a document of each node
+    nodes, keys = distinct_sets(base)
     ends = lambda pairs: stage(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(keys, "node"), "ends")
     measure = lambda pairs: measured(pairs, sets_of(base, ends(pairs), text_col, size))
     cells = blocks(split(covering(nodes), measure, percent, leaf), hard)
@@ -400,7 +409,7 @@ def node_labels(base: DataFrame, text_col: str, size: int, percent: int, leaf: i
     mixed = left.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cell")
     wide = left.join(mixed, "cell").join(seen, "node").select(*LEAF_COLUMNS, "label", "classes")
     still = stage(open_members(in_leaves(wide), percent), "open")
-    more = compared(in_leaves(still.join(sets, "node").select(*still.columns, "own")), percent)
+    more = compared(in_leaves(still.join(likely(sets, still, "node"), "node").select(*still.columns, "own")), percent)
     return components(stage(more, "links"), labels)
 
 
@@ -454,8 +463,7 @@ def pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size
     linked sets counted each). Ids are those of the column, null ones are the smallest of no set."""
     with scratch(df.sparkSession):
         base = stage(summaries(df.select(id_col, text_col), id_col, text_col, size, percent), "prefixes")
-        nodes = base.where("n_shingles > 0").select("node", "n_shingles", "first").dropDuplicates(["node"])
-        keys = base.where("n_shingles > 0").groupBy("node").agg(F.min("key").alias("key"))  # a document of each node
+        nodes, keys = distinct_sets(base)
         ends = lambda links: stage(links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct().join(keys, "node"), "ends")
         cells = blocks(split(covering(nodes), lambda links: measured(links, sets_of(base, ends(links), text_col, size)), percent, leaf), hard)
         cells = stage(open_members(in_leaves(cells.select(*LEAF_COLUMNS)), percent), "leaves")
@@ -479,6 +487,5 @@ def pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, size
 def first_of_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest id, and of several with this id any one. Rows with null ids come last."""
     base = stage(summaries(df, id_col, text_col, how["size"], how["percent"]), "prefixes")
-    # staged by themselves: then Spark knows how few they may be, and broadcasts them if their size allows
     gone = stage(linked(base, id_col, text_col, **how).where(~F.col("leads")).select("key"), "copies")
-    return base.select("row", "key").join(gone, "key", "left_anti").select("row.*")
+    return without(base.select("row", "key"), gone, "key").select("row.*")
