@@ -1,5 +1,6 @@
 import hashlib
 import os
+import random
 import subprocess
 import sys
 import unicodedata
@@ -73,6 +74,76 @@ def test_coverage_is_sticky_in_any_order(spark):
         assert [tuple(r) for r in kept.select("source", "resource_key", "target").collect()] == [("a", 1, "x")]
 
 
+def rows_of(found, columns):
+    return sorted(tuple(str(r[columns.index(c)]) for c in sorted(columns)) for r in found)
+
+
+def query_and_sql(spark, name, path):
+    """Sorted rows of the query and of its SQL over documents."""
+    got = QUERIES[name](spark, str(path))
+    found = duckdb.connect().execute(f"WITH documents AS (SELECT * FROM '{path}/documents.parquet') {ORACLE_SQL[name].replace('WITH ', ', ', 1)}")
+    return rows_of(got.collect(), got.columns), rows_of(found.fetchall(), [c[0] for c in found.description])
+
+
+@pytest.fixture(scope="module")
+def odd_documents(tmp_path_factory):
+    """Few texts and keys, so that strings recur, have several targets, repeat their source or differ in placeholders; nulls everywhere."""
+    rng, path = random.Random(7), tmp_path_factory.mktemp("odd")
+    some = ["Open", "open", "", "Save %s", "Sichern %s", "Sichern %d", "%s %d", "%d %s", "<b>x</b>", "<i>x</i>", "\u00d6ffnen", None]
+    rows = [(None if i % 50 == 0 else i, rng.choice(some[: 2 + i % 11]) if i % 9 else None, rng.choice(["en", "en", "de", "fr", None]), rng.choice([*map(str, range(40)), None])) for i in range(2000)]
+    duckdb.connect().execute("CREATE TABLE d (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)").executemany("INSERT INTO d VALUES (?, ?, ?, ?)", rows).execute(f"COPY d TO '{path}/documents.parquet'")
+    return path
+
+
+@pytest.fixture(scope="module")
+def large_keys(tmp_path_factory):
+    """One key with 300 English and 300 German texts of 1 kB each, another with 300 English texts and a single German one."""
+    rng, path = random.Random(8), tmp_path_factory.mktemp("large")
+    rows = [(21 * i, "en" if i % 2 else "de") for i in range(600)] + [(21 * i + 1, "en" if i else "de") for i in range(301)]
+    rows = [(i, f"{rng.getrandbits(4096):x}", lang, "o") for i, lang in rows]
+    duckdb.connect().execute("CREATE TABLE d (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)").executemany("INSERT INTO d VALUES (?, ?, ?, ?)", rows).execute(f"COPY d TO '{path}/documents.parquet'")
+    return path
+
+
+def shuffled(spark):
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    return context.statusStore().executorSummary("driver").totalShuffleWrite()
+
+
+@pytest.mark.parametrize("name", ["translated_strings"])
+def test_translations_of_odd_documents(spark, odd_documents, name):
+    got, want = query_and_sql(spark, name, odd_documents)
+    assert got == want and len(got) > 20
+
+
+@pytest.mark.parametrize(("name", "n"), [("translated_strings", 300)])
+def test_translations_make_no_pairs(spark, large_keys, name, n):
+    """With tables too large to be broadcast, as at size: what is shuffled grows with the texts, not with the pairs of a key (90,300, of 180 MB)."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffled(spark)
+        got = QUERIES[name](spark, str(large_keys)).collect()
+        assert shuffled(spark) - before < 600_000  # the texts have 0.9 MB
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(got) == n
+
+
+def test_translated(spark):
+    """One text a locale for a string, over all its keys; the smallest key stays. A text that is null is no target, so its string is rejected."""
+    rows = [
+        ("o", 1, "a", "en", "Open"), ("o", 1, "a", "en", "Open"), ("o", 1, "a", "de", "Auf"), ("o", 1, "a", "de", "Auf"), ("o", 1, "a", "fr", "Ouvrir"), ("o", 1, "a", "fr", "Ouvert"), ("o", 0, "b", "en", "Open"), ("o", 0, "b", "de", "Auf"),
+        ("o", 1, "c", "en", "Close"), ("o", 1, "c", "de", "Zu"), ("o", 2, "c", "en", "Close"), ("o", 2, "c", "de", "Schliessen"), ("o", 1, "d", "en", "OK"), ("o", 1, "d", "de", "OK"), ("o", 1, "e", "en", "No %s"), ("o", 1, "e", "de", "Kein %d"),
+        ("o", 1, "f", "en", "Null"), ("o", 1, "f", "de", None), ("o", 1, "f", "fr", "Nul"), ("o", 2, "f", "en", "Null"), ("o", 2, "f", "de", "Null!"), ("o", 1, "g", "en", "Lost"), ("o", 1, "g", "de", "Fort"), ("p", 1, "a", "en", "Open"), ("p", 1, "x", "de", "Auf"),
+    ]
+    found = spark.createDataFrame([(o, t, t.lower()) for o in "op" for t in ("Open", "Close", "OK", "No %s", "Null", "Null")], "owner string, source string, key string")
+    got = catalog.translated(spark.createDataFrame(rows, "owner string, resource_id int, resource_key string, locale string, text string"), found)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert {tuple(r) for r in got.select("owner", "locale", "string_key", "target_sha256", "resource_key").collect()} == {("o", "de", "open", sha("Auf"), "a"), ("o", "fr", "null", sha("Nul"), "f")}
+
+
 def test_release_choice(spark):
     rows = [("a", 0, "v1.0.0-beta", False, True), ("a", 1, "1.0.0", False, False), ("b", 0, "2.0.0", False, True), ("c", 0, "3.0.0", True, False)]
     rows += [("d", i, "x", False, True) for i in range(300)]

@@ -117,13 +117,13 @@ def resource_locales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _covered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("source").alias("owner"), F.col("text").alias("source")).distinct()
+    docs = _t(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("source").alias("owner"), F.col("text").alias("source"))
     found = docs.withColumn("key", T.string_key(F.col("owner"), F.col("source")))
-    return catalog.coverage(catalog.translated(_entries(spark, sf_dir), found), ["owner", "locale", "string_key"])
+    return catalog.translated(_entries(spark, sf_dir).where("text IS NOT NULL"), found)
 
 
 def translated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _covered(spark, sf_dir).select("owner", "locale", "string_key", F.sha2("target", 256).alias("target"))
+    return _covered(spark, sf_dir).select("owner", "locale", "string_key", F.col("target_sha256").alias("target"))
 
 
 def unit_locales(spark: SparkSession, sf_dir: str) -> DataFrame:
