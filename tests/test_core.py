@@ -111,13 +111,13 @@ def shuffled(spark):
     return context.statusStore().executorSummary("driver").totalShuffleWrite()
 
 
-@pytest.mark.parametrize("name", ["translated_strings"])
+@pytest.mark.parametrize("name", ["translated_strings", "unit_locales"])
 def test_translations_of_odd_documents(spark, odd_documents, name):
     got, want = query_and_sql(spark, name, odd_documents)
     assert got == want and len(got) > 20
 
 
-@pytest.mark.parametrize(("name", "n"), [("translated_strings", 300)])
+@pytest.mark.parametrize(("name", "n"), [("translated_strings", 300), ("unit_locales", 600)])
 def test_translations_make_no_pairs(spark, large_keys, name, n):
     """With tables too large to be broadcast, as at size: what is shuffled grows with the texts, not with the pairs of a key (90,300, of 180 MB)."""
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
